@@ -1,0 +1,4 @@
+"""Reserved: the feature set re-implemented here has no streaming operator.
+
+All sources are bounded files and tables; see README, "Left out".
+"""
