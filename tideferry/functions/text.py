@@ -25,9 +25,13 @@ _PLAIN_WORD = re.compile(r"[A-Za-z0-9_]+")
 
 
 def whole_word(pattern: str) -> str:
-    """Anchor ``pattern`` at ASCII word boundaries on both sides."""
+    """Anchor ``pattern`` at ASCII word boundaries on both sides.
+
+    For a plain word the look-behind follows the word and spans it, so it is
+    tried where the word was found and not at every position of the text.
+    """
     if _PLAIN_WORD.fullmatch(pattern):
-        return f"(?<!{WORD}){pattern}(?!{WORD})"
+        return f"{pattern}(?<!{WORD}{pattern})(?!{WORD})"
     edge = f"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
     return f"{edge}(?:{pattern}){edge}"
 

@@ -34,7 +34,7 @@ def load_dataset(
     counted = parsed.observe(
         seen, F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected")
     )
-    accepted(counted).write.mode("overwrite").parquet(target)
+    accepted(counted, dataset).write.mode("overwrite").parquet(target)
     lines, bad = seen.get["lines"], seen.get["rejected"]
     if bad and rejects:
         rejected(parsed).write.mode("overwrite").parquet(rejects)

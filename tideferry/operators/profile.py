@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideferry.functions.frames import union_all
 from tideferry.operators.reconcile import COLUMNS_PER_SCAN
 
 _COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
@@ -22,14 +22,13 @@ def column_inventory(
     One pass per table (per ``COLUMNS_PER_SCAN`` columns); distinct values are
     estimated by sketches in the same pass when asked for.
     """
-    return functools.reduce(
-        DataFrame.unionByName,
-        [
-            _profile(table, rows, list(enumerate(rows.schema.fields))[start : start + COLUMNS_PER_SCAN], estimate_distinct)
-            for table, rows in tables.items()
-            for start in range(0, len(rows.columns), COLUMNS_PER_SCAN)
-        ],
-    )
+    profiles = []
+    for table, rows in tables.items():
+        fields = list(enumerate(rows.schema.fields))
+        for start in range(0, len(fields), COLUMNS_PER_SCAN):
+            chunk = fields[start : start + COLUMNS_PER_SCAN]
+            profiles.append(_profile(table, rows, chunk, estimate_distinct))
+    return union_all(profiles)
 
 
 def _profile(table: str, rows: DataFrame, fields, estimate_distinct: bool) -> DataFrame:

@@ -7,12 +7,12 @@ afterwards has one row per table or per column.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideferry.functions.frames import union_all
 from tideferry.functions.numeric import percent, round4, variance_percent
 from tideferry.functions.text import part
 
@@ -30,15 +30,13 @@ NULL_RATE_TOLERANCE = 1.0
 COLUMNS_PER_SCAN = 400
 
 
-def _union(frames: Iterable[DataFrame]) -> DataFrame:
-    return functools.reduce(DataFrame.unionByName, frames)
-
-
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row (table_name, n) per table, as a union of plain counts."""
-    return _union(
-        rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        for name, rows in tables.items()
+    return union_all(
+        [
+            rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+            for name, rows in tables.items()
+        ]
     )
 
 
@@ -119,7 +117,7 @@ def null_rates(rows: DataFrame, columns: Iterable[str] | None = None) -> DataFra
         ]
         profiles.append(counted.select(F.inline(F.array(*entries))))
     rate = F.coalesce(percent(F.col("nulls"), F.col("total")), F.lit(0.0))
-    return _union(profiles).select("position", "column_name", round4(rate).alias("null_rate"))
+    return union_all(profiles).select("position", "column_name", round4(rate).alias("null_rate"))
 
 
 def reconcile_null_rates(
@@ -156,9 +154,11 @@ def reconcile_null_rates_of(
     pairs: Mapping[str, tuple[DataFrame, DataFrame]],
     threshold: float | Column = NULL_RATE_TOLERANCE,
 ) -> DataFrame:
-    return _union(
-        reconcile_null_rates(table, source, target, threshold)
-        for table, (source, target) in pairs.items()
+    return union_all(
+        [
+            reconcile_null_rates(table, source, target, threshold)
+            for table, (source, target) in pairs.items()
+        ]
     )
 
 

@@ -22,17 +22,16 @@ def register_new(inventory: DataFrame, registry: DataFrame, target_schema: str =
     """
     schema, table = F.upper("source_schema"), F.upper("source_table")
     known = registry.select(schema.alias("_schema"), table.alias("_table")).distinct()
-    first = latest_rows(
-        inventory.select("source_schema", "source_table", "row_count_est", "size_bytes_est"),
-        [schema, table],
-        ["source_table", "source_schema", "row_count_est", "size_bytes_est"],
-    )
-    fresh = first.join(
-        known,
-        (F.upper(first.source_schema) == known["_schema"])
-        & (F.upper(first.source_table) == known["_table"]),
-        "left_anti",
+    first = (
+        inventory.groupBy(schema.alias("_schema"), table.alias("_table"))
+        .agg(
+            F.min(
+                F.struct("source_table", "source_schema", "row_count_est", "size_bytes_est")
+            ).alias("_row")
+        )
+        .select("_schema", "_table", "_row.*")
     )
+    fresh = first.join(known, ["_schema", "_table"], "left_anti")
     return fresh.select(
         "source_schema",
         "source_table",

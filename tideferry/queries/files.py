@@ -10,7 +10,7 @@ from tideferry.operators.load import load_dataset, open_loaded
 from tideferry.queries.stand_ins import STEP_LOG_SQL, step_log
 from tideferry.sources.delimited import Dataset, Field, dataset_for, write_lines
 from tideferry.sources.shared import scratch_path
-from tideferry.sources.tables import read_table
+from tideferry.sources.tables import read_table, spread
 
 _CUSTOMER = (
     Field("c_custkey", "bigint", required=True),
@@ -44,7 +44,7 @@ def _load(spark: SparkSession, name: str, lines: DataFrame, fields, sep: str):
     return open_loaded(spark, dataset, result.path), result.rejects_path
 
 
-def _line(rows: DataFrame, sep: str, **changed) -> list:
+def _fields(rows: DataFrame, **changed) -> list:
     return [changed.get(c, F.col(c).cast("string")) for c in rows.columns]
 
 
@@ -56,15 +56,15 @@ def delimited_load_pipe(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("c_mktsegment") == "MACHINERY", F.lit("  "))
         .otherwise(F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" ")))
     )
-    line = F.concat_ws("|", *_line(customer, "|", c_mktsegment=segment)).alias("value")
+    line = F.concat_ws("|", *_fields(customer, c_mktsegment=segment)).alias("value")
     return _load(spark, "customer", customer.select(line), _CUSTOMER, "|")[0]
 
 
 def delimited_load_tab(spark: SparkSession, folder: str) -> DataFrame:
     """Line items through a tab file whose dates are written month first."""
-    rows = read_table(spark, folder, "lineitem")
+    rows = spread(read_table(spark, folder, "lineitem"))
     shipped = F.date_format("l_shipdate", "M/d/yyyy H:mm:ss")
-    line = F.concat_ws("\t", *_line(rows, "\t", l_shipdate=shipped)).alias("value")
+    line = F.concat_ws("\t", *_fields(rows, l_shipdate=shipped)).alias("value")
     loaded = _load(spark, "lineitem_tab", rows.select(line), _LINEITEM, "\t")[0]
     return loaded.withColumn("l_quantity", F.col("l_quantity").cast("double"))
 
@@ -77,7 +77,7 @@ def _spoiled(rows: DataFrame) -> DataFrame:
     flag = F.when(quantity == 46, F.lit("RR")).otherwise(F.col("l_returnflag"))
     number = F.when(quantity == 45, F.lit(" null ")).otherwise(F.col("l_linenumber").cast("string"))
     line = F.concat_ws(
-        "|", *_line(rows, "|", l_quantity=text, l_returnflag=flag, l_linenumber=number)
+        "|", *_fields(rows, l_quantity=text, l_returnflag=flag, l_linenumber=number)
     )
     line = (
         F.when(quantity == 48, F.concat(line, F.lit("|extra")))
@@ -88,7 +88,7 @@ def _spoiled(rows: DataFrame) -> DataFrame:
 
 
 def _load_spoiled(spark: SparkSession, folder: str):
-    rows = read_table(spark, folder, "lineitem")
+    rows = spread(read_table(spark, folder, "lineitem"))
     return _load(spark, "lineitem_pipe", _spoiled(rows), _LINEITEM, "|")
 
 

@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideferry.sources.tables import read_table
+from tideferry.sources.tables import read_table, spread
 
 ALL = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -170,7 +170,7 @@ def query_log(spark: SparkSession, folder: str) -> DataFrame:
         text = text.when(
             F.col("event_type") == kind, fill(template, table=table, user=F.col("user_id"))
         )
-    return read_table(spark, folder, "events").select(
+    return spread(read_table(spark, folder, "events")).select(
         F.col("event_id").alias("query_id"), text.alias("query_text")
     )
 
@@ -218,7 +218,9 @@ def definitions(spark: SparkSession, folder: str) -> DataFrame:
         kind=F.lower("p_type"),
         name=F.col("p_name"),
     )
-    return read_table(spark, folder, "part").select("p_partkey", text.alias("original_ddl"))
+    return spread(read_table(spark, folder, "part")).select(
+        "p_partkey", text.alias("original_ddl")
+    )
 
 
 DEFINITIONS_SQL = (

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideferry.functions.frames import computed_once
+
 # Field texts that stand for null, after trimming (fixed values).
 NULL_TOKENS = ("NULL", "null", "")
 
@@ -83,7 +85,7 @@ def _typed(text: Column, field: Field) -> Column:
 
 
 def _problem(field: Field) -> Column:
-    text, value = F.col(f"text.{field.name}"), F.col(f"value.{field.name}")
+    text, value = F.col(f"_text_{field.name}"), F.col(f"`{field.name}`")
     found = F.when(text.isNotNull() & value.isNull(), F.lit(f"TYPE:{field.name}"))
     if field.max_length is not None:
         found = found.when(F.char_length(text) > field.max_length, F.lit(f"LENGTH:{field.name}"))
@@ -99,29 +101,33 @@ def _separator_pattern(sep: str) -> str:
 
 
 def parse_lines(lines: DataFrame, dataset: Dataset) -> DataFrame:
-    """Every line with its typed ``value`` struct and the ``reason`` it is bad, if it is."""
+    """Every line with its typed fields and the ``reason`` it is bad, if it is."""
     fields = dataset.fields
-    parts = lines.withColumn("parts", F.split("line", _separator_pattern(dataset.sep), -1))
-    texts = parts.withColumn(
-        "text", F.struct(*[_field_text(F.col("parts"), i).alias(f.name) for i, f in enumerate(fields)])
+    pattern = _separator_pattern(dataset.sep)
+    parts = lines.withColumn("_parts", F.split("line", pattern, -1))
+    texts = parts.select(
+        "*",
+        computed_once(
+            [_field_text(F.col("_parts"), i).alias(f"_text_{f.name}") for i, f in enumerate(fields)]
+        ),
     )
-    typed = texts.withColumn(
-        "value", F.struct(*[_typed(F.col(f"text.{f.name}"), f).alias(f.name) for f in fields])
+    typed = texts.select(
+        "*", computed_once([_typed(F.col(f"_text_{f.name}"), f).alias(f.name) for f in fields])
     )
-    arity = F.when(F.size("parts") != len(fields), F.lit("ARITY"))
+    arity = F.when(F.size("_parts") != len(fields), F.lit("ARITY"))
+    reason = F.coalesce(arity, *[_problem(f) for f in fields])
     return typed.select(
-        *[c for c in lines.columns],
-        "value",
-        F.coalesce(arity, *[_problem(f) for f in fields]).alias("reason"),
+        *lines.columns, *[F.col(f"`{f.name}`") for f in fields], reason.alias("reason")
     )
 
 
-def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("reason").isNull()).select("value.*")
+def accepted(parsed: DataFrame, dataset: Dataset) -> DataFrame:
+    good = parsed.filter(F.col("reason").isNull())
+    return good.select(*[F.col(f"`{f.name}`") for f in dataset.fields])
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("reason").isNotNull()).drop("value")
+    return parsed.filter(F.col("reason").isNotNull()).select("line", "source_file", "reason")
 
 
 def write_lines(rows: DataFrame, location: str, sep: str = "|") -> None:
