@@ -21,17 +21,19 @@ SPACE = (
     r"\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 )
 
-_PLAIN_WORD = re.compile(r"[A-Za-z0-9_]+")
+_PLAIN_WORDS = re.compile(r"[A-Za-z0-9_]+(?:\|[A-Za-z0-9_]+)*")
 
 
 def whole_word(pattern: str) -> str:
     """Anchor ``pattern`` at ASCII word boundaries on both sides.
 
-    For a plain word the look-behind follows the word and spans it, so it is
-    tried where the word was found and not at every position of the text.
+    For plain words (``a`` or ``a|b``) the look-behind follows the word and
+    spans it, so it is tried where a word was found and not at every position
+    of the text.
     """
-    if _PLAIN_WORD.fullmatch(pattern):
-        return f"{pattern}(?<!{WORD}{pattern})(?!{WORD})"
+    if _PLAIN_WORDS.fullmatch(pattern):
+        words = "|".join(f"{word}(?<!{WORD}{word})" for word in pattern.split("|"))
+        return f"(?:{words})(?!{WORD})"
     edge = f"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
     return f"{edge}(?:{pattern}){edge}"
 

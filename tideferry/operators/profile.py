@@ -14,43 +14,47 @@ from tideferry.operators.reconcile import COLUMNS_PER_SCAN
 _COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
 
 
+_INVENTORY = "table_name STRING, position INT, column_name STRING, data_type STRING, is_complex BOOLEAN"
+
+
 def column_inventory(
     tables: Mapping[str, DataFrame], estimate_distinct: bool = False
 ) -> DataFrame:
     """One row per column: type, whether it is complex, rows, nulls.
 
     One pass per table (per ``COLUMNS_PER_SCAN`` columns); distinct values are
-    estimated by sketches in the same pass when asked for.
+    estimated by sketches in the same pass when asked for. The declared types
+    come from the schemas and are as many as there are columns.
     """
-    profiles = []
+    declared, profiles = [], []
     for table, rows in tables.items():
-        fields = list(enumerate(rows.schema.fields))
-        for start in range(0, len(fields), COLUMNS_PER_SCAN):
-            chunk = fields[start : start + COLUMNS_PER_SCAN]
-            profiles.append(_profile(table, rows, chunk, estimate_distinct))
-    return union_all(profiles)
-
-
-def _profile(table: str, rows: DataFrame, fields, estimate_distinct: bool) -> DataFrame:
-    measures = [F.count(F.lit(1)).alias("_rows")]
-    entries = []
-    for i, field in fields:
-        column = F.col(f"`{field.name}`")
-        measures.append(F.count(column).alias(f"_n{i}"))
-        entry = [
-            F.lit(table.upper()).alias("table_name"),
-            F.lit(i + 1).alias("position"),
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.lit(isinstance(field.dataType, _COMPLEX)).alias("is_complex"),
-            F.col("_rows").alias("row_count"),
-            (F.col("_rows") - F.col(f"_n{i}")).alias("null_count"),
+        fields = rows.schema.fields
+        declared += [
+            (table.upper(), i, f.name, f.dataType.simpleString(), isinstance(f.dataType, _COMPLEX))
+            for i, f in enumerate(fields, 1)
         ]
+        for start in range(0, len(fields), COLUMNS_PER_SCAN):
+            names = rows.columns[start : start + COLUMNS_PER_SCAN]
+            profile = _measured(rows, names, estimate_distinct)
+            profiles.append(profile.withColumn("table_name", F.lit(table.upper())))
+    types = tables[next(iter(tables))].sparkSession.createDataFrame(declared, _INVENTORY)
+    measures = ["row_count", "null_count", *(["distinct_estimate"] if estimate_distinct else [])]
+    return types.join(union_all(profiles), ["table_name", "column_name"]).select(
+        *types.columns, *[F.col(f"_measures.{m}") for m in measures]
+    )
+
+
+def _measured(rows: DataFrame, names: list[str], estimate_distinct: bool) -> DataFrame:
+    """(column_name, _measures) for some columns of a table, in one aggregation."""
+    columns = [F.col(f"`{name}`") for name in names]
+    total = F.count(F.lit(1))
+    measured = []
+    for column, name in zip(columns, names):
+        parts = [total.alias("row_count"), (total - F.count(column)).alias("null_count")]
         if estimate_distinct:
-            measures.append(F.approx_count_distinct(column).alias(f"_d{i}"))
-            entry.append(F.col(f"_d{i}").alias("distinct_estimate"))
-        entries.append(F.struct(*entry))
-    return rows.agg(*measures).select(F.inline(F.array(*entries)))
+            parts.append(F.approx_count_distinct(column).alias("distinct_estimate"))
+        measured.append(F.struct(*parts).alias(name))
+    return rows.agg(*measured).unpivot([], columns, "column_name", "_measures")
 
 
 _TABLE_AFTER = r"(?i)\b(?:from|join|into|vacuum|analyze|table)\s+([a-z_][\w.]*)"

@@ -7,7 +7,7 @@ afterwards has one row per table or per column.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,28 +96,19 @@ def reconcile_row_counts(
     )
 
 
-def null_rates(rows: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """(position, column_name, null_rate) per column, the rate in percent."""
+def null_rates(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, null_rate) per column, the rate in percent."""
     names = list(columns or rows.columns)
     profiles = []
     for start in range(0, len(names), COLUMNS_PER_SCAN):
-        chunk = names[start : start + COLUMNS_PER_SCAN]
-        counted = rows.agg(
+        chunk = [F.col(f"`{name}`") for name in names[start : start + COLUMNS_PER_SCAN]]
+        filled = rows.agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.count(F.col(f"`{name}`")).alias(f"_{i}") for i, name in enumerate(chunk)],
+            *[F.count(column).alias(name) for column, name in zip(chunk, names[start:])],
         )
-        entries = [
-            F.struct(
-                F.lit(start + i).alias("position"),
-                F.lit(name).alias("column_name"),
-                (F.col("_rows") - F.col(f"_{i}")).alias("nulls"),
-                F.col("_rows").alias("total"),
-            )
-            for i, name in enumerate(chunk)
-        ]
-        profiles.append(counted.select(F.inline(F.array(*entries))))
-    rate = F.coalesce(percent(F.col("nulls"), F.col("total")), F.lit(0.0))
-    return union_all(profiles).select("position", "column_name", round4(rate).alias("null_rate"))
+        profiles.append(filled.unpivot("_rows", chunk, "column_name", "_filled"))
+    rate = F.coalesce(percent(F.col("_rows") - F.col("_filled"), F.col("_rows")), F.lit(0.0))
+    return union_all(profiles).select("column_name", round4(rate).alias("null_rate"))
 
 
 def reconcile_null_rates(

@@ -7,8 +7,10 @@ its files; plain ``<root>/<table>/`` for configuration.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +30,26 @@ class ControlStore:
             empty.write.mode("ignore").parquet(self._path(table))
         return self
 
-    def _path(self, table: ControlTable) -> str:
-        return f"{self.root}/{table.name}"
+    def _path(self, table: ControlTable, run_id: str | None = None) -> str:
+        folder = f"{self.root}/{table.name}"
+        if run_id is None:
+            return folder
+        if not re.fullmatch(r"[\w.-]+", run_id):
+            raise ValueError(f"run id unfit for a folder name: {run_id!r}")
+        return f"{folder}/run_id={run_id}"
 
     def read(self, table: ControlTable, run_id: str | None = None) -> DataFrame:
-        rows = self.spark.read.schema(table.schema).parquet(self._path(table))
-        rows = rows.select(*table.schema.names)
-        return rows if run_id is None else rows.filter(F.col("run_id") == run_id)
+        """All rows of a table; with ``run_id`` only that run's folder is listed and read."""
+        names, reader = table.schema.names, self.spark.read.schema(table.schema)
+        if run_id is None:
+            return reader.parquet(self._path(table)).select(*names)
+        try:
+            rows = reader.option("basePath", self._path(table)).parquet(self._path(table, run_id))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], table.schema)
+        return rows.select(*names)
 
     def current(self, table: ControlTable, run_id: str | None = None) -> DataFrame:
         """The table with only the newest version of each row."""
@@ -49,7 +64,7 @@ class ControlStore:
             with_defaults(rows, table).write.mode("append").parquet(self._path(table))
             return
         rows = with_defaults(rows.withColumn("run_id", F.lit(run_id)), table).drop("run_id")
-        rows.write.mode("append").parquet(f"{self._path(table)}/run_id={run_id}")
+        rows.write.mode("append").parquet(self._path(table, run_id))
 
     def append_values(
         self, table: ControlTable, values: Iterable[Mapping], run_id: str | None = None
