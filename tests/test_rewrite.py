@@ -116,6 +116,13 @@ def test_clean_up_knows_all_spaces(spark):
     assert run(spark, "a ENCODE lzo,\n )\n　\nb", lambda t: clean_up(t)) == "a \n)\nb"
 
 
+def test_long_blank_runs_stay_linear(spark):
+    blank = "\n \t" * 100_000
+    for text in ("," + blank + "x", "," + blank + ")", "a" + " \n" * 100_000):
+        assert len(run(spark, text, lambda t: clean_up(t))) < 10
+    assert run(spark, ",  )", lambda t: clean_up(t)) == ",  )"
+
+
 def test_prefix_is_literal(spark):
     assert run(spark, "s.x sax", lambda t: clean_up(t, "s")) == "x sax"
 

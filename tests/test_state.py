@@ -28,6 +28,34 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     assert "partial_max_by" in plan and "Window" not in plan
 
 
+@pytest.fixture
+def small_partitions(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_hot_keys_on_both_sides_of_a_join(spark, small_partitions):
+    left = spark.range(200_000).selectExpr("if(id % 3 = 0, -7, id) AS k", "uuid() AS v")
+    right = spark.range(90_000, numPartitions=3).selectExpr("if(id % 3 = 0, 0, id) AS k")
+    joined = new_rows(left, right, ["k"])
+    found = joined.agg(F.count(F.lit(1)), F.count_if(F.col("k") == -7), F.max("v"))
+    hot = len(range(0, 200_000, 3))
+    assert tuple(found.collect()[0])[:2] == (hot + len([k for k in range(200_000) if k % 3 and k >= 90_000]), hot)
+    final = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in final
+    assert "distinct" not in final and "HashAggregate(keys=[k" in final
+
+
 INVENTORY = "source_schema string, source_table string, row_count_est bigint, size_bytes_est bigint"
 
 

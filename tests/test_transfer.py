@@ -11,9 +11,10 @@ from tideferry.model import (
     TRANSLATION_RULES,
     VALIDATION_CONFIG,
 )
-from tideferry.operators.rewrite import DEFAULT_RULES
 from tideferry.plans import reports
+from tideferry.plans.seed import seed_configuration
 from tideferry.plans.transfer import Transfer
+from tideferry.plans.views import create_views, drop_views
 from tideferry.sources.control import ControlStore
 from tideferry.sources.sample_tables import sample_datasets
 
@@ -43,13 +44,11 @@ def run(spark, tmp_path_factory):
          for t in TABLES],
     )
     store.append_values(
-        TRANSLATION_RULES,
-        [{"config_id": r.rule_id, "config_type": r.kind, "source_value": r.source, "target_value": r.target,
-          "is_active": r.is_active} for r in DEFAULT_RULES],
-    )
-    store.append_values(
-        VALIDATION_CONFIG, [{"check_name": "Nulls", "check_type": "NULL_RATE", "fail_threshold": 0.2}]
+        VALIDATION_CONFIG,
+        [{"config_id": "0", "check_name": "Nulls", "check_type": "NULL_RATE", "fail_threshold": 0.2}],
     )
+    seed_configuration(store)
+    seed_configuration(store)
     other = Transfer.open(spark, store, "earlier", sample_datasets(str(root)), str(root / "other"))
     other.assess("shop")
     run = Transfer.open(spark, store, "first", sample_datasets(str(root)), str(root / "target"), "tests")
@@ -95,8 +94,11 @@ def test_whole_run(spark, run):
     failed = [r.check_name for r in results.filter("status = 'FAIL' AND check_type = 'NULL_RATE'").collect()]
     assert failed == ["NULL_RATE:VENUE.venueseats"]
 
-    joined = reports.validation_view(results, run.registry())
-    assert joined.filter("source_table IS NULL").count() == 0 and joined.count() == 8
+    changed = run.target("venue").withColumn("venuename", F.lit("Other"))
+    assert run.validate_checksum("venue", changed, ["venueid"]).filter("status != 'CHANGED'").count() == 0
+
+    joined = reports.validation_view(run.results(), run.registry())
+    assert joined.filter("source_table IS NULL").count() == 0 and joined.count() == 9
 
     run.close()
     closed = run.store.current(RUNS, run.run_id).first()
@@ -116,7 +118,7 @@ def test_audit_trail(run):
     assert steps[8] == ("LOAD_BATCH", "STARTED")
     loads = [status for name, status in steps if name == "LOAD_TABLE"]
     assert loads.count("STARTED") == 5 and loads.count("SUCCESS") == 3 and loads.count("FAILED") == 2
-    last = reports.recent_activity(run.log(), 1).first()
+    last = reports.recent_activity(run.log(), 3).collect()[-1]
     assert (last.step_name, last.status, last.rows_processed) == ("VALIDATE_NULL_RATES", "SUCCESS", 5)
     messages = {r.error_message for r in reports.failed_steps(run.log()).collect()}
     assert any("No translated definition" in m for m in messages)
@@ -134,3 +136,18 @@ def test_a_run_can_be_continued(spark, run):
 def test_run_ids_are_folder_names(run):
     with pytest.raises(ValueError, match="unfit"):
         run.store.read(RUNS, "../x")
+
+
+def test_seeding_twice_adds_nothing(run):
+    assert run.store.read(TRANSLATION_RULES).count() == 14
+    assert run.store.read(VALIDATION_CONFIG).count() == 3
+
+
+def test_views(spark, run):
+    names = create_views(run.store, run.run_id)
+    shown = spark.sql("SELECT table_status, count(*) n FROM v_migration_status GROUP BY 1 ORDER BY 1").collect()
+    assert [tuple(row) for row in shown] == [("TRANSLATED", 1), ("VALIDATED", 3)]
+    assert spark.sql("SELECT * FROM v_recent_activity").count() == run.log().count()
+    assert spark.sql("SELECT sum(table_count) s FROM v_migration_summary").first().s == 4
+    drop_views(run.store, names)
+    assert not spark.catalog.tableExists("v_migration_status")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideferry.functions.numeric import percent, round4
-from tideferry.operators.reconcile import CHECKSUM
+from tideferry.operators.reconcile import CHECKSUM, verdict
 
 # Number of hexadecimal digits of the key hash that decide on sampling.
 _DIGITS = 4
@@ -96,7 +96,7 @@ def differences(compared: DataFrame) -> DataFrame:
 
 
 def sample_checksum(
-    table: str, compared: DataFrame, threshold: float = 0.0
+    table: str, compared: DataFrame, threshold: float | Column = 0.0
 ) -> DataFrame:
     """The comparison as one check row: sampled keys against matching keys."""
     counted = compared.agg(
@@ -114,8 +114,6 @@ def sample_checksum(
         F.col("sampled").cast("double").alias("source_value"),
         F.col("matching").cast("double").alias("target_value"),
         round4(distance).alias("variance_pct"),
-        F.when(distance > F.lit(float(threshold)), F.lit("FAIL"))
-        .otherwise(F.lit("PASS"))
-        .alias("status"),
+        verdict(distance, threshold).alias("status"),
         F.lit(None).cast("string").alias("note"),
     )

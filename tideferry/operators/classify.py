@@ -18,7 +18,9 @@ _MAINTENANCE = (
     r"(?i)^\s*(?:vacuum|analyze|create|alter|drop|truncate|grant|revoke|comment|refresh)\b"
 )
 _QUERY = r"(?i)^\s*(?:select|with)\b"
-_SUMMARY = r"(?i)\bgroup\s+by\b|\b(?:count|sum|avg|min|max)\s*\(|(?s:\bjoin\b.*\border\s+by\b)"
+_SUMMARY = r"(?i)\bgroup\s+by\b|\b(?:count|sum|avg|min|max)\s*\("
+_JOIN = r"(?i)\bjoin\b"
+_SORT = r"(?i)\border\s+by\b"
 _INSPECT = r"(?i)^\s*(?:select|with|show|describe|explain)\b"
 
 
@@ -32,7 +34,12 @@ def rule_label(text: Column) -> Column:
         F.when(F.rlike(text, F.lit(_ETL)), F.lit("ETL"))
         .when(F.rlike(text, F.lit(_MAINTENANCE)), F.lit("MAINTENANCE"))
         .when(
-            F.rlike(text, F.lit(_QUERY)) & F.rlike(text, F.lit(_SUMMARY)), F.lit("REPORTING")
+            F.rlike(text, F.lit(_QUERY))
+            & (
+                F.rlike(text, F.lit(_SUMMARY))
+                | (F.rlike(text, F.lit(_JOIN)) & F.rlike(text, F.lit(_SORT)))
+            ),
+            F.lit("REPORTING"),
         )
         .when(F.rlike(text, F.lit(_INSPECT)), F.lit("AD_HOC"))
     )

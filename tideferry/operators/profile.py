@@ -52,7 +52,9 @@ def _measured(rows: DataFrame, names: list[str], estimate_distinct: bool) -> Dat
     for column, name in zip(columns, names):
         parts = [total.alias("row_count"), (total - F.count(column)).alias("null_count")]
         if estimate_distinct:
-            parts.append(F.approx_count_distinct(column).alias("distinct_estimate"))
+            hashable = not isinstance(rows.schema[name].dataType, (T.MapType, T.VariantType))
+            estimate = F.approx_count_distinct(column) if hashable else F.lit(None).cast("bigint")
+            parts.append(estimate.alias("distinct_estimate"))
         measured.append(F.struct(*parts).alias(name))
     return rows.agg(*measured).unpivot([], columns, "column_name", "_measures")
 

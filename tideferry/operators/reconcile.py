@@ -54,12 +54,9 @@ def configured_threshold(config: DataFrame, check_type: str, default: float) ->
     ).scalar()
 
 
-def _as_threshold(threshold: float | Column) -> Column:
-    return threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-
-
-def _verdict(distance: Column, threshold: float | Column) -> Column:
-    return F.when(distance > _as_threshold(threshold), F.lit("FAIL")).otherwise(F.lit("PASS"))
+def verdict(distance: Column, threshold: float | Column) -> Column:
+    bound = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    return F.when(distance > bound, F.lit("FAIL")).otherwise(F.lit("PASS"))
 
 
 def reconcile_row_counts(
@@ -91,7 +88,7 @@ def reconcile_row_counts(
         "source_value",
         "target_value",
         round4(variance).alias("variance_pct"),
-        _verdict(variance, threshold).alias("status"),
+        verdict(variance, threshold).alias("status"),
         F.when(F.col("unknown") | (F.col("source_value") == 0), F.lit("NO_SOURCE")).alias("note"),
     )
 
@@ -136,7 +133,7 @@ def reconcile_null_rates(
         "source_value",
         F.col("null_rate").alias("target_value"),
         distance.alias("variance_pct"),
-        _verdict(distance, threshold).alias("status"),
+        verdict(distance, threshold).alias("status"),
         F.lit(None).cast("string").alias("note"),
     )
 

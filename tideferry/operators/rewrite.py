@@ -147,12 +147,16 @@ def clean_up(text: Column, schema_prefix: str | None = None) -> Column:
     """Fixed final pass: leftovers of storage clauses, schema prefix, layout."""
     text = replace_pattern(text, f"ENCODE{SPACE}+\\w+")
     text = replace_pattern(text, f"DISTSTYLE{SPACE}+(?:KEY|ALL|EVEN)")
-    text = replace_pattern(text, f"DISTKEY{SPACE}*\\([^)]+\\)")
-    text = replace_pattern(text, f"SORTKEY{SPACE}*\\([^)]+\\)")
+    text = replace_pattern(text, f"DISTKEY{SPACE}*\\([^)]++\\)")
+    text = replace_pattern(text, f"SORTKEY{SPACE}*\\([^)]++\\)")
     if schema_prefix:
         text = replace_pattern(text, f"\\Q{schema_prefix}.\\E")
     text = replace_pattern(text, f"CREATE{SPACE}+TABLE", "CREATE OR REPLACE TABLE")
-    text = replace_pattern(text, f",{SPACE}*\\n{SPACE}*\\)", "\n)", ignore_case=False)
+    # A comma, spaces with a line break among them, and a closing bracket. The
+    # possessive parts keep a long run of blank lines linear.
+    text = replace_pattern(
+        text, f",(?:(?!\\n){SPACE})*+\\n{SPACE}*+\\)", "\n)", ignore_case=False
+    )
     return replace_pattern(text, f"\\n{SPACE}*\\n", "\n", ignore_case=False)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideferry.functions.frames import thinned_keys
+
 
 def latest_rows(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
     """The whole newest row of every key.
@@ -34,10 +36,9 @@ def matching(current: DataFrame, matched: DataFrame, on: Sequence[str]) -> DataF
     """Current rows whose key occurs in ``matched``, whatever the letter case.
 
     ``matched`` only decides which rows change, so it is a semi join: a
-    duplicate on that side cannot multiply state rows. Its keys are made
-    distinct first, which combines a hot key before the shuffle.
+    duplicate on that side cannot multiply state rows.
     """
-    keys = matched.select(*[F.upper(c).alias(f"_{c}") for c in on]).distinct()
+    keys = thinned_keys(matched, [F.upper(c).alias(f"_{c}") for c in on])
     condition = [F.upper(current[c]) == keys[f"_{c}"] for c in on]
     return current.join(keys, condition, "left_semi")
 

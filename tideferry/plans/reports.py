@@ -107,25 +107,38 @@ def pass_rate(results: DataFrame, run_id=None) -> DataFrame:
     )
 
 
+def run_overview(registry: DataFrame, results: DataFrame, run_id=None) -> DataFrame:
+    """The tables of a run by state, and its validation pass rate (0 without checks)."""
+    rates = of_run(results, run_id).groupBy("run_id").agg(
+        pass_percent(F.count_if(F.col("status") == "PASS"), F.count(F.lit(1))).alias("pass_rate")
+    )
+    return (
+        run_kpis(registry, run_id)
+        .join(rates, "run_id", "left")
+        .withColumn("pass_rate", F.coalesce("pass_rate", F.lit(0.0)))
+    )
+
+
 def definition_preview(translations: DataFrame, run_id=None, length: int = 120) -> DataFrame:
+    """Starts of both texts; cut before the sort, so that whole texts are not moved."""
     return (
         of_run(translations, run_id)
-        .orderBy("source_table")
         .select(
             "source_table",
             preview(F.col("original_ddl"), length).alias("original_preview"),
             preview(F.col("translated_ddl"), length).alias("translated_preview"),
         )
+        .orderBy("source_table")
     )
 
 
 def query_preview(classified: DataFrame, length: int = 100, also: Sequence[str] = ()) -> DataFrame:
-    return classified.orderBy("query_category", *also).select(
+    return classified.select(
         *also,
         "query_category",
         "confidence",
         preview(F.col("query_text"), length).alias("query_preview"),
-    )
+    ).orderBy("query_category", *also)
 
 
 def category_distribution(classified: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -27,9 +27,11 @@ from tideferry.model import (
     VALIDATION_CONFIG,
     VALIDATION_RESULTS,
 )
+from tideferry.operators.checksum import compare_sample, differences, sample_checksum
 from tideferry.operators.classify import classify
 from tideferry.operators.load import LoadResult, load_dataset, open_loaded
 from tideferry.operators.reconcile import (
+    CHECKSUM,
     NULL_RATE,
     NULL_RATE_TOLERANCE,
     ROW_COUNT_TOLERANCE,
@@ -228,6 +230,11 @@ class Transfer:
             step.tables, step.failed = len(result.loaded), len(result.failures)
         return result
 
+    def _record(self, checks: DataFrame) -> None:
+        """Append check results with the id of the table they belong to."""
+        ids = self.registry().select("registry_id", F.upper("source_table").alias("table_name"))
+        self.store.append(VALIDATION_RESULTS, checks.join(ids, "table_name", "left"), self.run_id)
+
     def validate_row_counts(
         self, sources: Mapping[str, DataFrame] | None = None, threshold=ROW_COUNT_TOLERANCE
     ) -> int:
@@ -246,10 +253,7 @@ class Transfer:
                 source_counts = table_counts(sources)
             target_counts = table_counts({name: self.target(name) for name in names})
             checks = reconcile_row_counts(source_counts, target_counts, threshold)
-            ids = loaded.select("registry_id", F.upper("source_table").alias("table_name"))
-            self.store.append(
-                VALIDATION_RESULTS, checks.join(ids, "table_name", "left"), self.run_id
-            )
+            self._record(checks)
             self.store.change(REGISTRY, loaded, self.run_id, status="VALIDATED")
         return step.rows
 
@@ -261,15 +265,20 @@ class Transfer:
             )
             target = self.target(table)
             checks = reconcile_null_rates(table, source, target, threshold)
-            ids = self.registry().select(
-                "registry_id", F.upper("source_table").alias("table_name")
-            )
-            self.store.append(
-                VALIDATION_RESULTS, checks.join(ids, "table_name", "left"), self.run_id
-            )
+            self._record(checks)
             step.rows = len(target.columns)
         return step.rows
 
+    def validate_checksum(self, table: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Compare a tenth of one table's keys; returns the keys that differ."""
+        with self.step("VALIDATION", "VALIDATE_CHECKSUM") as step:
+            threshold = configured_threshold(self.store.read(VALIDATION_CONFIG), CHECKSUM, 0.0)
+            compared = compare_sample(source, self.target(table), keys)
+            checks = sample_checksum(table, compared, threshold)
+            self._record(checks)
+            step.rows = 1
+        return differences(compared)
+
     def close(self) -> None:
         run = self.store.current(RUNS, self.run_id)
         self.store.change(

@@ -43,9 +43,10 @@ def _inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry_register_new(spark: SparkSession, folder: str) -> DataFrame:
-    big = read_table(spark, folder, "orders").filter("o_totalprice > 450000")
+    orders = read_table(spark, folder, "orders").filter("o_totalprice > 450000")
     customer = read_table(spark, folder, "customer")
-    known = customer.join(big, customer.c_custkey == big.o_custkey, "left_semi").select(
+    big = orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    known = customer.join(big, "c_custkey").select(
         F.col("c_mktsegment").alias("source_schema"), F.upper("c_name").alias("source_table")
     )
     return registering.register_new(_inventory(spark, folder), known)
@@ -75,6 +76,16 @@ def _outcomes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def run_overview(spark: SparkSession, folder: str) -> DataFrame:
+    """Overview of all runs; events stand in for check results."""
+    failed = F.col("event_type") == "error"
+    results = read_table(spark, folder, "events").select(
+        F.col("user_id").alias("run_id"),
+        F.when(failed, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
+    )
+    return reports.run_overview(registry(spark, folder), results)
+
+
 _LOADED_BEFORE = "o_orderdate < timestamp_ntz'2000-06-01 00:00:00'"
 
 
@@ -117,6 +128,7 @@ QUERIES = {
     "latest_run": lambda spark, folder: reports.latest_run(runs(spark, folder)),
     "run_picker": lambda spark, folder: reports.run_picker(runs(spark, folder)),
     "run_kpis": lambda spark, folder: reports.run_kpis(registry(spark, folder)),
+    "run_overview": run_overview,
     "status_view": lambda spark, folder: reports.status_view(
         registry(spark, folder), runs(spark, folder)
     ),
@@ -205,6 +217,15 @@ ORACLE = {
                count(*) FILTER (WHERE status IN ('LOADED', 'VALIDATED')) AS loaded_tables,
                count(*) FILTER (WHERE status = 'VALIDATED') AS validated_tables
         FROM ({REGISTRY_SQL}) GROUP BY run_id""",
+    "run_overview": f"""
+        SELECT t.run_id, total_tables, loaded_tables, validated_tables, coalesce(rate, 0.0) AS pass_rate
+        FROM (SELECT run_id, count(*) AS total_tables,
+                     count(*) FILTER (WHERE status IN ('LOADED', 'VALIDATED')) AS loaded_tables,
+                     count(*) FILTER (WHERE status = 'VALIDATED') AS validated_tables
+              FROM ({REGISTRY_SQL}) GROUP BY run_id) t
+        LEFT JOIN (SELECT user_id, round(count(*) FILTER (WHERE event_type <> 'error')
+                          / count(*) * 100.0, 1) AS rate FROM events GROUP BY user_id) c
+          ON t.run_id = c.user_id""",
     "status_view": f"""
         SELECT r.run_name, r.status AS run_status, t.source_schema, t.source_table, t.target_schema,
                t.target_table, t.status AS table_status, t.row_count_est, t.updated_at
