@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tideferry.model import VALIDATION_CONFIG, with_defaults
 from tideferry.operators import checksum, reconcile
+from tideferry.operators.profile import column_inventory
 
 
 def counts(spark, **tables):
@@ -73,6 +74,15 @@ def test_wide_tables_are_read_in_chunks(spark, monkeypatch):
     assert whole[4] == ("c4", 50.0)
 
 
+def test_awkward_column_names(spark):
+    rows = spark.range(4).selectExpr("id AS `a.b`", "if(id = 0, null, 1) AS `x``y z`")
+    assert sorted(reconcile.null_rates(rows).collect()) == [("a.b", 0.0), ("x`y z", 25.0)]
+    found = column_inventory({"t": rows}, estimate_distinct=True).collect()
+    assert sorted((r.column_name, r.null_count, r.distinct_estimate) for r in found) == [("a.b", 0, 4), ("x`y z", 1, 1)]
+    matched = checksum.compare_sample(rows, rows, ["a.b"], 1.0).filter("status = 'MATCH'")
+    assert matched.count() == 4
+
+
 def test_missing_source_column(spark):
     with pytest.raises(ValueError, match="no column extra"):
         reconcile.reconcile_null_rates("t", spark.range(1), spark.range(1).selectExpr("id", "id AS extra"))

@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name as it is written in an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name, pairwise, so that many frames make a shallow plan."""
     frames = list(frames)

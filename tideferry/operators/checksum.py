@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideferry.functions.frames import quoted
 from tideferry.functions.numeric import percent, round4
 from tideferry.operators.reconcile import CHECKSUM, verdict
 
@@ -24,13 +25,13 @@ def in_sample(keys: Sequence[str], fraction: float) -> Column:
     if fraction >= 1.0:
         return F.lit(True)
     bound = format(round(fraction * 16**_DIGITS), f"0{_DIGITS}x")
-    key = F.concat_ws("\u0001", *[F.col(f"`{k}`").cast("string") for k in keys])
+    key = F.concat_ws("\u0001", *[F.col(quoted(k)).cast("string") for k in keys])
     return F.substr(F.md5(key), F.lit(1), F.lit(_DIGITS)) < F.lit(bound)
 
 
 def _digest(columns: Sequence[str]) -> Column:
     """128 bits of the row's values as two longs; null differs from any text."""
-    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in columns]
+    values = [F.coalesce(F.col(quoted(c)).cast("string"), F.lit("\u0000")) for c in columns]
     return F.md5(F.concat_ws("\u0001", *values))
 
 
@@ -41,9 +42,9 @@ def _half(digest: Column, start: int) -> Column:
 def _digested(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], fraction: float, side: int) -> DataFrame:
     return (
         rows.filter(in_sample(keys, fraction))
-        .select(*[F.col(f"`{k}`") for k in keys], _digest(columns).alias("_md5"))
+        .select(*map(quoted, keys), _digest(columns).alias("_md5"))
         .select(
-            *keys,
+            *map(quoted, keys),
             F.lit(1 - side).alias("_s"),
             F.lit(side).alias("_t"),
             (_half(F.col("_md5"), 1) * (1 - 2 * side)).alias("_lo"),
@@ -80,14 +81,14 @@ def compare_sample(
         .otherwise(F.lit("CHANGED"))
     )
     return (
-        both.groupBy(*keys)
+        both.groupBy(*map(quoted, keys))
         .agg(
             F.sum("_s").alias("source_rows"),
             F.sum("_t").alias("target_rows"),
             F.sum("_lo").alias("_lo"),
             F.sum("_hi").alias("_hi"),
         )
-        .select(*keys, "source_rows", "target_rows", status.alias("status"))
+        .select(*map(quoted, keys), "source_rows", "target_rows", status.alias("status"))
     )
 
 

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.functions.frames import thinned_keys
+from tideferry.functions.frames import quoted, thinned_keys
 
 
 def new_rows(
@@ -30,5 +30,5 @@ def new_rows(
         if mark is not None:
             recent = F.col(changed_at) >= F.lit(mark - overlap).cast(target.schema[changed_at].dataType)
             source, target = source.filter(recent), target.filter(recent)
-    known = thinned_keys(target, [F.col(f"`{k}`") for k in keys])
+    known = thinned_keys(target, [F.col(quoted(k)) for k in keys])
     return source.join(known, list(keys), "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideferry.functions.frames import union_all
+from tideferry.functions.frames import quoted, union_all
 from tideferry.operators.reconcile import COLUMNS_PER_SCAN
 
 _COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
@@ -46,16 +46,16 @@ def column_inventory(
 
 def _measured(rows: DataFrame, names: list[str], estimate_distinct: bool) -> DataFrame:
     """(column_name, _measures) for some columns of a table, in one aggregation."""
-    columns = [F.col(f"`{name}`") for name in names]
-    total = F.count(F.lit(1))
     measured = []
-    for column, name in zip(columns, names):
-        parts = [total.alias("row_count"), (total - F.count(column)).alias("null_count")]
+    for name in names:
+        column = quoted(name)
+        parts = f"count(1) AS row_count, count(1) - count({column}) AS null_count"
         if estimate_distinct:
             hashable = not isinstance(rows.schema[name].dataType, (T.MapType, T.VariantType))
-            estimate = F.approx_count_distinct(column) if hashable else F.lit(None).cast("bigint")
-            parts.append(estimate.alias("distinct_estimate"))
-        measured.append(F.struct(*parts).alias(name))
+            estimate = f"approx_count_distinct({column})" if hashable else "CAST(NULL AS BIGINT)"
+            parts += f", {estimate} AS distinct_estimate"
+        measured.append(F.expr(f"struct({parts}) AS {column}"))
+    columns = [quoted(name) for name in names]
     return rows.agg(*measured).unpivot([], columns, "column_name", "_measures")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.functions.frames import union_all
+from tideferry.functions.frames import quoted, union_all
 from tideferry.functions.numeric import percent, round4, variance_percent
 from tideferry.functions.text import part
 
@@ -98,10 +98,9 @@ def null_rates(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     names = list(columns or rows.columns)
     profiles = []
     for start in range(0, len(names), COLUMNS_PER_SCAN):
-        chunk = [F.col(f"`{name}`") for name in names[start : start + COLUMNS_PER_SCAN]]
+        chunk = [quoted(name) for name in names[start : start + COLUMNS_PER_SCAN]]
         filled = rows.agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.count(column).alias(name) for column, name in zip(chunk, names[start:])],
+            F.count(F.lit(1)).alias("_rows"), *[F.expr(f"count({c}) AS {c}") for c in chunk]
         )
         profiles.append(filled.unpivot("_rows", chunk, "column_name", "_filled"))
     rate = F.coalesce(percent(F.col("_rows") - F.col("_filled"), F.col("_rows")), F.lit(0.0))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.functions.frames import thinned_keys
+from tideferry.functions.frames import quoted, thinned_keys
 
 
 def latest_rows(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
@@ -17,7 +17,7 @@ def latest_rows(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[s
     key leaves a task: a key that holds a third of all rows costs no more
     than any other. (A ranking window would move every row.)
     """
-    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(*order))
+    newest = F.max_by(F.struct(*[F.col(quoted(c)) for c in rows.columns]), F.struct(*order))
     named = [
         (F.col(k) if isinstance(k, str) else k).alias(f"_key{i}") for i, k in enumerate(keys)
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideferry.operators.history import keep_history
 from tideferry.operators.load import load_dataset, open_loaded
 from tideferry.queries.stand_ins import STEP_LOG_SQL, step_log
-from tideferry.sources.delimited import Dataset, Field, dataset_for, write_lines
+from tideferry.sources.delimited import Dataset, Field, dataset_for
 from tideferry.sources.shared import scratch_path
 from tideferry.sources.tables import read_table, spread
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from datetime import datetime
 
 from tideferry.plans import workload
-from tideferry.sources.tables import read_table
+from tideferry.sources.tables import read_tables
 
 
 def _with(function, *names, **arguments):
     """A query that reads the named tables and passes them on in that order."""
     return lambda spark, folder: function(
-        *[read_table(spark, folder, name) for name in names], **arguments
+        *read_tables(spark, folder, names).values(), **arguments
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideferry.functions.frames import computed_once
+from tideferry.functions.frames import computed_once, quoted
 
 # Field texts that stand for null, after trimming (fixed values).
 NULL_TOKENS = ("NULL", "null", "")
@@ -40,7 +40,7 @@ class Dataset:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(", ".join(f"`{f.name}` {f.type}" for f in self.fields))
+        return T.StructType.fromDDL(", ".join(f"{quoted(f.name)} {f.type}" for f in self.fields))
 
 
 class UnknownDataset(LookupError):
@@ -85,7 +85,7 @@ def _typed(text: Column, field: Field) -> Column:
 
 
 def _problem(field: Field) -> Column:
-    text, value = F.col(f"_text_{field.name}"), F.col(f"`{field.name}`")
+    text, value = F.col(f"_text_{field.name}"), F.col(quoted(field.name))
     found = F.when(text.isNotNull() & value.isNull(), F.lit(f"TYPE:{field.name}"))
     if field.max_length is not None:
         found = found.when(F.char_length(text) > field.max_length, F.lit(f"LENGTH:{field.name}"))
@@ -117,20 +117,14 @@ def parse_lines(lines: DataFrame, dataset: Dataset) -> DataFrame:
     arity = F.when(F.size("_parts") != len(fields), F.lit("ARITY"))
     reason = F.coalesce(arity, *[_problem(f) for f in fields])
     return typed.select(
-        *lines.columns, *[F.col(f"`{f.name}`") for f in fields], reason.alias("reason")
+        *lines.columns, *[F.col(quoted(f.name)) for f in fields], reason.alias("reason")
     )
 
 
 def accepted(parsed: DataFrame, dataset: Dataset) -> DataFrame:
     good = parsed.filter(F.col("reason").isNull())
-    return good.select(*[F.col(f"`{f.name}`") for f in dataset.fields])
+    return good.select(*[F.col(quoted(f.name)) for f in dataset.fields])
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reason").isNotNull()).select("line", "source_file", "reason")
-
-
-def write_lines(rows: DataFrame, location: str, sep: str = "|") -> None:
-    """Write rows as separated text without quoting; null becomes an empty field."""
-    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in rows.columns]
-    rows.select(F.concat_ws(sep, *texts).alias("value")).write.mode("overwrite").text(location)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +13,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {name: read_table(spark, folder, name) for name in names}
+    """Open several tables at once; opening one waits for a job that reads its footer."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(zip(names, pool.map(lambda name: read_table(spark, folder, name), names)))
 
 
 def spread(rows: DataFrame) -> DataFrame:
