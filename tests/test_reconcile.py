@@ -138,6 +138,24 @@ def test_checksum_counts_copies(spark):
     assert compared(spark, [row, other, other], [row, row, other]) == {1: "CHANGED"}
 
 
+def test_checksum_across_types(spark):
+    source = spark.sql("SELECT * FROM VALUES (1, '5', 1.0D), (2, 'x', 2.5D), (3, '7', 1e300D) AS t(k, v, w)")
+    target = spark.sql(
+        "SELECT * FROM VALUES (1L, 5, 1.00BD), (2L, null, 2.50BD), (3L, 7, null) AS t(k, v, w)"
+    )
+    found = {r.k: r.status for r in checksum.compare_sample(source, target, ["k"], 1.0).collect()}
+    assert found == {1: "MATCH", 2: "CHANGED", 3: "CHANGED"}
+
+
+def test_checksum_of_nested_values(spark):
+    rows = spark.sql("SELECT 1 AS k, map('a', 1) AS m, array(1, null) AS a, struct(1 AS x, null AS y) AS s")
+    other = spark.sql("SELECT 1 AS k, map('a', 1) AS m, array(null, 1) AS a, struct(1 AS x, null AS y) AS s")
+    assert checksum.compare_sample(rows, rows, ["k"], 1.0).first().status == "MATCH"
+    assert checksum.compare_sample(rows, other, ["k"], 1.0).first().status == "CHANGED"
+    found = checksum.compare_sample(rows, other, ["k"], 1.0, columns=["m", "s"]).first()
+    assert found.status == "MATCH"
+
+
 def test_sample_is_the_same_on_both_sides(spark):
     keys = spark.range(20000).selectExpr("id AS k")
     chosen = keys.filter(checksum.in_sample(["k"], 0.1))

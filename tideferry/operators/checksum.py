@@ -1,8 +1,8 @@
 """Keyed sample checksum: do the same keys carry the same rows on both sides?
 
 The sample is chosen by a hash of the key, so both sides pick the same keys.
-Rows are digested on their own side; only (key, digest) is shuffled, combined
-first, and never joined: duplicates of a key add up instead of pairing.
+Rows are hashed on their own side; only (key, hashes) is shuffled, combined
+first, and never joined: copies of a key add up instead of pairing.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideferry.functions.frames import quoted
 from tideferry.functions.numeric import percent, round4
@@ -19,6 +20,15 @@ from tideferry.operators.reconcile import CHECKSUM, verdict
 # Number of hexadecimal digits of the key hash that decide on sampling.
 _DIGITS = 4
 
+# Two 64-bit hashes of a row, added up in pieces of 20 bits: sums of longs
+# that cannot overflow below 2**43 rows of one key.
+_SEEDS = (1, 2)
+_PIECE_BITS = 20
+_PIECES = [f"_sum{seed}_{shift}" for seed in _SEEDS for shift in range(0, 64, _PIECE_BITS)]
+
+# Hashed as JSON text: a hash of the value itself passes over nulls inside it.
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
 
 def in_sample(keys: Sequence[str], fraction: float) -> Column:
     """True for about ``fraction`` of all keys, the same keys everywhere."""
@@ -29,26 +39,44 @@ def in_sample(keys: Sequence[str], fraction: float) -> Column:
     return F.substr(F.md5(key), F.lit(1), F.lit(_DIGITS)) < F.lit(bound)
 
 
-def _digest(columns: Sequence[str]) -> Column:
-    """128 bits of the row's values as two longs; null differs from any text."""
-    values = [F.coalesce(F.col(quoted(c)).cast("string"), F.lit("\u0000")) for c in columns]
-    return F.md5(F.concat_ws("\u0001", *values))
-
-
-def _half(digest: Column, start: int) -> Column:
-    return F.conv(F.substr(digest, F.lit(start), F.lit(15)), 16, 10).cast("decimal(20,0)")
-
+def _hashed_values(rows: DataFrame, schema: T.StructType) -> list[Column]:
+    """Values to hash, in the target's types, each with whether it is null.
 
-def _digested(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], fraction: float, side: int) -> DataFrame:
+    The flag is that of the original value: a value lost in conversion must
+    not look like a null that was always there.
+    """
+    values = []
+    for field in schema.fields:
+        value = F.col(quoted(field.name))
+        aligned = value
+        if rows.schema[field.name].dataType != field.dataType:
+            aligned = value.try_cast(field.dataType)
+        if isinstance(field.dataType, _NESTED):
+            aligned = F.to_json(aligned, {"ignoreNullFields": "false"})
+        values += [aligned, value.isNull()]
+    return values
+
+
+def _hashed(
+    rows: DataFrame, keys: Sequence[str], schema: T.StructType, fraction: float, side: int
+) -> DataFrame:
+    values, sign = _hashed_values(rows, schema), F.lit(1 - 2 * side).cast("bigint")
+    hashes = [F.xxhash64(F.lit(seed), *values).alias(f"_hash{seed}") for seed in _SEEDS]
+    pieces = [
+        F.shiftrightunsigned(F.col(f"_hash{seed}"), shift).bitwiseAND(
+            F.lit((1 << _PIECE_BITS) - 1).cast("bigint")
+        )
+        for seed in _SEEDS
+        for shift in range(0, 64, _PIECE_BITS)
+    ]
     return (
         rows.filter(in_sample(keys, fraction))
-        .select(*map(quoted, keys), _digest(columns).alias("_md5"))
+        .select(*map(quoted, keys), *hashes)
         .select(
             *map(quoted, keys),
-            F.lit(1 - side).alias("_s"),
-            F.lit(side).alias("_t"),
-            (_half(F.col("_md5"), 1) * (1 - 2 * side)).alias("_lo"),
-            (_half(F.col("_md5"), 17) * (1 - 2 * side)).alias("_hi"),
+            F.lit(1 - side).alias("_source"),
+            F.lit(side).alias("_target"),
+            *[(piece * sign).alias(name) for piece, name in zip(pieces, _PIECES)],
         )
     )
 
@@ -62,31 +90,28 @@ def compare_sample(
 ) -> DataFrame:
     """Status per sampled key: MATCH, CHANGED, MISSING_IN_TARGET or EXTRA_IN_TARGET.
 
-    Source digests are added and target digests subtracted; a key matches when
-    the row counts agree and both sums are zero.
+    Source hashes are added and target hashes subtracted; a key matches when
+    the row counts agree and every sum is zero.
     """
-    names = list(columns or target.columns)
-    both = _digested(source, keys, names, fraction, 0).unionByName(
-        _digested(target, keys, names, fraction, 1)
+    schema = T.StructType([target.schema[name] for name in columns or target.columns])
+    both = _hashed(source, keys, schema, fraction, 0).unionByName(
+        _hashed(target, keys, schema, fraction, 1)
     )
+    same = F.col("source_rows") == F.col("target_rows")
+    for name in _PIECES:
+        same = same & (F.col(name) == 0)
     status = (
         F.when(F.col("target_rows") == 0, F.lit("MISSING_IN_TARGET"))
         .when(F.col("source_rows") == 0, F.lit("EXTRA_IN_TARGET"))
-        .when(
-            (F.col("source_rows") == F.col("target_rows"))
-            & (F.col("_lo") == 0)
-            & (F.col("_hi") == 0),
-            F.lit("MATCH"),
-        )
+        .when(same, F.lit("MATCH"))
         .otherwise(F.lit("CHANGED"))
     )
     return (
         both.groupBy(*map(quoted, keys))
         .agg(
-            F.sum("_s").alias("source_rows"),
-            F.sum("_t").alias("target_rows"),
-            F.sum("_lo").alias("_lo"),
-            F.sum("_hi").alias("_hi"),
+            F.sum("_source").alias("source_rows"),
+            F.sum("_target").alias("target_rows"),
+            *[F.sum(name).alias(name) for name in _PIECES],
         )
         .select(*map(quoted, keys), "source_rows", "target_rows", status.alias("status"))
     )
