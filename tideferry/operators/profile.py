@@ -75,9 +75,9 @@ def query_profile(queries: DataFrame, column: str = "query_text") -> DataFrame:
     text = F.col(column)
     return (
         queries.select(
-            F.regexp_count(text, F.lit(_JOIN)).alias("joins"),
-            F.explode(tables_in(text)).alias("table_name"),
+            F.regexp_count(text, F.lit(_JOIN)).alias("joins"), tables_in(text).alias("tables")
         )
+        .select("joins", F.explode("tables").alias("table_name"))
         .groupBy("table_name")
         .agg(
             F.count(F.lit(1)).alias("queries"),

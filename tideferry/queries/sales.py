@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from tideferry.plans import workload
 from tideferry.sources.tables import read_tables
 
@@ -15,8 +17,12 @@ def _with(function, *names, **arguments):
     )
 
 
+def _daily_sales(lineitem):
+    return workload.daily_sales(lineitem).withColumn("ship_date", F.col("ship_date").cast("string"))
+
+
 QUERIES = {
-    "workload_q1": _with(workload.daily_sales, "lineitem"),
+    "workload_q1": _with(_daily_sales, "lineitem"),
     "workload_q2": _with(workload.customer_summary, "customer", "nation", "orders"),
     "workload_q3": _with(workload.revenue_by_nation, "customer", "nation", "orders"),
     "workload_q4": _with(workload.monthly_revenue, "orders"),
@@ -34,7 +40,7 @@ _PRICE = "CAST(o_totalprice AS DECIMAL(12, 2))"
 
 ORACLE = {
     "workload_q1": """
-        SELECT CAST(l_shipdate AS DATE) AS ship_date,
+        SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date,
                CAST(sum(CAST(l_extendedprice AS DECIMAL(12, 2))) AS DOUBLE) AS total_sales,
                count(*) AS num_transactions
         FROM lineitem GROUP BY 1""",

@@ -170,7 +170,8 @@ def query_log(spark: SparkSession, folder: str) -> DataFrame:
         text = text.when(
             F.col("event_type") == kind, fill(template, table=table, user=F.col("user_id"))
         )
-    return spread(read_table(spark, folder, "events")).select(
+    events = read_table(spark, folder, "events")
+    return spread(events.select("event_id", "event_type", "user_id", "value")).select(
         F.col("event_id").alias("query_id"), text.alias("query_text")
     )
 
@@ -218,9 +219,8 @@ def definitions(spark: SparkSession, folder: str) -> DataFrame:
         kind=F.lower("p_type"),
         name=F.col("p_name"),
     )
-    return spread(read_table(spark, folder, "part")).select(
-        "p_partkey", text.alias("original_ddl")
-    )
+    part = read_table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    return spread(part).select("p_partkey", text.alias("original_ddl"))
 
 
 DEFINITIONS_SQL = (
