@@ -27,6 +27,7 @@ GOOD = [
     "1|abc|1.5|t|2008-01-24 06:43:29|2008-01-24",
     " 2 |  NULL |null|no|2/8/2008 02:36:48|12/31/2008",
     "3|été|||| ",
+    "\t5 \t| \tNULL\t|\t|\t\tyes| \t|\t2008-01-02",
     '4|"a"|-0.01|on|2008-02-29 00:00:00|2008-02-29',
 ]
 BAD = {
@@ -54,7 +55,7 @@ def dataset(tmp_path_factory):
 
 def test_reasons(spark, dataset):
     parsed = parse_lines(read_lines(spark, dataset.location), dataset)
-    reasons = {row.line: row.reason for row in parsed.collect()}
+    reasons = {row['_line']: row['_reason'] for row in parsed.collect()}
     assert reasons == dict.fromkeys(GOOD) | BAD
 
 
@@ -70,6 +71,7 @@ def test_load_keeps_good_and_rejects(spark, dataset, tmp_path):
         None, None, False, datetime.datetime(2008, 2, 8, 2, 36, 48), datetime.date(2008, 12, 31),
     )
     assert rows[3].name == "été" and rows[3].day is None
+    assert rows[5][1:] == (None, None, True, None, datetime.date(2008, 1, 2))
     assert rows[4].name == '"a"' and rows[4].ok is True
     kept = spark.read.parquet(rejects)
     assert {row.line: row.reason for row in kept.collect()} == BAD
@@ -95,6 +97,14 @@ def test_round_trip_with_tabs(spark, tmp_path):
     assert sorted(loaded.collect(), key=lambda r: r.id) == sorted(rows.collect(), key=lambda r: r.id)
 
 
+def test_fields_named_like_reject_columns(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("1|a b\nx|c\n")
+    dataset = Dataset("t", str(tmp_path / "x.txt"), (Field("line", "int"), Field("reason", "string")))
+    result = load_dataset(spark, dataset, str(tmp_path / "t"), str(tmp_path / "r"))
+    assert open_loaded(spark, dataset, result.path).collect() == [(1, "a b")]
+    assert [tuple(r)[::2] for r in spark.read.parquet(result.rejects_path).collect()] == [("x|c", "TYPE:line")]
+
+
 def test_unknown_dataset():
     datasets = sample_datasets("/data")
     assert dataset_for(datasets, "SALES").sep == "\t"

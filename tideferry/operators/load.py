@@ -32,7 +32,7 @@ def load_dataset(
     parsed = parse_lines(read_lines(spark, dataset.location), dataset)
     seen = Observation()
     counted = parsed.observe(
-        seen, F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected")
+        seen, F.count(F.lit(1)).alias("lines"), F.count("_reason").alias("rejected")
     )
     accepted(counted, dataset).write.mode("overwrite").parquet(target)
     lines, bad = seen.get["lines"], seen.get["rejected"]

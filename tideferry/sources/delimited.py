@@ -57,13 +57,21 @@ def dataset_for(datasets: dict[str, Dataset], table: str) -> Dataset:
 
 def read_lines(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.text(location).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file")
+        F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_source_file")
     )
 
 
-def _field_text(parts: Column, index: int) -> Column:
-    text = F.btrim(F.get(parts, F.lit(index)), F.lit(" \t"))
-    return F.when(~text.isin(*NULL_TOKENS), text)
+def _field_text(trimmed: Column, sep: str) -> Column:
+    """A field without outer blanks; null when it is a null token.
+
+    Trimming of tabs is slow, so only fields that have one at an end get it.
+    """
+    plain = F.when(~trimmed.isin(*NULL_TOKENS), trimmed)
+    if sep == "\t":
+        return plain
+    bare = F.btrim(trimmed, F.lit(" \t"))
+    tabbed = F.startswith(trimmed, F.lit("\t")) | F.endswith(trimmed, F.lit("\t"))
+    return F.when(tabbed, F.when(~bare.isin(*NULL_TOKENS), bare)).otherwise(plain)
 
 
 def _typed(text: Column, field: Field) -> Column:
@@ -80,12 +88,12 @@ def _typed(text: Column, field: Field) -> Column:
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         # Files of one data set mix ISO and month/day/year; bring both to ISO.
         iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
-        return iso.try_cast(kind)
+        return F.when(F.contains(text, F.lit("/")), iso).otherwise(text).try_cast(kind)
     return text.try_cast(kind)
 
 
-def _problem(field: Field) -> Column:
-    text, value = F.col(f"_text_{field.name}"), F.col(quoted(field.name))
+def _problem(index: int, field: Field) -> Column:
+    text, value = F.col(f"_text_{index}"), F.col(quoted(field.name))
     found = F.when(text.isNotNull() & value.isNull(), F.lit(f"TYPE:{field.name}"))
     if field.max_length is not None:
         found = found.when(F.char_length(text) > field.max_length, F.lit(f"LENGTH:{field.name}"))
@@ -101,30 +109,42 @@ def _separator_pattern(sep: str) -> str:
 
 
 def parse_lines(lines: DataFrame, dataset: Dataset) -> DataFrame:
-    """Every line with its typed fields and the ``reason`` it is bad, if it is."""
+    """Every line with its typed fields and the ``_reason`` it is bad, if it is."""
     fields = dataset.fields
     pattern = _separator_pattern(dataset.sep)
-    parts = lines.withColumn("_parts", F.split("line", pattern, -1))
-    texts = parts.select(
+    parts = lines.withColumn("_parts", F.split("_line", pattern, -1))
+    trimmed = parts.select(
         "*",
         computed_once(
-            [_field_text(F.col("_parts"), i).alias(f"_text_{f.name}") for i, f in enumerate(fields)]
+            [F.trim(F.get("_parts", F.lit(i))).alias(f"_trim_{i}") for i in range(len(fields))]
+        ),
+    )
+    texts = trimmed.select(
+        *parts.columns,
+        computed_once(
+            [
+                _field_text(F.col(f"_trim_{i}"), dataset.sep).alias(f"_text_{i}")
+                for i in range(len(fields))
+            ]
         ),
     )
     typed = texts.select(
-        "*", computed_once([_typed(F.col(f"_text_{f.name}"), f).alias(f.name) for f in fields])
+        "*", computed_once([_typed(F.col(f"_text_{i}"), f).alias(f.name) for i, f in enumerate(fields)])
     )
     arity = F.when(F.size("_parts") != len(fields), F.lit("ARITY"))
-    reason = F.coalesce(arity, *[_problem(f) for f in fields])
+    reason = F.coalesce(arity, *[_problem(i, f) for i, f in enumerate(fields)])
     return typed.select(
-        *lines.columns, *[F.col(quoted(f.name)) for f in fields], reason.alias("reason")
+        *lines.columns, *[F.col(quoted(f.name)) for f in fields], reason.alias("_reason")
     )
 
 
 def accepted(parsed: DataFrame, dataset: Dataset) -> DataFrame:
-    good = parsed.filter(F.col("reason").isNull())
+    good = parsed.filter(F.col("_reason").isNull())
     return good.select(*[F.col(quoted(f.name)) for f in dataset.fields])
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("reason").isNotNull()).select("line", "source_file", "reason")
+    """Bad lines as read, the file they are from, and the first reason."""
+    names = ("line", "source_file", "reason")
+    bad = parsed.filter(F.col("_reason").isNotNull())
+    return bad.select(*[F.col(f"_{name}").alias(name) for name in names])
