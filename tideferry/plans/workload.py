@@ -1,6 +1,6 @@
 """Eight analytic queries, the statement shapes of a sales reporting workload.
 
-Money is summed as decimals, so totals do not depend on the order of rows.
+Money is summed as whole cents, so totals do not depend on the order of rows.
 Facts are aggregated by their own key before they meet a dimension: the join
 then has one row per key and no hot key to split.
 """
@@ -12,13 +12,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _money(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast("decimal(12,2)")
+from tideferry.functions.numeric import cents, exact_total
 
 
 def _total(column: str) -> Column:
-    return F.sum(_money(column))
+    return exact_total(cents(F.col(column)))
 
 
 def daily_sales(lineitem: DataFrame) -> DataFrame:
@@ -75,12 +73,13 @@ def revenue_by_nation(customer: DataFrame, nation: DataFrame, orders: DataFrame)
 
 def monthly_revenue(orders: DataFrame, rate: float = 0.15) -> DataFrame:
     """Monthly price sum and a commission at a fixed rate of each price."""
-    commission = _money(F.round(_money("o_totalprice") * F.lit(str(rate)).cast("decimal(4,2)"), 2))
+    price, points = cents(F.col("o_totalprice")), F.lit(round(rate * 10_000)).cast("bigint")
+    commission = F.floor((price * points + F.lit(5_000)) / F.lit(10_000)).cast("bigint")
     return (
         orders.groupBy(F.trunc("o_orderdate", "month").cast("timestamp_ntz").alias("month"))
         .agg(
             _total("o_totalprice").cast("double").alias("monthly_revenue"),
-            F.sum(commission).cast("double").alias("monthly_commission"),
+            exact_total(commission).cast("double").alias("monthly_commission"),
         )
         .orderBy("month")
     )
