@@ -77,7 +77,9 @@ def query_profile(queries: DataFrame, column: str = "query_text") -> DataFrame:
         queries.select(
             F.regexp_count(text, F.lit(_JOIN)).alias("joins"), tables_in(text).alias("tables")
         )
-        .select("joins", F.explode("tables").alias("table_name"))
+        # The outer form: the plain one infers a filter that finds the names twice.
+        .select("joins", F.explode_outer("tables").alias("table_name"))
+        .filter(F.col("table_name").isNotNull())
         .groupBy("table_name")
         .agg(
             F.count(F.lit(1)).alias("queries"),
