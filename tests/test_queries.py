@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from tideferry.queries import ORACLE, QUERIES
 from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +16,8 @@ def tables():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
