@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import quality_rules
+from tideferry.llm import decontamination, quality_rules
 from tideferry.sources.tables import read_table
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.report(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(read_table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
 }
 
 ORACLE = {
+    "op3_decontamination": decontamination.QUERY_SQL,
     "op5_quality_rules": quality_rules.QUERY_SQL,
 }
