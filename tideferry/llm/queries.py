@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import decontamination, quality_rules
+from tideferry.llm import decontamination, license_scan, quality_rules
 from tideferry.sources.tables import read_table
 
 
@@ -16,12 +16,18 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(read_table(spark, folder, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op7_license_scan": op7_license_scan,
 }
 
 ORACLE = {
     "op3_decontamination": decontamination.QUERY_SQL,
     "op5_quality_rules": quality_rules.QUERY_SQL,
+    "op7_license_scan": license_scan.QUERY_SQL,
 }
