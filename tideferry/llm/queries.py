@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import decontamination, license_scan, quality_rules, toxicity
+from tideferry.llm import decontamination, license_scan, lm_scoring, quality_rules, toxicity
 from tideferry.sources.tables import read_table
 
 
@@ -20,6 +20,10 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(read_table(spark, folder, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.scored(read_table(spark, folder, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
@@ -28,6 +32,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op7_license_scan": op7_license_scan,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
 }
 
