@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import decontamination, license_scan, lm_scoring, quality_rules, toxicity
+from tideferry.llm import decontamination, license_scan, lm_scoring, packing, quality_rules, token_counts, toxicity
 from tideferry.sources.tables import read_table
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(read_table(spark, folder, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.report(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.of_documents(read_table(spark, folder, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(read_table(spark, folder, "documents"))
 
@@ -29,7 +37,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op7_license_scan": op7_license_scan,
     "op9_lm_scoring": op9_lm_scoring,
@@ -37,6 +47,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_packing": packing.QUERY_SQL,
     "op3_decontamination": decontamination.QUERY_SQL,
     "op5_quality_rules": quality_rules.QUERY_SQL,
     "op7_license_scan": license_scan.QUERY_SQL,
