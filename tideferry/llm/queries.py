@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import decontamination, license_scan, lm_scoring, packing, quality_rules, token_counts, toxicity
+from tideferry.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, quality_rules, token_counts, toxicity
 from tideferry.sources.tables import read_table
 
 
@@ -24,6 +24,10 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(read_table(spark, folder, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.report(read_table(spark, folder, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(read_table(spark, folder, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_license_scan": op7_license_scan,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
@@ -50,5 +55,6 @@ ORACLE = {
     "op2_packing": packing.QUERY_SQL,
     "op3_decontamination": decontamination.QUERY_SQL,
     "op5_quality_rules": quality_rules.QUERY_SQL,
+    "op6_jaccard_join": jaccard_join.QUERY_SQL,
     "op7_license_scan": license_scan.QUERY_SQL,
 }
