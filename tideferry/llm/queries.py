@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, quality_rules, token_counts, toxicity
+from tideferry.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, quality_rules, substring_dedup, token_counts, toxicity
 from tideferry.sources.tables import read_table
 
 
@@ -32,6 +32,10 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(read_table(spark, folder, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.report(read_table(spark, folder, "documents"))
+
+
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.scored(read_table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_license_scan": op7_license_scan,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
 }
@@ -57,4 +62,5 @@ ORACLE = {
     "op5_quality_rules": quality_rules.QUERY_SQL,
     "op6_jaccard_join": jaccard_join.QUERY_SQL,
     "op7_license_scan": license_scan.QUERY_SQL,
+    "op8_substring_dedup": substring_dedup.QUERY_SQL,
 }
