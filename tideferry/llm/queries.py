@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, quality_rules, substring_dedup, token_counts, toxicity
+from tideferry.llm import decontamination, jaccard_join, license_scan, line_dedup, lm_scoring, packing, quality_rules, substring_dedup, token_counts, toxicity
 from tideferry.sources.tables import read_table
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(read_table(spark, folder, "documents"))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(read_table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
@@ -57,6 +62,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_line_dedup": line_dedup.QUERY_SQL,
     "op2_packing": packing.QUERY_SQL,
     "op3_decontamination": decontamination.QUERY_SQL,
     "op5_quality_rules": quality_rules.QUERY_SQL,
