@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideferry.llm.words import texts
+from tideferry.llm.words import parts, texts
 from tideferry.sources.shared import scratch_path
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -64,8 +64,8 @@ def write_tokens(docs: DataFrame, path: str, ranks: str = RANKS) -> None:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, sent.value)
-        for batch in batches:
-            tokens = [np.asarray(encoder.encode_ordinary(text.decode("utf-8", "replace")), dtype=TOKEN).tobytes() for text in texts(batch)]
+        for part in parts(batches):
+            tokens = [np.asarray(encoder.encode_ordinary(text.decode("utf-8", "replace")), dtype=TOKEN).tobytes() for text in texts(part)]
             yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary())], names=["tokens"])
 
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(encode, "tokens binary")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,16 +44,19 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def slices(rows: pa.RecordBatch, sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of a batch's rows whose sizes add up to about ``most``; a larger row stands alone."""
-    begin = total = 0
-    for row, size in enumerate(sizes):
-        if row > begin and total + size > most:
-            yield begin, row
-            begin, total = row, 0
-        total += size
-    if begin < rows.num_rows:
-        yield begin, rows.num_rows
+def parts(batches: Iterator[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array] | None = None, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of about ``most`` bytes of text, so that a worker holds little; a larger row stands alone."""
+    for batch in batches:
+        column = text(batch) if text else batch.column("text")
+        sizes = pc.fill_null(pc.binary_length(column.cast(pa.binary())), 0).to_pylist()
+        begin = total = 0
+        for row, size in enumerate(sizes):
+            if row > begin and total + size > most:
+                yield batch.slice(begin, row - begin)
+                begin, total = row, 0
+            total += size
+        if begin < batch.num_rows:
+            yield batch.slice(begin)
 
 
 def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
