@@ -28,49 +28,42 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.llm.words import PLAIN_WORD, id_and_text, plain_words, sql_words, texts
+from tideferry.llm.hashing import Powers, mixed, word_hashes
+from tideferry.llm.numbering import running
+from tideferry.llm.words import PLAIN_WORD, id_and_text, parts, plain_words, sql_words, texts
 from tideferry.sources.shared import scratch_path
 
 WINDOW = 20
 GRAM = 6
 
-_CACHED_WORDS = 1 << 20
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
+# Texts are hashed in parts of about so many bytes.
+PART_BYTES = 2 << 20
 
 
 class _Text:
     """Hashes of any run of a document's words, by prefix sums of a polynomial."""
 
-    def __init__(self, words: list[bytes], known: dict[bytes, int]):
-        if len(known) > _CACHED_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-        self.n = len(words)
-        hashed = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=self.n)
-        down = np.full(self.n, _INVERSE, dtype=np.uint64)
-        down[:1] = 1
-        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashed * np.cumprod(down))])
-        up = np.full(self.n, _BASE, dtype=np.uint64)
-        up[:1] = 1
-        self.powers = np.cumprod(up)
+    def __init__(self, hashed: np.ndarray, powers: Powers):
+        self.n = len(hashed)
+        powers.reach(self.n)
+        self.sums = np.zeros(self.n + 1, dtype=np.uint64)
+        np.cumsum(hashed * powers.down[: self.n], out=self.sums[1:])
+        self.powers = powers.up
 
     def hashes(self, first: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         total = (self.sums[first + length] - self.sums[first]) * self.powers[first]
-        return _mixed(total + np.asarray(length).astype(np.uint64))
+        return mixed(total + np.asarray(length).astype(np.uint64))
+
+    def all_hashes(self, length: int) -> np.ndarray:
+        total = (self.sums[length:] - self.sums[:-length]) * self.powers[: self.n - length + 1]
+        return mixed(total + np.uint64(length))
 
     def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First window, number of windows, hash and anchor of every block."""
@@ -78,12 +71,19 @@ class _Text:
         if n < 1:
             empty = np.empty(0, dtype=np.int64)
             return empty, empty, empty, empty
-        grams = self.hashes(np.arange(self.n - GRAM + 1), GRAM)
-        anchors = np.lib.stride_tricks.sliding_window_view(grams, WINDOW - GRAM + 1).argmin(axis=1) + np.arange(n)
+        grams = self.all_hashes(GRAM)
+        # The least of each window's grams, by the upper half of its hash and then by place, in doubling steps.
+        least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+        width, wanted = 1, WINDOW - GRAM + 1
+        while width < wanted:
+            step = min(width, wanted - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        anchors = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.diff(anchors, prepend=-1))
         count = np.diff(first, append=n)
         at = anchors[first]
-        own = _mixed(self.hashes(first, count + WINDOW - 1) + (at - first).astype(np.uint64))
+        own = mixed(self.hashes(first, count + WINDOW - 1) + (at - first).astype(np.uint64))
         return first, count, own.view(np.int64), grams[at].view(np.int64)
 
 
@@ -92,7 +92,7 @@ def _heads(docs: DataFrame) -> DataFrame:
     schema = "doc_id bigint, key bigint, n_words bigint, sha string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             words = [plain_words(text) for text in texts(batch)]
             shas = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
             columns = [batch.column("doc_id"), batch.column("key"), pa.array([len(w) for w in words], pa.int64()), pa.array(shas, pa.string())]
@@ -105,56 +105,42 @@ def _heads(docs: DataFrame) -> DataFrame:
 
 def _numbered(heads: DataFrame) -> DataFrame:
     """The first document of every sequence of words, and the place of its first word, as a table."""
-    spark = heads.sparkSession
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     firsts = heads.filter(F.col("n_words") >= WINDOW).groupBy("sha", "n_words").agg(F.min(order).alias("of")).select("of.*", "n_words")
-    # Sorted parts, numbered in order; each then starts where the parts before it end.
-    path = scratch_path(spark, "order")
-    firsts.orderBy("no_id", "doc_id", "key").select("key", "n_words", F.monotonically_increasing_id().alias("id")).write.parquet(path)
-    rows = spark.read.schema("key bigint, n_words bigint, id bigint").parquet(path).withColumn("part", F.shiftright("id", 33))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy("part").agg(F.sum("n_words").alias("size")).select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("begin"))
-    within = Window.partitionBy("part").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("within", F.coalesce(F.sum("n_words").over(within), F.lit(0))).join(parts, "part")
-    path = scratch_path(spark, "places")
-    rows.select("key", (F.col("begin") + F.col("within")).alias("base")).write.parquet(path)
-    return spark.read.schema("key bigint, base bigint").parquet(path)
+    return running(firsts, ["no_id", "doc_id", "key"], "n_words").withColumnRenamed("begin", "base")
 
 
 def _per_text(rows: DataFrame, schema: str, lists: tuple[str, ...], work) -> DataFrame:
-    """Apply ``work(base, text, *lists)`` to each row; what it returns are the columns after ``key``, as lists or values."""
+    """Apply ``work(base, text, *lists)`` to each row; it returns the columns after ``key``."""
     names = [field.strip().split()[0] for field in schema.split(", ")]
+    types = [_ARROW[field.strip().split(" ", 1)[1]] for field in schema.split(", ")][1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for batch in batches:
-            given = [batch.column(name) for name in lists]
-            out = []
-            for row, (base, text) in enumerate(zip(batch.column("base").to_pylist(), texts(batch))):
-                words = plain_words(text)
-                out.append(work(base, words, _Text(words, known), *(column[row].values for column in given)))
-            columns = [pa.array(list(c), k) for c, k in zip(zip(*out) if out else [()] * len(types), types)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *columns], names=names)
+        powers = Powers()
+        for part in parts(batches, most=PART_BYTES):
+            hashes = word_hashes(texts(part), powers)
+            given = [part.column(name) for name in lists]
+            out = [work(base, _Text(hashed, powers), *(column[row].values for column in given)) for row, (base, hashed) in enumerate(zip(part.column("base").to_pylist(), hashes))]
+            yield pa.RecordBatch.from_arrays([part.column("key"), *(pa.array(list(c), k) for c, k in zip(zip(*out), types))], names=names)
 
-    types = [_ARROW[field.strip().split(" ", 1)[1]] for field in schema.split(", ")][1:]
     return rows.select("key", "base", "text", *lists).mapInArrow(run, schema)
 
 
 _ARROW = {"bigint": pa.int64(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64())}
 
 
-def _anchors(base: int, words: list[bytes], text: _Text) -> tuple:
+def _anchors(base: int, text: _Text) -> tuple:
     anchors, times = np.unique(text.blocks()[3], return_counts=True)
     return anchors, times
 
 
-def _known_blocks(base: int, words: list[bytes], text: _Text, repeated: pa.Array) -> tuple:
+def _known_blocks(base: int, text: _Text, repeated: pa.Array) -> tuple:
     first, count, own, anchors = text.blocks()
     held = np.isin(anchors, repeated.to_numpy(zero_copy_only=False))
     return own[held], base + first[held], count[held]
 
 
-def _new_windows(base: int, words: list[bytes], text: _Text, blocks: pa.Array) -> tuple:
+def _new_windows(base: int, text: _Text, blocks: pa.Array) -> tuple:
     """The windows of blocks that are new here."""
     place, count, first = (blocks.field(name).to_numpy(zero_copy_only=False) for name in ("place", "n", "first"))
     new = place == first
@@ -163,23 +149,34 @@ def _new_windows(base: int, words: list[bytes], text: _Text, blocks: pa.Array) -
     return text.hashes(at, WINDOW).view(np.int64), base + at
 
 
-def _parsed(base: int, words: list[bytes], text: _Text, copies: pa.Array) -> tuple:
-    """Factors of a document from its copied windows, and the words outside them."""
-    place, count, first = (copies.field(name).to_numpy(zero_copy_only=False) for name in ("place", "n", "first"))
-    order = np.argsort(place, kind="stable")
-    place, count, first = place[order], count[order], first[order]
-    # A copy goes on where the one before it ends, here and there: the factor grows.
-    fresh = np.ones(len(place), dtype=bool)
-    fresh[1:] = (place[1:] != place[:-1] + count[:-1]) | (first[1:] != first[:-1] + count[:-1])
-    begins = np.flatnonzero(fresh)
-    starts, sources = place[begins] - base, first[begins]
-    lengths = np.add.reduceat(count, begins) + WINDOW - 1
-    cover = np.zeros(len(words) + 1, dtype=np.int64)
-    np.add.at(cover, starts, 1)
-    np.add.at(cover, starts + lengths, -1)
-    keep = np.cumsum(cover[:-1]) == 0
-    kept = b" ".join(word for word, k in zip(words, keep.tolist()) if k)
-    return starts, lengths, sources, len(words) - int(keep.sum()), kept.decode("utf-8", "replace"), hashlib.sha256(kept).hexdigest()
+def _factors(rows: DataFrame) -> DataFrame:
+    """Factors of documents from their copied windows, and the words outside them."""
+    schema = "key bigint, starts array<bigint>, lengths array<bigint>, sources array<bigint>, n_removed bigint, kept string, kept_sha string"
+
+    def parse(base: int, words: list[bytes], copies: pa.Array) -> tuple:
+        place, count, first = (copies.field(name).to_numpy(zero_copy_only=False) for name in ("place", "n", "first"))
+        order = np.argsort(place, kind="stable")
+        place, count, first = place[order], count[order], first[order]
+        # A copy goes on where the one before it ends, here and there: the factor grows.
+        fresh = np.ones(len(place), dtype=bool)
+        fresh[1:] = (place[1:] != place[:-1] + count[:-1]) | (first[1:] != first[:-1] + count[:-1])
+        begins = np.flatnonzero(fresh)
+        starts, lengths = place[begins] - base, np.add.reduceat(count, begins) + WINDOW - 1
+        cover = np.zeros(len(words) + 1, dtype=np.int64)
+        np.add.at(cover, starts, 1)
+        np.add.at(cover, starts + lengths, -1)
+        keep = np.cumsum(cover[:-1]) == 0
+        kept = b" ".join(compress(words, keep.tolist()))
+        return starts, lengths, first[begins], len(words) - int(keep.sum()), kept.decode("utf-8", "replace"), hashlib.sha256(kept).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.string())
+        for part in parts(batches, most=PART_BYTES):
+            out = [parse(base, plain_words(text), copies.values) for base, text, copies in zip(part.column("base").to_pylist(), texts(part), part.column("copies"))]
+            columns = (pa.array(list(c), k) for c, k in zip(zip(*out), kinds))
+            yield pa.RecordBatch.from_arrays([part.column("key"), *columns], names=[field.split()[0] for field in schema.split(", ")])
+
+    return rows.select("key", "base", "text", "copies").mapInArrow(run, schema)
 
 
 def parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -202,7 +199,8 @@ def parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     repeated = found.join(repeated, "anchor", "left_semi").groupBy("key").agg(F.collect_set("anchor").alias("repeated"))
 
     blocks = _per_text(rows.join(repeated, "key"), "key bigint, blocks array<bigint>, places array<bigint>, counts array<bigint>", ("repeated",), _known_blocks)
-    blocks = blocks.select("key", F.explode(F.arrays_zip("blocks", "places", "counts")).alias("b"))
+    # Dealt once more, small as it is now, so that the texts are not parsed again for each use.
+    blocks = blocks.repartition("key").select("key", F.explode(F.arrays_zip("blocks", "places", "counts")).alias("b"))
     blocks = blocks.select("key", F.col("b.blocks").alias("block"), F.col("b.places").alias("place"), F.col("b.counts").alias("n"))
     index = blocks.groupBy("block").agg(F.min("place").alias("first"))
     blocks = blocks.join(index, "block").select("key", "place", "n", "first")
@@ -214,8 +212,7 @@ def parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     windows = windows.join(index, "window").select("key", "place", F.lit(1).cast("bigint").alias("n"), "first")
 
     copies = blocks.unionByName(windows).filter("first < place").groupBy("key").agg(F.collect_set(F.struct("place", "n", "first")).alias("copies"))
-    schema = "key bigint, starts array<bigint>, lengths array<bigint>, sources array<bigint>, n_removed bigint, kept string, kept_sha string"
-    return heads.join(numbered.select("key", F.lit(True).alias("is_first")), "key", "left"), _per_text(rows.join(copies, "key"), schema, ("copies",), _parsed)
+    return heads.join(numbered.select("key", F.lit(True).alias("is_first")), "key", "left"), _factors(rows.join(copies, "key"))
 
 
 def report(docs: DataFrame) -> DataFrame:
