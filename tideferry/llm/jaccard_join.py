@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideferry.llm.components import components
-from tideferry.llm.words import PLAIN_WORD, id_and_text, plain_words, slices, sql_words, texts
+from tideferry.llm.hashing import BASE, Powers, mixed, word_hashes
+from tideferry.llm.words import PLAIN_WORD, id_and_text, parts, sql_words, texts
 from tideferry.sources.shared import scratch_path
 
 WORDS = 5
@@ -44,37 +45,24 @@ PERCENT = 80
 COUNTERS = 1 << 17
 LONGEST = 4
 SKETCH_BITS = 1024
-CHUNK_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_CACHED_WORDS = 1 << 20
+_MULTIPLIER = np.uint64(BASE)
 
 
 class _Shingler:
-    """Texts to sorted distinct 64-bit shingles; hashes of words are remembered."""
+    """Texts to sorted distinct 64-bit shingles."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def hashed(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = plain_words(text.lower())
-        if not words:
-            return np.empty(0, dtype=np.int64)
-        hashed = self.hashed(words)
-        width = min(WORDS, len(words))
-        total = np.full(len(words) - width + 1, width, dtype=np.uint64)
-        for place in range(width):
-            total = (total ^ (total >> np.uint64(29))) * _MULTIPLIER + hashed[place : len(words) - width + 1 + place]
-        total = (total ^ (total >> np.uint64(32))) * _MULTIPLIER
-        return np.unique((total ^ (total >> np.uint64(29))).view(np.int64))
+        self.powers = Powers()
+
+    def __call__(self, found: list[bytes]) -> Iterator[np.ndarray]:
+        for hashed in word_hashes([text.lower() for text in found], self.powers):
+            width = min(WORDS, len(hashed))
+            total = np.full(len(hashed) - width + (width > 0), width, dtype=np.uint64)
+            for place in range(width):
+                total = (total ^ (total >> np.uint64(29))) * _MULTIPLIER + hashed[place : len(hashed) - width + 1 + place]
+            yield np.unique(mixed(total * _MULTIPLIER).view(np.int64))
 
 
 def _needed(size: int) -> int:
@@ -97,9 +85,9 @@ def _counters(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, total = _Shingler(), np.zeros(COUNTERS, dtype=np.int64)
-        for batch in batches:
-            for text in texts(batch):
-                np.add.at(total, shingles(text) & (COUNTERS - 1), 1)
+        for part in parts(batches, most=PART_BYTES):
+            for held in shingles(texts(part)):
+                np.add.at(total, held & (COUNTERS - 1), 1)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"counter": pa.array(held, pa.int64()), "n": pa.array(total[held], pa.int64())})
 
@@ -148,20 +136,15 @@ def _prefixes(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, order = _Shingler(), sent.value
-        for batch in batches:
-            found = texts(batch)
-            for begin, end in slices(batch, [len(t) for t in found], CHUNK_BYTES):
-                part = batch.slice(begin, end - begin)
-                rows = []
-                for text in found[begin:end]:
-                    held = shingles(text)
-                    node = np.int64(np.uint64(xxhash.xxh3_64_intdigest(held.tobytes())).view(np.int64)) if len(held) else 0
-                    chosen, prefix = order.prefix(held) if len(held) else (1, held)
-                    rows.append((node, len(held), chosen, _sketch(held), prefix))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("digest"), *(pa.array(list(c), k) for c, k in zip(zip(*rows), kinds))], names=[f.split()[0] for f in _PREFIXES.split(", ")]
-                )
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        for part in parts(batches, most=PART_BYTES):
+            rows = []
+            for held in shingles(texts(part)):
+                node = int(np.uint64(xxhash.xxh3_64_intdigest(held.tobytes())).view(np.int64)) if len(held) else 0
+                chosen, prefix = order.prefix(held) if len(held) else (1, held)
+                rows.append((node, len(held), chosen, _sketch(held), prefix))
+            columns = (pa.array(list(c), k) for c, k in zip(zip(*rows), kinds))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), *columns], names=[f.split()[0] for f in _PREFIXES.split(", ")])
 
     path = scratch_path(spark, "prefixes")
     docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, _PREFIXES).write.parquet(path)
@@ -248,11 +231,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = _Shingler()
-        for batch in batches:
-            found = texts(batch)
-            for begin, end in slices(batch, [len(t) for t in found], CHUNK_BYTES):
-                part = batch.slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([shingles(t) for t in found[begin:end]], pa.list_(pa.int64()))], names=["node", "shingles"])
+        for part in parts(batches, most=PART_BYTES):
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(list(shingles(texts(part))), pa.list_(pa.int64()))], names=["node", "shingles"])
 
     rows = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), F.xxhash64("text").alias("digest"), "text").join(chosen, ["doc_id", "digest"])
     path = scratch_path(spark, "sets")
