@@ -5,91 +5,98 @@ added, dropped or changed, stands earlier in the corpus: in a document with a
 smaller id, or before it in its own. Lines of fewer than ``NEAR_WORDS`` words
 must be equal. Every step is a column expression, a grouping or a join.
 
-Equal lines become one, at their first place. Two lines one word apart agree
-in all but one of ``BLOCKS`` equal stretches, so first the line without each
-stretch is hashed; only lines that share such a key go on, and only the words
-of that stretch are deleted one by one. A line without its word at a position
-is a key that it shares with every line that has another word there; without a
-word at all, it is the key of a line that is one word shorter. Of each key the
-earliest line counts, never a pair of all; its distance is then verified.
+Documents are numbered in order, so a line's place is one number, and lines can
+be summed up by hash. Equal lines become one, at their first place. Two lines
+one word apart agree in their first or their second half, so the halves are
+hashed first; only lines that share such a key go on, and only the words of the
+other half are deleted one by one. A line without its word at a position is a
+key that it shares with every line that has another word there; without a word
+at all, it is the key of a line that is one word shorter. Of each key the
+earliest line counts, never a pair of all; its distance is then verified. Texts
+are shuffled once.
 
 Defined results: lines without words always stay. A null text has no lines and
 stays null. Rows without an id come last in order; equal rows are one document.
-An empty table gives an empty result. Columns other than ``doc_id`` and
+A text has fewer than 2**28
+lines. An empty table gives an empty result. Columns other than ``doc_id`` and
 ``text`` are only carried along. Lines are told apart by 128-bit hashes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideferry.functions.frames import computed_once
+from tideferry.llm.numbering import running
 from tideferry.llm.words import BLANKS, PLAIN_WORD, words_of
 
 NEAR_WORDS = 8
-BLOCKS = 3
 
-_ORDER = ("no_id", "doc_id", "key", "line")
+# A place is a document's number and the line's, which has so many bits.
+_LINE_BITS = 28
+_HALVES = 4
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """Documents as structs with a key; equal rows share it."""
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.select(F.xxhash64(F.col("row.doc_id").cast("bigint"), F.col("row.text").cast("string")).alias("key"), "row")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``key`` and ``number`` of every document, in the order of their ids."""
+    keys = docs.select("key", "doc_id").distinct()
+    keys = keys.select("key", "doc_id", F.col("doc_id").isNull().alias("no_id"), F.lit(1).alias("one"))
+    return running(keys, ["no_id", "doc_id", "key"], "one").withColumnRenamed("begin", "number")
 
 
-def _text() -> Column:
-    return F.col("row.text").cast("string")
+def _place() -> Column:
+    return F.col("number") * (1 << _LINE_BITS) + F.col("line")
 
 
-def _plain(line: Column) -> Column:
-    """A line's words, joined by single blanks."""
-    return F.trim(F.regexp_replace(line, BLANKS + "+", " "))
+def _number(place: str) -> Column:
+    return F.shiftright(place, _LINE_BITS)
 
 
-def _block_keys() -> Column:
-    """Hashes of a line without each stretch, as long as it is and as if it were one word shorter.
+def _half_keys() -> list[Column]:
+    """Hashes of a line's first and second half, as long as it is and as if it were one word shorter.
 
-    Stretches are measured from both ends, so that a word more or less inside
-    one leaves the rest where it is.
+    Halves are measured from both ends, so that a word more or less in one
+    leaves the other where it is.
     """
     keys = []
-    for size in ("n", "n - 1"):
-        for block in range(BLOCKS):
-            before = f"cast(floor({block} * ({size}) / {BLOCKS}) as int)"
-            after = f"cast(({size}) - floor({block + 1} * ({size}) / {BLOCKS}) as int)"
-            rest = [f"substring_index(plain, ' ', {before})", f"substring_index(plain, ' ', -({after}))"]
-            keys.append(F.expr(f"named_struct('size', int({size}), 'block', {block}, 'hash', xxhash64({size}, {block}, {', '.join(rest)}))"))
-    return F.array(*keys)
-
-
-def _distinct_lines(rows: DataFrame) -> DataFrame:
-    """Every line once: where it first stands, its hashes, its words and its block keys."""
-    lines = rows.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "key", F.posexplode(F.split(_text(), "\n")).alias("line", "shown"))
-    lines = lines.select("doc_id", "key", "line", _plain(F.col("shown")).alias("plain")).filter("plain <> ''")
+    for size in ("n", "(n - 1)"):
+        half = f"cast(floor({size} / 2) as int)"
+        keys.append(f"xxhash64(1, {size}, substring_index(plain, ' ', {half}))")
+        keys.append(f"xxhash64(2, {size}, substring_index(plain, ' ', {half} - cast({size} as int)))")
+    return [F.when(F.col("n") >= NEAR_WORDS, F.expr(key)) for key in keys]
+
+
+def _distinct_lines(texts: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Every line once: its first place and the hashes of its halves."""
+    plain = F.transform(F.split("text", "\n"), lambda line: F.trim(F.regexp_replace(line, BLANKS + "+", " ")))
+    lines = texts.join(numbered, "key").select("number", F.posexplode(plain).alias("line", "plain")).filter("plain <> ''")
     lines = lines.withColumn("n", F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1)
-    keys = F.when(F.col("n") >= NEAR_WORDS, _block_keys())
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line", keys.alias("blocks"))
-    lines = lines.select(F.xxhash64("plain").alias("low"), F.xxhash64(F.lit(7), "plain").alias("high"), place.alias("place"))
-    # Equal lines have equal block keys, so they never decide the order.
-    return lines.groupBy("low", "high").agg(F.min("place").alias("place")).select("low", "place.*")
+    halves = [key.alias(f"half{code}") for code, key in enumerate(_half_keys())]
+    lines = lines.select(F.xxhash64("plain").alias("low"), F.xxhash64(F.lit(7), "plain").alias("high"), _place().alias("place"), *halves)
+    halves = [f"half{code}" for code in range(_HALVES)]
+    # Equal lines have equal halves.
+    lines = lines.groupBy("low", "high").agg(F.min("place").alias("place"), *(F.min(half).alias(half) for half in halves))
+    # Always true. It names all columns, so that every use of the lines has the same plan and they are made once.
+    return lines.filter(F.coalesce(*halves, "place").isNotNull()).select("place", *halves)
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
-    """Lines that agree with another in all but a stretch, with those stretches."""
-    keys = lines.filter("blocks IS NOT NULL").select(*_ORDER, "low", F.explode("blocks").alias("block"))
-    keys = keys.select(F.col("block.hash").alias("hash"), "low", "key", "line", F.struct("block.size", "block.block").alias("stretch"))
-    shared = keys.groupBy("hash").agg(F.min("low").alias("least"), F.max("low").alias("most")).filter("least <> most").select("hash")
-    return keys.join(shared, "hash", "left_semi").groupBy("key", "line").agg(F.collect_set("stretch").alias("stretches"))
+    """Places of lines that share a half with another line, with the codes of those halves."""
+    halves = F.array(*(F.struct(F.lit(code).alias("code"), F.col(f"half{code}").alias("hash")) for code in range(_HALVES)))
+    keys = lines.filter("half0 IS NOT NULL").select("place", F.explode(halves).alias("half")).select("half.hash", "place", "half.code")
+    shared = keys.groupBy("hash").agg(F.count("place").alias("n")).filter("n > 1").select("hash")
+    return keys.join(shared, "hash", "left_semi").groupBy("place").agg(F.collect_set("code").alias("codes"))
 
 
-def _lines_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of the wanted lines, with their place and stretches."""
-    listed = wanted.groupBy("key").agg(F.collect_list(F.struct("line", "stretches")).alias("wanted"))
-    found = rows.join(listed, "key").select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "key", F.split(_text(), "\n").alias("shown"), F.explode("wanted").alias("of"))
-    found = found.select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", F.col("of.line").alias("line"), F.col("of.stretches").alias("stretches"), F.get("shown", F.col("of.line")).alias("shown"))
-    return found.withColumn("words", words_of(F.col("shown"))).drop("shown")
+def _lines_of(texts: DataFrame, numbered: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The words of the wanted lines, with their place and codes."""
+    listed = wanted.groupBy(_number("place").alias("number")).agg(F.collect_list(F.struct("place", "codes")).alias("wanted"))
+    found = texts.join(listed.join(numbered, "number"), "key").select(F.split("text", "\n").alias("shown"), F.explode("wanted").alias("of"))
+    line = F.pmod("of.place", F.lit(1 << _LINE_BITS)).cast("int")
+    found = found.select("of.place", "of.codes", words_of(F.get("shown", line)).alias("words"))
+    # Dealt once more, few as they are now, so that texts are not read again for each use. Equal rows are one.
+    return found.repartition("place").dropDuplicates(["place"])
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -98,69 +105,76 @@ def _variants(lines: DataFrame) -> DataFrame:
     A line's hash is a sum over its words and their positions, twice, so a word
     left out is a difference, and words that move up have sums of their own.
     """
-    rows = lines.select(F.struct(*_ORDER).alias("place"), "key", "line", "stretches", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
-    part = Window.partitionBy("key", "line")
+    rows = lines.select("place", "codes", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+    part = Window.partitionBy("place")
     before = part.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    after = part.orderBy("at").rowsBetween(1, Window.unboundedFollowing)
-    whole = part.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # Forty bits a word leave room for lines of eight million words.
-    own = {f"own{seed}": F.pmod(F.xxhash64(F.lit(seed), "word", "at"), F.lit(1 << 40)) for seed in (1, 2)}
-    moved = {f"moved{seed}": F.pmod(F.xxhash64(F.lit(seed), "word", F.col("at") - 1), F.lit(1 << 40)) for seed in (1, 2)}
-    rows = rows.withColumns(own | moved)
+    for seed in (1, 2):
+        rows = rows.withColumn(f"own{seed}", F.pmod(F.xxhash64(F.lit(seed), "word", "at"), F.lit(1 << 40)))
+        rows = rows.withColumn(f"moved{seed}", F.pmod(F.xxhash64(F.lit(seed), "word", F.col("at") - 1), F.lit(1 << 40)))
     sums = {}
     for seed in (1, 2):
-        sums[f"whole{seed}"] = F.sum(f"own{seed}").over(whole)
-        sums[f"without{seed}"] = F.coalesce(F.sum(f"own{seed}").over(before), F.lit(0)) + F.coalesce(F.sum(f"moved{seed}").over(after), F.lit(0))
+        sums[f"whole{seed}"] = F.sum(f"own{seed}").over(part)
+        ahead = F.coalesce(F.sum(f"own{seed}").over(before), F.lit(0))
+        behind = F.sum(f"moved{seed}").over(part) - F.coalesce(F.sum(f"moved{seed}").over(before), F.lit(0)) - F.col(f"moved{seed}")
+        sums[f"without{seed}"] = ahead + behind
     rows = rows.withColumns(sums)
 
-    def inside(size: str, last: str) -> str:
-        edge = f"floor(({{}}) * ({size}) / {BLOCKS})"
-        return f"exists(stretches, s -> s.size = {size} AND at >= {edge.format('s.block')} AND at {last} {edge.format('s.block + 1')})"
+    # Codes 0 and 1 are halves of the line as it is, 2 and 3 as if one word shorter; the edit is in the half not shared.
+    middle, shorter = "floor(n / 2)", "floor((n - 1) / 2)"
+    same = f"(array_contains(codes, 0) AND at >= {middle}) OR (array_contains(codes, 1) AND at < {middle})"
+    longer = f"(array_contains(codes, 2) AND at >= {shorter}) OR (array_contains(codes, 3) AND at <= {shorter})"
+    changed = F.when(F.expr(same), F.struct(F.lit("S").alias("kind"), F.xxhash64(F.lit("S"), "n", "at", F.expr("whole1 - own1"), F.expr("whole2 - own2")).alias("variant")))
+    dropped = F.when(F.expr(longer), F.struct(F.lit("D").alias("kind"), F.xxhash64(F.lit("D"), F.expr("n - 1"), "without1", "without2").alias("variant")))
+    entire = F.when(F.expr("at = 0 AND (array_contains(codes, 0) OR array_contains(codes, 1))"), F.struct(F.lit("F").alias("kind"), F.xxhash64(F.lit("D"), "n", "whole1", "whole2").alias("variant")))
+    return rows.select("place", F.explode(F.array_compact(F.array(changed, dropped, entire))).alias("v")).select("place", "v.kind", "v.variant")
 
-    changed = F.when(F.expr(inside("n", "<")), F.struct(F.lit("S").alias("kind"), F.xxhash64(F.lit("S"), "n", "at", F.expr("whole1 - own1"), F.expr("whole2 - own2")).alias("variant")))
-    dropped = F.when(F.expr(inside("n - 1", "<=")), F.struct(F.lit("D").alias("kind"), F.xxhash64(F.lit("D"), F.expr("n - 1"), "without1", "without2").alias("variant")))
-    entire = F.when(F.expr("at = 0 AND exists(stretches, s -> s.size = n)"), F.struct(F.lit("F").alias("kind"), F.xxhash64(F.lit("D"), "n", "whole1", "whole2").alias("variant")))
-    rows = rows.select("place", F.explode(F.array_compact(F.array(changed, dropped, entire))).alias("v"))
-    return rows.select("place", "v.kind", "v.variant").distinct()
 
-
-def _near(rows: DataFrame, lines: DataFrame) -> DataFrame:
+def _near(found: DataFrame) -> DataFrame:
     """Places of first lines that have an earlier line one word away."""
-    found = _lines_of(rows, _candidates(lines))
     variants = _variants(found)
     least = variants.groupBy("variant").agg(*(F.min(F.when(F.col("kind") == kind, F.col("place"))).alias(f"least_{kind}") for kind in "SDF"))
     # Lines with a changed word are all one apart; a longer line is one apart from the whole one, and the other way round.
     partner = F.when(F.col("kind") == "S", F.col("least_S")).when(F.col("kind") == "D", F.col("least_F")).otherwise(F.col("least_D"))
     pairs = variants.join(least, "variant").select("place", partner.alias("earlier")).filter("earlier < place").distinct()
 
-    words = found.select(F.struct(*_ORDER).alias("place"), "words").dropDuplicates(["place"])
-    pairs = pairs.join(words, "place").withColumnRenamed("words", "own")
+    # All have codes; naming them makes this the same plan as above.
+    words = found.filter("size(codes) > 0").select("place", "words")
+    pairs = pairs.join(words.withColumnRenamed("words", "own"), "place")
     pairs = pairs.join(words.select(F.col("place").alias("earlier"), F.col("words").alias("other")), "earlier")
     ahead = "array_position(zip_with({0}, {1}, (x, y) -> x <=> y), false)"
     agreeing = f"({ahead.format('own', 'other')} - 1 + {ahead.format('reverse(own)', 'reverse(other)')} - 1)"
-    return pairs.filter(f"{agreeing} >= greatest(size(own), size(other)) - 1").select("place.key", "place.line").distinct()
+    return pairs.filter(f"{agreeing} >= greatest(size(own), size(other)) - 1").select("place").distinct()
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """``docs`` as structs ``row``, with the kept ``text``, and the numbers of lines with words: all, equal, near."""
-    rows = _rows(docs)
-    lines = _distinct_lines(rows)
-    near = _near(rows, lines).withColumn("near", F.lit(True))
-    firsts = lines.select("key", "line").join(near, ["key", "line"], "left")
-    firsts = firsts.groupBy("key").agg(F.collect_set(F.when(F.col("near").isNull(), F.col("line"))).alias("kept"), F.count("near").alias("n_near"))
-
-    rows = rows.join(firsts, "key", "left").select("row", F.split(_text(), "\n").alias("shown"), F.coalesce("kept", F.array().cast("array<int>")).alias("kept"), F.coalesce("n_near", F.lit(0)).alias("n_near"))
+    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    rows = docs.select(key.alias("key"), F.struct(*(F.col(name) for name in docs.columns if name != "text")).alias("row"))
+    # Everything that reads texts reads these two columns, so that their exchange is made once.
+    texts = docs.select(key.alias("key"), F.col("text").cast("string").alias("text"))
+    numbered = _numbered(docs.select(key.alias("key"), F.col("doc_id").cast("bigint").alias("doc_id")))
+    lines = _distinct_lines(texts, numbered)
+    near = _near(_lines_of(texts, numbered, _candidates(lines))).withColumn("near", F.lit(True))
+    firsts = lines.select("place").join(near, "place", "left")
+    line = F.pmod("place", F.lit(1 << _LINE_BITS)).cast("int")
+    firsts = firsts.groupBy(_number("place").alias("number")).agg(F.collect_set(F.when(F.col("near").isNull(), line)).alias("kept"), F.count("near").alias("n_near"))
+    firsts = firsts.join(numbered, "number").drop("number")
+
+    found = texts.join(firsts, "key", "left").select("key", F.split("text", "\n").alias("shown"), F.coalesce("kept", F.array().cast("array<int>")).alias("kept"), F.coalesce("n_near", F.lit(0)).alias("n_near"))
     empty = F.expr(f"filter(transform(shown, (x, i) -> if(x rlike '{BLANKS.replace('[', '[^')}', NULL, i)), i -> i IS NOT NULL)".replace("\\", "\\\\"))
-    rows = rows.withColumn("empty", empty)
+    found = found.withColumn("empty", empty)
     left = F.expr("array_join(transform(sort_array(concat(kept, empty)), i -> get(shown, i)), '\\n')")
-    total = (F.size("shown") - F.size("empty")).cast("bigint")
-    return rows.select(
-        "row",
+    total = F.size("shown") - F.size("empty")
+    found = found.select(
+        "key",
         F.when(F.col("shown").isNotNull(), left).alias("text"),
         F.when(F.col("shown").isNull(), 0).otherwise(total).cast("bigint").alias("n_lines"),
         F.when(F.col("shown").isNull(), 0).otherwise(total - F.size("kept") - F.col("n_near")).cast("bigint").alias("n_equal"),
         F.col("n_near").cast("bigint").alias("n_near"),
     )
+    # Equal rows have one text between them, and each gets it.
+    return rows.join(found.dropDuplicates(["key"]), "key").drop("key")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -173,7 +187,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     A column ``n_chars``, if there is one, follows the text.
     """
-    rows = cleaned(docs).filter("n_lines = 0 OR n_lines > n_equal + n_near")
+    rows = cleaned(docs)
+    # Computed before the filter, which would else be pushed below and compute it twice.
+    rows = rows.select("row", computed_once([F.col(name) for name in rows.columns if name != "row"]))
+    rows = rows.filter("n_lines = 0 OR n_lines > n_equal + n_near")
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
     return rows.select(*(changed[name].alias(name) if name in changed else F.col("row")[name].alias(name) for name in docs.columns))
 
