@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideferry.functions.frames import computed_once
 from tideferry.llm.words import BLANKS, PLAIN_WORD, id_and_text, words_of
 
 # The base rules.
@@ -101,7 +102,9 @@ def kept_by(policy: Policy) -> Column:
 
 def filtered(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns they came with."""
-    return ledger(docs).filter(kept_by(policy)).select("row.*")
+    # Computed before the filter: pushed below the ledger's steps, it would compute them again and again.
+    rows = ledger(docs).select("row", computed_once([F.col("failed")]))
+    return rows.filter(kept_by(policy)).select("row.*")
 
 
 def judged(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
