@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideferry.llm.suffixes import search, suffix_array
-from tideferry.llm.words import ITEM_WORD, item_words, slices, spans, sql_words
+from tideferry.llm.words import ITEM_WORD, item_words, parts, spans, sql_words
 
 WINDOW = 10
 
@@ -149,14 +149,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     def step(known) -> None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = known.value
-            for batch in batches:
-                texts = [t or b"" for t in batch.column("row").field("text").cast(pa.binary()).to_pylist()]
-                for begin, end in slices(batch, [len(t) for t in texts], SHARD_BYTES):
-                    part = batch.slice(begin, end - begin)
-                    before = [[v or empty for v in part.column(c).to_pylist()] for c, empty in (("hits", []), ("items", []), ("longest", 0))]
-                    values = _shard(tests, texts[begin:end], *before)
-                    kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64())
-                    yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(v, k) for v, k in zip(values, kinds))], names=batch.schema.names)
+            for part in parts(batches, lambda batch: batch.column("row").field("text"), SHARD_BYTES):
+                texts = [t or b"" for t in part.column("row").field("text").cast(pa.binary()).to_pylist()]
+                before = [[v or empty for v in part.column(c).to_pylist()] for c, empty in (("hits", []), ("items", []), ("longest", 0))]
+                values = _shard(tests, texts, *before)
+                kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(v, k) for v, k in zip(values, kinds))], names=part.schema.names)
 
         return run
 
