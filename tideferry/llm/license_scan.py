@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.llm.words import ITEM_WORD, id_and_text, item_words, sql_words, texts
+from tideferry.llm.words import ITEM_WORD, id_and_text, item_words, parts, sql_words, texts
 
 # The base phrases and their labels.
 PHRASES = (
@@ -67,8 +67,8 @@ def word_order(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in texts(batch):
+        for part in parts(batches):
+            for text in texts(part):
                 found.update(vocabulary.intersection(item_words(text)))
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())})
 
@@ -138,7 +138,7 @@ def scan(docs: DataFrame) -> DataFrame:
     phrases = [(phrase.encode(), phrase.split()[-1].encode(), label) for phrase, label in PHRASES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for text in texts(batch):
                 blocks = [item_words(line) for line in text.split(b"\n")]
