@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.llm.words import id_and_text, plain_words, slices, texts
+from tideferry.llm.words import id_and_text, parts, plain_words, texts
 from tideferry.sources.shared import scratch_path
 
 DEPTH = 3
@@ -46,7 +46,6 @@ HEAVY_BYTES = 64
 
 # Contexts of two bytes are dealt to so many groups.
 GROUPS = 1024
-CHUNK_BYTES = 4 << 20
 
 
 def held_out(doc_id: Column) -> Column:
@@ -73,31 +72,28 @@ def _counts(docs: DataFrame) -> DataFrame:
     """Words (kind ``w``) and grams (kind ``g``) with their counts, in training texts and in all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = texts(batch)
-            learnt = [not out for out in batch.column("held_out").to_pylist()]
-            for begin, end in slices(batch, [len(t) for t in found], CHUNK_BYTES):
-                every, trained = Counter(), Counter()
-                for text, learn in zip(found[begin:end], learnt[begin:end]):
-                    words = plain_words(text.lower())
-                    every.update(words)
-                    every[b""] += 1
-                    if learn:
-                        trained.update(words)
-                        trained[b""] += 1
-                words = list(every)
-                yield pa.RecordBatch.from_pydict(
-                    {"kind": ["w"] * len(words), "word": pa.array(words, pa.binary()), "gram": pa.array([0] * len(words), pa.int64()), "trained": pa.array([trained[w] for w in words], pa.int64()), "n": pa.array([every[w] for w in words], pa.int64())}
-                )
-                grams, begins = _grams(found[begin:end])
-                learn = np.repeat(learnt[begin:end], np.diff(np.append(begins, len(grams))))
-                distinct, n = np.unique(grams, return_counts=True)
-                some, m = np.unique(grams[learn], return_counts=True)
-                in_training = np.zeros(len(distinct), dtype=np.int64)
-                in_training[np.searchsorted(distinct, some)] = m
-                yield pa.RecordBatch.from_pydict(
-                    {"kind": ["g"] * len(n), "word": pa.array([b""] * len(n), pa.binary()), "gram": pa.array(distinct.astype(np.int64)), "trained": pa.array(in_training), "n": pa.array(n.astype(np.int64))}
-                )
+        for part in parts(batches):
+            found = texts(part)
+            learnt = [not out for out in part.column("held_out").to_pylist()]
+            every, trained = Counter(), Counter()
+            for text, learn in zip(found, learnt):
+                words = plain_words(text.lower())
+                every.update(words)
+                every[b""] += 1
+                if learn:
+                    trained.update(words)
+                    trained[b""] += 1
+            words = list(every)
+            columns = {"word": pa.array(words, pa.binary()), "gram": pa.array([0] * len(words), pa.int64()), "trained": pa.array([trained[w] for w in words], pa.int64())}
+            yield pa.RecordBatch.from_pydict({"kind": ["w"] * len(words), **columns, "n": pa.array([every[w] for w in words], pa.int64())})
+            grams, begins = _grams(found)
+            learn = np.repeat(learnt, np.diff(np.append(begins, len(grams))))
+            distinct, n = np.unique(grams, return_counts=True)
+            some, m = np.unique(grams[learn], return_counts=True)
+            in_training = np.zeros(len(distinct), dtype=np.int64)
+            in_training[np.searchsorted(distinct, some)] = m
+            columns = {"word": pa.array([b""] * len(n), pa.binary()), "gram": pa.array(distinct.astype(np.int64)), "trained": pa.array(in_training)}
+            yield pa.RecordBatch.from_pydict({"kind": ["g"] * len(n), **columns, "n": pa.array(n.astype(np.int64))})
 
     counted = docs.select("text", "held_out").mapInArrow(count, "kind string, word binary, gram bigint, trained bigint, n bigint")
     return counted.groupBy("kind", "word", "gram").agg(F.sum("trained").alias("trained"), F.sum("n").alias("n"))
@@ -237,50 +233,47 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_words, codes, logs = sent.value
-        for batch in batches:
-            found = texts(batch)
-            for begin, end in slices(batch, [len(t) for t in found], CHUNK_BYTES):
-                part = batch.slice(begin, end - begin)
-                some = found[begin:end]
-                n_tokens, n_known, base, rare_words = [], [], [], []
-                for text in some:
-                    tally = Counter(plain_words(text.lower()))
-                    tally[b""] += 1
-                    total, known, rare = 0.0, 0, []
-                    for word, times in tally.items():
-                        entry = known_words.get(word)
-                        if entry is None:
-                            rare.append((word, times))
-                        else:
-                            total += times * entry[0]
-                            known += times * entry[1]
-                    n_tokens.append(sum(tally.values()))
-                    n_known.append(known)
-                    base.append(total)
-                    rare_words.append([{"word": w, "times": t} for w, t in rare])
-                grams, begins = _grams(some)
-                distinct, of = np.unique(grams, return_inverse=True)
-                at = np.minimum(np.searchsorted(codes, distinct), max(len(codes) - 1, 0))
-                heavy = codes[at] == distinct if len(codes) else np.zeros(len(distinct), dtype=bool)
-                each = np.where(heavy, logs[at], 0.0)[of] if len(codes) else np.zeros(len(of))
-                rare_grams: list[list[dict]] = [[] for _ in some]
-                light = np.flatnonzero(~heavy[of])
-                rows = np.searchsorted(begins, light, side="right") - 1
-                for (row, gram), times in Counter(zip(rows.tolist(), grams[light].tolist())).items():
-                    rare_grams[row].append({"gram": gram, "times": times})
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(name) for name in names[:3]),
-                        pa.array([len(t) for t in some], pa.int64()),
-                        pa.array(n_tokens, pa.int64()),
-                        pa.array(n_known, pa.int64()),
-                        pa.array(base, pa.float64()),
-                        pa.array(np.add.reduceat(each, begins)),
-                        pa.array(rare_words, rare_word),
-                        pa.array(rare_grams, rare_gram),
-                    ],
-                    names=names,
-                )
+        for part in parts(batches):
+            some = texts(part)
+            n_tokens, n_known, base, rare_words = [], [], [], []
+            for text in some:
+                tally = Counter(plain_words(text.lower()))
+                tally[b""] += 1
+                total, known, rare = 0.0, 0, []
+                for word, times in tally.items():
+                    entry = known_words.get(word)
+                    if entry is None:
+                        rare.append((word, times))
+                    else:
+                        total += times * entry[0]
+                        known += times * entry[1]
+                n_tokens.append(sum(tally.values()))
+                n_known.append(known)
+                base.append(total)
+                rare_words.append([{"word": w, "times": t} for w, t in rare])
+            grams, begins = _grams(some)
+            distinct, of = np.unique(grams, return_inverse=True)
+            at = np.minimum(np.searchsorted(codes, distinct), max(len(codes) - 1, 0))
+            heavy = codes[at] == distinct if len(codes) else np.zeros(len(distinct), dtype=bool)
+            each = np.where(heavy, logs[at], 0.0)[of] if len(codes) else np.zeros(len(of))
+            rare_grams: list[list[dict]] = [[] for _ in some]
+            light = np.flatnonzero(~heavy[of])
+            rows = np.searchsorted(begins, light, side="right") - 1
+            for (row, gram), times in Counter(zip(rows.tolist(), grams[light].tolist())).items():
+                rare_grams[row].append({"gram": gram, "times": times})
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(part.column(name) for name in names[:3]),
+                    pa.array([len(t) for t in some], pa.int64()),
+                    pa.array(n_tokens, pa.int64()),
+                    pa.array(n_known, pa.int64()),
+                    pa.array(base, pa.float64()),
+                    pa.array(np.add.reduceat(each, begins)),
+                    pa.array(rare_words, rare_word),
+                    pa.array(rare_grams, rare_gram),
+                ],
+                names=names,
+            )
 
     path = scratch_path(spark, "lm-scores")
     # Equal rows share a digest, so that what is joined for them counts once.
