@@ -27,7 +27,7 @@ def rewritten(text: str) -> str:
         for rule in ordered(DEFAULT_RULES):
             if rule.kind != kind:
                 continue
-            if kind == FUNCTION_MAP:
+            if kind == FUNCTION_MAP and not rule.is_regex:
                 text = text.replace(rule.source, rule.target)
             else:
                 pattern = rf"\b{rule.source}\b" if kind == TYPE_MAP else rule.source

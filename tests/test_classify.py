@@ -74,3 +74,17 @@ def test_distinct_estimates(spark):
 def test_pass_rate_of_nothing(spark):
     empty = spark.createDataFrame([], "run_id string, status string")
     assert reports.pass_rate(empty).first().pass_rate == 0.0
+
+
+def test_comments_and_brackets_before_a_statement(spark):
+    texts = {
+        "-- nightly\nINSERT INTO a SELECT 1": "ETL",
+        "/* x; y */ (select * from t)": "AD_HOC",
+        "select a into b from c": "ETL",
+        "with x as (select 1) insert into y select * from x": "ETL",
+        "with x as (select 1) select * from x": "AD_HOC",
+        "/* a */ -- b\n vacuum t": "MAINTENANCE",
+        "-- only a comment": "UNKNOWN",
+    }
+    rows = spark.createDataFrame([(text,) for text in texts], "query_text string")
+    assert {row.query_text: row.query_category for row in classify(rows).collect()} == texts

@@ -47,7 +47,7 @@ def test_literal_functions_mind_case(spark):
     rule = Rule(FUNCTION_MAP, "GETDATE()", "CURRENT_TIMESTAMP()")
     assert apply(spark, "GETDATE() getdate()", rule) == "CURRENT_TIMESTAMP() getdate()"
     with pytest.raises(ValueError):
-        Rule(FUNCTION_MAP, "", "x").apply(F.col("t"))
+        Rule(FUNCTION_MAP, "", "x")
 
 
 def test_many_rules_fold_to_the_same_text(spark):
@@ -108,8 +108,15 @@ def test_sort_key_rules_do_not_collide(spark):
     assert found == "x  y"
 
 
-def test_inactive_default_rule(spark):
-    assert run(spark, "STOP TOP 5", lambda t: rewrite_text(t)) == "STOP TOP 5"
+def test_row_limit_rule_leaves_longer_words(spark):
+    assert run(spark, "STOP TOP 5", lambda t: rewrite_text(t)) == "STOP LIMIT 5"
+
+
+def test_java_patterns_keep_their_groups(spark):
+    for pattern in (r"(\p{L}+)\(\)", r"(?<n>\w+)\(\)", r"([a-z]+)\(\)"):
+        assert apply(spark, "now()", Rule(FUNCTION_MAP, pattern, "f_$1", is_regex=True)) == "f_now"
+    with pytest.raises(ValueError, match="not a Java pattern"):
+        apply(spark, "x", Rule(FUNCTION_MAP, "(", "y", is_regex=True))
 
 
 def test_clean_up_knows_all_spaces(spark):

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,10 +42,14 @@ def whole_word(pattern: str) -> str:
 
 
 def group_count(pattern: str) -> int:
+    """Groups of a Java pattern, by the JVM's own pattern class; a pattern that does not compile raises."""
+    context = SparkContext._active_spark_context
+    if context is None:
+        raise RuntimeError("patterns are compiled by the JVM; start a session first")
     try:
-        return re.compile(pattern).groups
-    except re.error:
-        return 0
+        return context._jvm.java.util.regex.Pattern.compile(pattern).matcher("").groupCount()
+    except (Py4JJavaError, IllegalArgumentException) as error:
+        raise ValueError(f"not a Java pattern: {pattern}") from error
 
 
 def replacement(target: str, groups: int = 0) -> str:
@@ -75,6 +82,11 @@ def replace_literal(text: Column, old: str, new: str) -> Column:
     return F.replace(text, F.lit(old), F.lit(new))
 
 
+def bare_statement(text: Column) -> Column:
+    """A statement without the blanks, comments and opening brackets before it."""
+    return F.regexp_replace(text, r"(?s)^(?:\s++|--[^\n]*+|/\*.*?\*/|\()++", "")
+
+
 def preview(text: Column, length: int) -> Column:
     return F.left(text, F.lit(length))
 

@@ -8,11 +8,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideferry.functions.text import bare_statement
+
 CATEGORIES = ("ETL", "REPORTING", "AD_HOC", "MAINTENANCE")
 
 _ETL = (
     r"(?is)^\s*(?:insert|copy|unload|merge|update|delete)\b"
     r"|^\s*create\s+(?:or\s+replace\s+)?(?:temp\s+|temporary\s+)?table\b[^;]*?\bas\s*\(?\s*(?:select|with)\b"
+    r"|^\s*select\b[^;]*?\binto\s+\w"
+    r"|^\s*with\b[^;]*?\binsert\s+into\b"
 )
 _MAINTENANCE = (
     r"(?i)^\s*(?:vacuum|analyze|create|alter|drop|truncate|grant|revoke|comment|refresh)\b"
@@ -29,7 +33,9 @@ def rule_label(text: Column) -> Column:
 
     Moving data is ETL; definitions, grants and housekeeping are MAINTENANCE;
     summaries and sorted joins are REPORTING; any other look at data is AD_HOC.
+    Comments and brackets before the statement don't count.
     """
+    text = bare_statement(text)
     return (
         F.when(F.rlike(text, F.lit(_ETL)), F.lit("ETL"))
         .when(F.rlike(text, F.lit(_MAINTENANCE)), F.lit("MAINTENANCE"))

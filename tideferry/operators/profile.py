@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideferry.functions.frames import quoted, union_all
+from tideferry.functions.text import bare_statement
 from tideferry.operators.reconcile import COLUMNS_PER_SCAN
 
 _COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
@@ -107,7 +108,7 @@ def complexity_tier(queries: DataFrame, column: str = "query_text") -> DataFrame
     text = F.col(column)
     return queries.withColumn("replacements", F.regexp_count(text, F.lit(MINOR_WORK))).withColumn(
         "complexity_level",
-        F.when(F.rlike(text, F.lit(MAJOR_WORK)), F.lit("RED"))
+        F.when(F.rlike(bare_statement(text), F.lit(MAJOR_WORK)), F.lit("RED"))
         .when(F.col("replacements") > 0, F.lit("YELLOW"))
         .otherwise(F.lit("GREEN")),
     )

@@ -1,13 +1,11 @@
 """Rewrite text columns by an ordered rule table.
 
-Rules are configuration: a few rows, read once and folded into one nested
-expression, so any number of texts is rewritten in a single JVM-side
-projection over the scan.
+Rules are configuration: rows read once and folded inside one expression, so
+any number of texts is rewritten in a single JVM-side projection over the scan.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -16,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tideferry.functions.text import (
     SPACE,
+    WORD,
     group_count,
-    replace_literal,
     replace_pattern,
     replacement,
     whole_word,
@@ -28,12 +26,6 @@ CLAUSE_STRIP = "CLAUSE_STRIP"
 FUNCTION_MAP = "FUNCTION_MAP"
 STAGES = (TYPE_MAP, CLAUSE_STRIP, FUNCTION_MAP)
 
-# Beyond this many rules one nested expression per rule makes plans slow to
-# compile; the rules then travel as an array and fold inside one lambda.
-NESTED_LIMIT = 100
-# A rule table larger than this is not configuration.
-RULE_LIMIT = 10_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -46,6 +38,10 @@ class Rule:
     is_active: bool = True
     notes: str = ""
 
+    def __post_init__(self) -> None:
+        if not self.source:
+            raise ValueError("a rule needs a non-empty source")
+
     def pattern(self) -> tuple[str, str]:
         """The rule as a Java pattern and replacement."""
         if self.kind == TYPE_MAP:
@@ -58,15 +54,9 @@ class Rule:
             self.target.replace("$", "$$")
         )
 
-    def apply(self, text: Column) -> Column:
-        if self.kind == FUNCTION_MAP and not self.is_regex:
-            return replace_literal(text, self.source, self.target)
-        pattern, target = self.pattern()
-        return F.regexp_replace(text, pattern, target)
-
 
-# Default rules (fixed values). The positional TOP rule is kept but inactive:
-# as a literal it also changes words that end in "TOP ".
+# Default rules (fixed values). TOP is a pattern, so that it leaves words that
+# end in it alone.
 DEFAULT_RULES = (
     Rule(TYPE_MAP, "TIMESTAMP", "TIMESTAMP_NTZ", rule_id="t1", notes="no time zone"),
     Rule(TYPE_MAP, "TIMESTAMPTZ", "TIMESTAMP_TZ", rule_id="t2", notes="with time zone"),
@@ -81,7 +71,7 @@ DEFAULT_RULES = (
     Rule(CLAUSE_STRIP, r"ENCODE\s+\w+", rule_id="c4", notes="column encoding"),
     Rule(FUNCTION_MAP, "GETDATE()", "CURRENT_TIMESTAMP()", rule_id="f1", notes="current time"),
     Rule(FUNCTION_MAP, "ISNULL(", "NVL(", rule_id="f2", notes="null default"),
-    Rule(FUNCTION_MAP, "TOP ", "LIMIT ", rule_id="f3", is_active=False, notes="row limit"),
+    Rule(FUNCTION_MAP, f"(?<!{WORD})TOP ", "LIMIT ", is_regex=True, rule_id="f3", notes="row limit"),
 )
 
 
@@ -95,10 +85,8 @@ def ordered(rules: Iterable[Rule]) -> list[Rule]:
 
 
 def rules_from(config: DataFrame) -> list[Rule]:
-    """Read a rule table; it is configuration, and checked to be small."""
-    rows = config.filter("is_active").limit(RULE_LIMIT + 1).collect()
-    if len(rows) > RULE_LIMIT:
-        raise ValueError(f"more than {RULE_LIMIT} active rules")
+    """Read the active rules of a rule table: configuration, which becomes part of the plan."""
+    rows = config.filter("is_active").collect()
     return ordered(
         Rule(
             row.config_type,
@@ -125,9 +113,9 @@ def deduplicated(config: DataFrame, keys: Sequence[str], rule_id: str) -> DataFr
 
 
 def apply_rules(text: Column, rules: Sequence[Rule]) -> Column:
-    """Fold the rules over the text, in the order given."""
-    if len(rules) <= NESTED_LIMIT:
-        return functools.reduce(lambda column, rule: rule.apply(column), rules, text)
+    """Fold the rules over the text, in the order given; they travel as one array, however many there are."""
+    if not rules:
+        return text
     steps = F.array(
         *[
             F.struct(F.lit(pattern).alias("pattern"), F.lit(target).alias("target"))
@@ -145,6 +133,7 @@ def apply_kind(text: Column, rules: Iterable[Rule], kind: str) -> Column:
 
 def clean_up(text: Column, schema_prefix: str | None = None) -> Column:
     """Fixed final pass: leftovers of storage clauses, schema prefix, layout."""
+    # The eight patterns.
     text = replace_pattern(text, f"ENCODE{SPACE}+\\w+")
     text = replace_pattern(text, f"DISTSTYLE{SPACE}+(?:KEY|ALL|EVEN)")
     text = replace_pattern(text, f"DISTKEY{SPACE}*\\([^)]++\\)")

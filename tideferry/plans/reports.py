@@ -64,9 +64,9 @@ def validation_view(results: DataFrame, registry: DataFrame) -> DataFrame:
     tables = registry.select("registry_id", "source_table")
     return (
         results.join(tables, "registry_id", "left")
-        .orderBy(F.asc_nulls_last("source_table"), F.asc_nulls_last("check_name"))
+        .orderBy(F.asc_nulls_last("source_table"), F.asc_nulls_last("check_name"), "checked_at")
         .select(
-            "source_table", "check_name", "status", "source_value", "target_value", "variance_pct"
+            "source_table", "check_name", "status", "source_value", "target_value", "variance_pct", "checked_at"
         )
     )
 
@@ -86,7 +86,7 @@ def run_picker(runs: DataFrame) -> DataFrame:
 def registry_listing(registry: DataFrame, run_id=None) -> DataFrame:
     return (
         of_run(registry, run_id)
-        .orderBy("source_table")
+        .orderBy("source_table", "run_id", "registry_id")
         .select("run_id", "source_table", "target_table", "status")
     )
 
@@ -127,18 +127,24 @@ def definition_preview(translations: DataFrame, run_id=None, length: int = 120)
             "source_table",
             preview(F.col("original_ddl"), length).alias("original_preview"),
             preview(F.col("translated_ddl"), length).alias("translated_preview"),
+            "translated_at",
+            "translation_id",
         )
-        .orderBy("source_table")
+        .orderBy("source_table", "translated_at", "translation_id")
+        .drop("translation_id")
     )
 
 
 def query_preview(classified: DataFrame, length: int = 100, also: Sequence[str] = ()) -> DataFrame:
+    """Starts of query texts by category; the text's hash keeps one category's rows apart in the sort."""
     return classified.select(
         *also,
         "query_category",
         "confidence",
         preview(F.col("query_text"), length).alias("query_preview"),
-    ).orderBy("query_category", *also)
+        "classified_at",
+        F.xxhash64("query_text").alias("_text"),
+    ).orderBy("query_category", "classified_at", *also, "_text").drop("_text")
 
 
 def category_distribution(classified: DataFrame) -> DataFrame:

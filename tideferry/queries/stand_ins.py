@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideferry.sources.tables import read_table, spread
+from tideferry.sources.tables import read_table
 
 ALL = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -144,26 +144,23 @@ TRANSLATIONS_SQL = """
     FROM conversations"""
 
 
-# Statement templates of the query log, by event type (fixed values).
+# Statement templates of the query log, by event type.
 STATEMENTS = {
-    "signup": "INSERT INTO report.daily_{table} SELECT saletime::DATE, COUNT(*) FROM shop.{table} "
-    "WHERE buyerid = {user} GROUP BY 1",
-    "purchase": "CREATE TABLE report.user_{user} AS SELECT s.* FROM shop.{table} s "
-    "JOIN shop.users u ON s.buyerid = u.userid",
-    "view": "SELECT c.catname, SUM(s.pricepaid) AS revenue FROM shop.{table} s "
-    "JOIN shop.happening h ON s.eventid = h.eventid JOIN shop.category c ON h.catid = c.catid "
-    "WHERE s.buyerid = {user} GROUP BY c.catname ORDER BY revenue DESC",
-    "click": "SELECT s.*, ISNULL(s.note, '') FROM shop.{table} s "
-    "WHERE s.userid = {user} AND s.starttime > GETDATE() LIMIT 100",
-    "error": "VACUUM shop.{table}",
+    "signup": "/* nightly */ WITH fresh AS (SELECT o_orderkey FROM store.{table} WHERE o_custkey = {user})\n"
+    "INSERT INTO mart.seen SELECT o_orderkey FROM fresh",
+    "purchase": "SELECT l_partkey, l_quantity INTO mart.basket_{user} FROM store.lineitem JOIN store.{table} ON l_orderkey = o_orderkey",
+    "view": "-- dearest first\n(SELECT c_mktsegment, avg(o_totalprice) AS price FROM store.customer "
+    "JOIN store.{table} ON o_custkey = c_custkey WHERE c_custkey > {user} GROUP BY c_mktsegment ORDER BY price DESC)",
+    "click": "SELECT c_name, ISNULL(c_mktsegment, 'none') FROM store.{table} WHERE c_custkey = {user} AND opened < GETDATE()",
+    "error": "-- after the load\nVACUUM store.{table}",
 }
 
 
 def query_log(spark: SparkSession, folder: str) -> DataFrame:
     table = (
-        F.when(F.col("value") < 1.5, F.lit("listing"))
-        .when(F.col("value") < 6, F.lit("sales"))
-        .otherwise(F.lit("happening"))
+        F.when(F.col("value") < 1.5, F.lit("orders"))
+        .when(F.col("value") < 6, F.lit("returns"))
+        .otherwise(F.lit("archive"))
     )
     text = F
     for kind, template in STATEMENTS.items():
@@ -171,13 +168,13 @@ def query_log(spark: SparkSession, folder: str) -> DataFrame:
             F.col("event_type") == kind, fill(template, table=table, user=F.col("user_id"))
         )
     events = read_table(spark, folder, "events")
-    return spread(events.select("event_id", "event_type", "user_id", "value")).select(
+    return events.select("event_id", "event_type", "user_id", "value").select(
         F.col("event_id").alias("query_id"), text.alias("query_text")
     )
 
 
 def _query_log_sql() -> str:
-    table = "CASE WHEN value < 1.5 THEN 'listing' WHEN value < 6 THEN 'sales' ELSE 'happening' END"
+    table = "CASE WHEN value < 1.5 THEN 'orders' WHEN value < 6 THEN 'returns' ELSE 'archive' END"
     cases = " ".join(
         f"WHEN '{kind}' THEN {fill_sql(template, table='tbl', user='user_id')}"
         for kind, template in STATEMENTS.items()
@@ -220,7 +217,7 @@ def definitions(spark: SparkSession, folder: str) -> DataFrame:
         name=F.col("p_name"),
     )
     part = read_table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    return spread(part).select("p_partkey", text.alias("original_ddl"))
+    return part.select("p_partkey", text.alias("original_ddl"))
 
 
 DEFINITIONS_SQL = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideferry.model import TRANSLATION_RULES
 from tideferry.operators import classify, profile, rewrite
 from tideferry.operators.rewrite import CLAUSE_STRIP, DEFAULT_RULES, FUNCTION_MAP, TYPE_MAP, Rule
 from tideferry.plans import reports
@@ -17,7 +18,7 @@ from tideferry.queries.stand_ins import (
     fill_sql,
     query_log,
 )
-from tideferry.sources.tables import read_table, read_tables, spread
+from tideferry.sources.tables import read_table, read_tables
 
 # Rules aimed at words of the documents, one kind after the other.
 DOCUMENT_RULES = (
@@ -31,7 +32,7 @@ DOCUMENT_RULES = (
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return read_table(spark, folder, "documents").select("doc_id", "text")
 
 
 def rewrite_type_map(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,6 +50,32 @@ def rewrite_function_map(spark: SparkSession, folder: str) -> DataFrame:
     return _documents(spark, folder).select("doc_id", text.alias("rewritten"))
 
 
+# A rule table: configuration rows with a Java letter class, and a word that must stay whole.
+_RULE_ROWS = (
+    ("1", TYPE_MAP, "the", "der", False),
+    ("2", FUNCTION_MAP, r"(\p{L}+)\.(\s)", "$1;$2", True),
+    ("3", FUNCTION_MAP, r"(?<![A-Za-z0-9_])on ", "off ", True),
+    ("4", CLAUSE_STRIP, r"of\s+\w+", "", False),
+)
+
+
+def rewrite_from_rule_table(spark: SparkSession, folder: str) -> DataFrame:
+    rows = [{"config_id": i, "config_type": kind, "source_value": old, "target_value": new, "is_regex": regex, "is_active": True, "priority": 1} for i, kind, old, new, regex in _RULE_ROWS]
+    table = spark.createDataFrame([tuple(row.get(name) for name in TRANSLATION_RULES.schema.names) for row in rows], TRANSLATION_RULES.schema)
+    text = rewrite.apply_rules(F.col("text"), rewrite.rules_from(table))
+    return _documents(spark, folder).select("doc_id", text.alias("rewritten"))
+
+
+def _many_rules() -> list[tuple[str, str]]:
+    """150 literal rules, each over what the one before left."""
+    return [(f"th{chr(97 + i % 26)}", f"t{i}h") for i in range(150)]
+
+
+def rewrite_many_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = [Rule(FUNCTION_MAP, old, new, rule_id=f"{i:03}") for i, (old, new) in enumerate(_many_rules())]
+    return _documents(spark, folder).select("doc_id", rewrite.apply_rules(F.col("text"), rules).alias("rewritten"))
+
+
 def rewrite_documents(spark: SparkSession, folder: str) -> DataFrame:
     return rewrite.rewrite(_documents(spark, folder), "text", DOCUMENT_RULES).select(
         "doc_id", "rewritten"
@@ -91,6 +118,8 @@ def definition_preview(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("source_table"),
         F.col("text").alias("original_ddl"),
         F.upper("lang").alias("translated_ddl"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, n_chars, 0, 0)").alias("translated_at"),
+        F.col("doc_id").alias("translation_id"),
     )
     return reports.definition_preview(texts)
 
@@ -107,6 +136,9 @@ def _answers(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "events").select("event_id", answer.alias("answer"))
 
 
+_CLASSIFIED_AT = "2024-02-01 12:00:00"
+
+
 def classified(spark: SparkSession, folder: str) -> DataFrame:
     return classify.classify(query_log(spark, folder))
 
@@ -116,13 +148,16 @@ QUERIES = {
     "rewrite_clause_strip": rewrite_clause_strip,
     "rewrite_function_map": rewrite_function_map,
     "rewrite_documents": rewrite_documents,
+    "rewrite_from_rule_table": rewrite_from_rule_table,
+    "rewrite_many_rules": rewrite_many_rules,
     "rewrite_cleanup": rewrite_cleanup,
     "rewrite_full": rewrite_full,
     "rewrite_qualify": rewrite_qualify,
     "rule_dedupe": rule_dedupe,
     "definition_preview": definition_preview,
     "query_preview": lambda spark, folder: reports.query_preview(
-        classified(spark, folder), also=["query_id"]
+        classified(spark, folder).withColumn("classified_at", F.expr(f"timestamp_ntz'{_CLASSIFIED_AT}'")),
+        also=["query_id"],
     ),
     "classify_workload": lambda spark, folder: classified(spark, folder).select(
         "query_id", "query_category", "confidence"
@@ -201,6 +236,7 @@ _DEFINITION_STEPS = [
     (r"ENCODE\s+\w+", "", "gi"),
     ("GETDATE()", "CURRENT_TIMESTAMP()"),
     ("ISNULL(", "NVL("),
+    (r"\bTOP ", "LIMIT ", "gi"),
 ]
 
 
@@ -263,6 +299,10 @@ ORACLE = {
     "rewrite_documents": _documents_sql(
         [*_DOCUMENT_TYPES, *_DOCUMENT_CLAUSES, *_DOCUMENT_FUNCTIONS, *_cleanup(None)]
     ),
+    "rewrite_from_rule_table": _documents_sql(
+        [(r"\bthe\b", "der", "gi"), (r"(\p{L}+)\.(\s)", r"\1;\2", "gi"), (r"\bon ", "off ", "gi"), (r"of\s+\w+", "", "gi")]
+    ),
+    "rewrite_many_rules": _documents_sql(_many_rules()),
     "rewrite_cleanup": f"""
         SELECT p_partkey, {_replaced('original_ddl', _cleanup('src'))} AS rewritten
         FROM ({DEFINITIONS_SQL})""",
@@ -280,9 +320,11 @@ ORACLE = {
         WHERE event_id IN (SELECT min(event_id) FROM events GROUP BY event_type, user_id)""",
     "definition_preview": """
         SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS source_table, left(text, 120) AS original_preview,
-               left(upper(lang), 120) AS translated_preview FROM documents""",
+               left(upper(lang), 120) AS translated_preview,
+               TIMESTAMP '2024-01-01 00:00:00' + n_chars * INTERVAL 1 HOUR AS translated_at FROM documents""",
     "query_preview": f"""
-        SELECT query_id, query_category, 'HIGH' AS confidence, left(query_text, 100) AS query_preview
+        SELECT query_id, query_category, 'HIGH' AS confidence, left(query_text, 100) AS query_preview,
+               TIMESTAMP '{_CLASSIFIED_AT}' AS classified_at
         FROM {_CLASSIFIED}""",
     "classify_workload": f"SELECT query_id, query_category, 'HIGH' AS confidence FROM {_CLASSIFIED}",
     "label_normalise": f"SELECT event_id, answer, query_category, confidence FROM {_ANSWERS}",

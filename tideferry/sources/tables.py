@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,16 +17,3 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
     names = list(names)
     with ThreadPoolExecutor(max_workers=8) as pool:
         return dict(zip(names, pool.map(lambda name: read_table(spark, folder, name), names)))
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Give a scan of few splits to all cores before CPU-heavy text work.
-
-    Large inputs arrive with more splits than cores and are returned
-    unchanged, so no shuffle is added where it would cost anything. Rows go
-    by a hash of their values, which a repeated task computes again.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, F.xxhash64(*rows.columns))
