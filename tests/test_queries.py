@@ -27,4 +27,4 @@ def test_query_equals_sql(spark, tables, name):
 
 
 def test_entry(spark):
-    assert entry_point.entry(spark).count() == 9
+    assert entry_point.entry(spark).count() == 10

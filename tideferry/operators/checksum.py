@@ -18,7 +18,7 @@ from tideferry.functions.numeric import percent, round4
 from tideferry.operators.reconcile import CHECKSUM, verdict
 
 # Number of hexadecimal digits of the key hash that decide on sampling.
-_DIGITS = 4
+_DIGITS = 16
 
 # Two 64-bit hashes of a row, added up in pieces of 20 bits: sums of longs
 # that cannot overflow below 2**43 rows of one key.
@@ -34,11 +34,21 @@ def in_sample(keys: Sequence[str], fraction: float) -> Column:
     """True for about ``fraction`` of all keys, the same keys everywhere."""
     if fraction >= 1.0:
         return F.lit(True)
-    bound = format(round(fraction * 16**_DIGITS), f"0{_DIGITS}x")
+    bound = format(min(round(fraction * 16**_DIGITS), 16**_DIGITS - 1), f"0{_DIGITS}x")
     key = F.concat_ws("\u0001", *[F.col(quoted(k)).cast("string") for k in keys])
     return F.substr(F.md5(key), F.lit(1), F.lit(_DIGITS)) < F.lit(bound)
 
 
+def _named(rows: DataFrame, schema: T.StructType) -> dict[str, str]:
+    """The columns of ``rows`` by the target's names, whatever the letter case; exact names first."""
+    folded = {name.upper(): name for name in rows.columns}
+    found = {f.name: f.name if f.name in rows.columns else folded.get(f.name.upper()) for f in schema.fields}
+    absent = [name for name, own in found.items() if own is None]
+    if absent:
+        raise ValueError(f"the source has no column {', '.join(absent)}")
+    return found
+
+
 def _hashed_values(rows: DataFrame, schema: T.StructType) -> list[Column]:
     """Values to hash, in the target's types, each with whether it is null.
 
@@ -58,8 +68,15 @@ def _hashed_values(rows: DataFrame, schema: T.StructType) -> list[Column]:
 
 
 def _hashed(
-    rows: DataFrame, keys: Sequence[str], schema: T.StructType, fraction: float, side: int
+    rows: DataFrame, keys: Sequence[str], keyed: T.StructType, schema: T.StructType, fraction: float, side: int
 ) -> DataFrame:
+    # Keys are sampled and grouped in the target's types: equal keys must look equal on both sides.
+    typed = {field.name: field.dataType for field in keyed.fields}
+    own = _named(rows, keyed)
+    rows = rows.select(
+        *[F.col(quoted(own[k])).try_cast(typed[k]).alias(k) for k in keys],
+        *[F.col(quoted(n)).alias(f.name) for n, f in zip(_named(rows, schema).values(), schema.fields) if f.name not in keys],
+    )
     values, sign = _hashed_values(rows, schema), F.lit(1 - 2 * side).cast("bigint")
     hashes = [F.xxhash64(F.lit(seed), *values).alias(f"_hash{seed}") for seed in _SEEDS]
     pieces = [
@@ -93,9 +110,13 @@ def compare_sample(
     Source hashes are added and target hashes subtracted; a key matches when
     the row counts agree and every sum is zero.
     """
-    schema = T.StructType([target.schema[name] for name in columns or target.columns])
-    both = _hashed(source, keys, schema, fraction, 0).unionByName(
-        _hashed(target, keys, schema, fraction, 1)
+    folded = {name.upper(): name for name in target.columns}
+    keys = [k if k in target.columns else folded[k.upper()] for k in keys]
+    names = [c if c in target.columns else folded[c.upper()] for c in columns or target.columns]
+    schema = T.StructType([target.schema[name] for name in names])
+    keyed = T.StructType([target.schema[k] for k in keys])
+    both = _hashed(source, keys, keyed, schema, fraction, 0).unionByName(
+        _hashed(target, keys, keyed, schema, fraction, 1)
     )
     same = F.col("source_rows") == F.col("target_rows")
     for name in _PIECES:
@@ -124,7 +145,10 @@ def differences(compared: DataFrame) -> DataFrame:
 def sample_checksum(
     table: str, compared: DataFrame, threshold: float | Column = 0.0
 ) -> DataFrame:
-    """The comparison as one check row: sampled keys against matching keys."""
+    """The comparison as one check row: sampled keys against matching keys.
+
+    Nothing sampled proves nothing, so that is the status NO_SAMPLE.
+    """
     counted = compared.agg(
         F.count(F.lit(1)).alias("sampled"),
         F.count_if(F.col("status") == "MATCH").alias("matching"),
@@ -140,6 +164,6 @@ def sample_checksum(
         F.col("sampled").cast("double").alias("source_value"),
         F.col("matching").cast("double").alias("target_value"),
         round4(distance).alias("variance_pct"),
-        verdict(distance, threshold).alias("status"),
+        F.when(F.col("sampled") == 0, F.lit("NO_SAMPLE")).otherwise(verdict(distance, threshold)).alias("status"),
         F.lit(None).cast("string").alias("note"),
     )

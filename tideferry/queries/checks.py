@@ -61,6 +61,8 @@ def _counts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         for name, rows in source.items()
     }
     target["LABELS"] = read_table(spark, folder, "labels")
+    # A table that never arrived.
+    source["benchmark"] = read_table(spark, folder, "benchmark")
     return reconcile.table_counts(source), reconcile.table_counts(target)
 
 
@@ -113,11 +115,15 @@ def null_rate_display(spark: SparkSession, folder: str) -> DataFrame:
 _LISTED = ("check_name", "source_value", "target_value", "variance_pct", "status")
 
 
+_CHECKED_AT = "TIMESTAMP '2024-03-01 08:00:00'"
+
+
 def validation_view(spark: SparkSession, folder: str) -> DataFrame:
     table_check = F.col("check_type") == reconcile.ROW_COUNT
     owned = results(spark, folder).withColumn(
         "registry_id", F.when(table_check, F.col("source_value").cast("bigint"))
     )
+    owned = owned.withColumn("checked_at", F.expr(_CHECKED_AT.replace("TIMESTAMP", "timestamp_ntz")))
     return reports.validation_view(owned, registry(spark, folder))
 
 
@@ -138,6 +144,14 @@ def _compared(spark: SparkSession, folder: str) -> DataFrame:
     return checksum.compare_sample(orders, _changed_orders(orders), ["o_orderkey"])
 
 
+def _compared_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same orders, moved to a target with decimal keys and upper-case columns."""
+    orders = read_table(spark, folder, "orders")
+    target = _changed_orders(orders).withColumn("o_orderkey", F.col("o_orderkey").cast("decimal(20,0)"))
+    target = target.withColumnsRenamed({name: name.upper() for name in target.columns})
+    return checksum.compare_sample(orders, target, ["o_orderkey"])
+
+
 QUERIES = {
     "row_count_reconcile": row_count_reconcile,
     "row_count_reconcile_config": row_count_reconcile_config,
@@ -165,6 +179,9 @@ QUERIES = {
     "sample_checksum": lambda spark, folder: checksum.sample_checksum(
         "orders", _compared(spark, folder)
     ),
+    "sample_checksum_typed": lambda spark, folder: checksum.sample_checksum(
+        "orders", _compared_typed(spark, folder)
+    ),
     "sample_checksum_differences": lambda spark, folder: checksum.differences(
         _compared(spark, folder)
     ),
@@ -178,7 +195,7 @@ def _round4(value: str) -> str:
 
 
 def _row_counts_sql(threshold: str) -> str:
-    source = " UNION ALL ".join(f"SELECT '{t.upper()}' AS tbl, count(*) AS s FROM {t}" for t in SOURCES)
+    source = " UNION ALL ".join(f"SELECT '{t.upper()}' AS tbl, count(*) AS s FROM {t}" for t in (*SOURCES, "benchmark"))
     target = " UNION ALL ".join(
         f"SELECT '{t.upper()}' AS tbl, count(*) AS t FROM {t} WHERE {KEPT.get(t, 'true')}"
         for t in (*SOURCES, "labels")
@@ -188,10 +205,10 @@ def _row_counts_sql(threshold: str) -> str:
            'ROW_COUNT:' || tbl AS check_name, CAST(s AS DOUBLE) AS source_value,
            CAST(t AS DOUBLE) AS target_value, {_round4('v')} AS variance_pct,
            CASE WHEN v > {threshold} THEN 'FAIL' ELSE 'PASS' END AS status,
-           CASE WHEN s = 0 THEN 'NO_SOURCE' END AS note
-    FROM (SELECT tbl, s, t, CASE WHEN s > 0 THEN abs(s - t) / s * 100.0 ELSE 0.0 END AS v
-          FROM (SELECT tgt.tbl, coalesce(s, 0) AS s, t
-                FROM ({target}) tgt LEFT JOIN ({source}) src ON tgt.tbl = src.tbl))"""
+           CASE WHEN s = 0 THEN 'NO_SOURCE' WHEN absent THEN 'NO_TARGET' END AS note
+    FROM (SELECT tbl, s, t, absent, CASE WHEN s > 0 THEN abs(s - t) / s * 100.0 ELSE 0.0 END AS v
+          FROM (SELECT coalesce(tgt.tbl, src.tbl) AS tbl, coalesce(s, 0) AS s, coalesce(t, 0) AS t, t IS NULL AS absent
+                FROM ({target}) tgt FULL JOIN ({source}) src ON tgt.tbl = src.tbl))"""
 
 
 def _null_rates_sql(threshold: str) -> str:
@@ -239,7 +256,7 @@ _COMPARED = """(
         UNION ALL
         SELECT o_orderkey + 1000000000000, o_totalprice FROM orders WHERE o_totalprice > 470000
     ) t ON s.o_orderkey = t.o_orderkey
-    WHERE substr(md5(CAST(coalesce(s.o_orderkey, t.o_orderkey) AS VARCHAR)), 1, 4) < '199a')"""
+    WHERE substr(md5(CAST(coalesce(s.o_orderkey, t.o_orderkey) AS VARCHAR)), 1, 16) < '"""+ f"{round(0.1 * 16**16):016x}" + """')"""
 
 ORACLE = {
     "row_count_reconcile": _row_counts_sql("5.0"),
@@ -274,7 +291,8 @@ ORACLE = {
         SELECT table_name, column_name, target_value AS null_rate, variance_pct, status
         FROM {_RESULTS} WHERE check_type = 'NULL_RATE'""",
     "validation_view": f"""
-        SELECT r.source_table, v.check_name, v.status, v.source_value, v.target_value, v.variance_pct
+        SELECT r.source_table, v.check_name, v.status, v.source_value, v.target_value, v.variance_pct,
+               {_CHECKED_AT} AS checked_at
         FROM {_RESULTS} v LEFT JOIN ({REGISTRY_SQL}) r
           ON v.check_type = 'ROW_COUNT' AND r.registry_id = CAST(v.source_value AS BIGINT)""",
     "sample_checksum": f"""
@@ -289,3 +307,5 @@ ORACLE = {
                CAST(target_rows AS BIGINT) AS target_rows, status
         FROM {_COMPARED} WHERE status <> 'MATCH'""",
 }
+
+ORACLE["sample_checksum_typed"] = ORACLE["sample_checksum"]
