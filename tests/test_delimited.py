@@ -105,6 +105,15 @@ def test_fields_named_like_reject_columns(spark, tmp_path):
     assert [tuple(r)[::2] for r in spark.read.parquet(result.rejects_path).collect()] == [("x|c", "TYPE:line")]
 
 
+def test_a_clean_reload_leaves_no_old_rejects(spark, tmp_path):
+    dataset = Dataset("t", str(tmp_path / "x.txt"), (Field("id", "int"), Field("name", "string")))
+    for text, rejected in (("1|a\nx|c\n", 1), ("1|a\n2|b\n", 0)):
+        (tmp_path / "x.txt").write_text(text)
+        result = load_dataset(spark, dataset, str(tmp_path / "t"), str(tmp_path / "r"))
+        assert result.rejected == rejected
+        assert spark.read.parquet(str(tmp_path / "r")).count() == rejected
+
+
 def test_unknown_dataset():
     datasets = sample_datasets("/data")
     assert dataset_for(datasets, "SALES").sep == "\t"

@@ -1,31 +1,21 @@
 from types import SimpleNamespace
 
-import pytest
-
 from tideferry.sources.shared import scratch_path, shared_folder
 
 
-def session(master: str, folder: str | None = None):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder or default),
-        sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
-    )
+def session(folder: str | None = None):
+    settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default))
 
 
 def test_the_cluster_names_the_folder():
-    assert shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-
-
-def test_a_cluster_without_a_folder_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(session("spark://host:7077"))
+    assert shared_folder(session("hdfs:///shared/")) == "hdfs:///shared"
 
 
-def test_a_local_session_keeps_one_temporary_folder():
-    local = session("local[2]")
-    assert shared_folder(local) == shared_folder(local)
-    assert scratch_path(local, "x") != scratch_path(local, "x")
+def test_without_the_setting_the_warehouse_is_shared():
+    assert shared_folder(session()) == "hdfs:///warehouse/_scratch"
+    assert scratch_path(session(), "x") != scratch_path(session(), "x")
 
 
-def test_a_session_without_the_setting(spark):
+def test_a_session_with_the_setting(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

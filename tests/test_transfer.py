@@ -77,11 +77,11 @@ def test_whole_run(spark, run):
         ("category", 2, 1), ("sales", 1, 0), ("venue", 2, 0),
     ]
     assert list(batch.failures) == ["date"] and "date2008_pipe.txt" in batch.failures["date"]
-    assert batch.summary().startswith("Loaded 3 tables, 1 failed: date: ")
+    assert batch.summary().startswith("3 of 4 tables arrived\ndate did not: ")
     assert states(run)["date"] == "TRANSLATED" and states(run)["venue"] == "LOADED"
     assert run.target("category").filter("catdesc IS NULL").count() == 1
 
-    with pytest.raises(LookupError, match="No translated definition found for table: users"):
+    with pytest.raises(LookupError, match="users has not been translated"):
         run.load_table("users")
 
     assert run.validate_row_counts() == 3
@@ -121,7 +121,7 @@ def test_audit_trail(run):
     last = reports.recent_activity(run.log(), 3).collect()[-1]
     assert (last.step_name, last.status, last.rows_processed) == ("VALIDATE_NULL_RATES", "SUCCESS", 5)
     messages = {r.error_message for r in reports.failed_steps(run.log()).collect()}
-    assert any("No translated definition" in m for m in messages)
+    assert any("has not been translated" in m for m in messages)
     batch = run.log().filter("step_name = 'LOAD_BATCH' AND status = 'SUCCESS'").first()
     assert (batch.tables_processed, batch.tables_failed, batch.rows_processed) == (3, 1, None)
 

@@ -22,22 +22,6 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-# Copies of one key that may reach a join, at most; more copies only cost.
-_KEY_COPIES = 8
-
-
-def thinned_keys(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    """The key columns of ``rows`` for the right side of a semi or anti join.
-
-    Copies of a key are combined in the task that reads them, so a key that
-    holds a third of the rows leaves each task once. Grouping by the reading
-    task as well keeps the join's own exchange directly below it, which is
-    what lets adaptive execution split a hot key of the left side.
-    """
-    copy = (F.spark_partition_id() % F.lit(_KEY_COPIES)).alias("_copy")
-    return rows.select(*keys, copy).distinct().drop("_copy")
-
-
 def computed_once(columns: Sequence[Column]) -> Column:
     """Columns as a one-row generator.
 

@@ -36,8 +36,10 @@ def load_dataset(
     )
     accepted(counted, dataset).write.mode("overwrite").parquet(target)
     lines, bad = seen.get["lines"], seen.get["rejected"]
-    if bad and rejects:
-        rejected(parsed).write.mode("overwrite").parquet(rejects)
+    if rejects:
+        # Also without rejects, so that those of an earlier load do not stay.
+        found = rejected(parsed) if bad else rejected(parsed).limit(0)
+        found.write.mode("overwrite").parquet(rejects)
     rows = open_loaded(spark, dataset, target).count()
     return LoadResult(dataset.table, target, rejects if bad else None, lines, rows, bad)
 

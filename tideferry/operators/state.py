@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.functions.frames import quoted, thinned_keys
+from tideferry.functions.frames import quoted
 
 
 def latest_rows(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
@@ -38,7 +38,7 @@ def matching(current: DataFrame, matched: DataFrame, on: Sequence[str]) -> DataF
     ``matched`` only decides which rows change, so it is a semi join: a
     duplicate on that side cannot multiply state rows.
     """
-    keys = thinned_keys(matched, [F.upper(c).alias(f"_{c}") for c in on])
+    keys = matched.select(*[F.upper(c).alias(f"_{c}") for c in on])
     condition = [F.upper(current[c]) == keys[f"_{c}"] for c in on]
     return current.join(keys, condition, "left_semi")
 

@@ -34,6 +34,7 @@ from tideferry.operators.reconcile import (
     CHECKSUM,
     NULL_RATE,
     NULL_RATE_TOLERANCE,
+    ROW_COUNT,
     ROW_COUNT_TOLERANCE,
     configured_threshold,
     reconcile_null_rates,
@@ -67,11 +68,9 @@ class BatchResult:
     failures: dict[str, str] = field(default_factory=dict)
 
     def summary(self) -> str:
-        text = f"Loaded {len(self.loaded)} tables"
-        if self.failures:
-            told = "; ".join(f"{table}: {message}" for table, message in self.failures.items())
-            text += f", {len(self.failures)} failed: {told}"
-        return text
+        lines = [f"{len(self.loaded)} of {len(self.loaded) + len(self.failures)} tables arrived"]
+        lines += [f"{table} did not: {message}" for table, message in self.failures.items()]
+        return "\n".join(lines)
 
 
 class Transfer:
@@ -136,7 +135,7 @@ class Transfer:
                 name,
                 "FAILED",
                 duration_secs=round(time.monotonic() - begun),
-                error_message=str(error)[:5000],
+                error_message=str(error),
             )
             raise
         self._note(
@@ -205,7 +204,7 @@ class Transfer:
                 translated.filter(F.upper("source_table") == table.upper())
             ).isEmpty()
             if missing:
-                raise LookupError(f"No translated definition found for table: {table}")
+                raise LookupError(f"{table} has not been translated in this run")
             result = load_dataset(
                 self.spark,
                 dataset_for(self.datasets, table),
@@ -236,7 +235,7 @@ class Transfer:
         self.store.append(VALIDATION_RESULTS, checks.join(ids, "table_name", "left"), self.run_id)
 
     def validate_row_counts(
-        self, sources: Mapping[str, DataFrame] | None = None, threshold=ROW_COUNT_TOLERANCE
+        self, sources: Mapping[str, DataFrame] | None = None, threshold=None
     ) -> int:
         """Check every loaded table, against ``sources`` or else the inventory's estimates."""
         with self.step("VALIDATION", "VALIDATE_ROW_COUNTS") as step:
@@ -251,7 +250,15 @@ class Transfer:
                 )
             else:
                 source_counts = table_counts(sources)
+            if threshold is None:
+                threshold = configured_threshold(
+                    self.store.read(VALIDATION_CONFIG), ROW_COUNT, ROW_COUNT_TOLERANCE
+                )
             target_counts = table_counts({name: self.target(name) for name in names})
+            # The inventory also holds tables that this run did not load.
+            source_counts = source_counts.filter(
+                F.upper("table_name").isin([name.upper() for name in names])
+            )
             checks = reconcile_row_counts(source_counts, target_counts, threshold)
             self._record(checks)
             self.store.change(REGISTRY, loaded, self.run_id, status="VALIDATED")

@@ -41,12 +41,12 @@ _TABLES = {
     "listing": (
         "listings_pipe.txt", "|",
         "listid int!, sellerid int!, eventid int!, dateid smallint!, numtickets smallint!, "
-        "priceperticket decimal(8.2), totalprice decimal(8.2), listtime timestamp_ntz",
+        "priceperticket decimal(8,2), totalprice decimal(8,2), listtime timestamp_ntz",
     ),
     "sales": (
         "sales_tab.txt", "\t",
         "salesid int!, listid int!, sellerid int!, buyerid int!, eventid int!, dateid smallint!, "
-        "qtysold smallint!, pricepaid decimal(8.2), commission decimal(8.2), saletime timestamp_ntz",
+        "qtysold smallint!, pricepaid decimal(8,2), commission decimal(8,2), saletime timestamp_ntz",
     ),
 }
 
@@ -56,7 +56,7 @@ def _field(text: str) -> Field:
     required, kind = kind.endswith("!"), kind.rstrip("!")
     if "char" in kind:
         return Field(name, "string", required, int(kind[kind.index("(") + 1 : -1]))
-    return Field(name, kind.replace(".", ","), required)
+    return Field(name, kind, required)
 
 
 def sample_datasets(folder: str) -> dict[str, Dataset]:

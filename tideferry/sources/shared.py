@@ -2,31 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-# Temporary folders of local sessions that name no folder, by application.
-_LOCAL: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a session on a local master may fall back to a temporary folder of
-    the machine; elsewhere the executors would not see it.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse, which is shared as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL:
-        _LOCAL[application] = tempfile.mkdtemp(prefix="tideferry-")
-    return _LOCAL[application]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
