@@ -4,8 +4,7 @@ import re
 
 import pytest
 
-from tideferry.queries import runs
-from tideferry.queries import QUERIES
+from tideferry.queries import QUERIES, runs
 from tideferry.queries.stand_ins import ALL
 from tideferry.sources.tables import read_table
 
