@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tideferry.llm.suffixes import search, suffix_array
 from tideferry.llm.words import ITEM_WORD, item_words, parts, spans, sql_words
+from tideferry.sources.shared import scratch_path
 
 WINDOW = 10
 
@@ -160,7 +161,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
 
     for place, block in enumerate(_blocks(benchmark, window)):
         if place:
-            rows = rows.checkpoint()
+            # What one block found is a table before the next is searched.
+            path, schema = scratch_path(spark, "matches"), rows.schema
+            rows.write.parquet(path)
+            rows = spark.read.schema(schema).parquet(path)
         rows = rows.mapInArrow(step(spark.sparkContext.broadcast(_Tests(block, window))), rows.schema)
     return rows
 
