@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideferry.llm.hashing import Powers, mixed, word_hashes
+from tideferry.llm.joins import with_index
 from tideferry.llm.numbering import running
 from tideferry.llm.words import PLAIN_WORD, id_and_text, parts, plain_words, sql_words, texts
 from tideferry.sources.shared import scratch_path
@@ -203,7 +204,7 @@ def parsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     blocks = blocks.repartition("key").select("key", F.explode(F.arrays_zip("blocks", "places", "counts")).alias("b"))
     blocks = blocks.select("key", F.col("b.blocks").alias("block"), F.col("b.places").alias("place"), F.col("b.counts").alias("n"))
     index = blocks.groupBy("block").agg(F.min("place").alias("first"))
-    blocks = blocks.join(index, "block").select("key", "place", "n", "first")
+    blocks = with_index(blocks, index, "block").select("key", "place", "n", "first")
 
     listed = blocks.groupBy("key").agg(F.collect_set(F.struct("place", "n", "first")).alias("blocks"))
     windows = _per_text(rows.join(listed, "key"), "key bigint, windows array<bigint>, places array<bigint>", ("blocks",), _new_windows)
