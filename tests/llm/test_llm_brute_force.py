@@ -258,6 +258,27 @@ def test_license_filters_lose_nothing():
             assert dict(index.met(block)) == expected
 
 
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+        of this software and associated documentation files (the "Software"), to deal""",
+    "bsd": """ * Redistribution and use in source and binary forms, with or without
+         * modification, are permitted provided that the following conditions are met:""",
+    "isc": """# Permission to use, copy, modify, and/or distribute this software for any
+        # purpose with or without fee is hereby granted, provided that the above""",
+    "gpl": """// This program is free software: you can redistribute it and/or modify
+        // it under the terms of the GNU General Public License as published by""",
+    "apache": """   you may not use this file except in compliance with the License.
+           You may obtain a copy of the License at""",
+    "all-rights-reserved": "Copyright (c) 2020 The Authors.\nAll rights reserved.",
+}
+
+
+def test_wrapped_notices(spark):
+    texts = [f"some code here\n{text}\nand more" for text in WRAPPED.values()] + ["no notice\nat all", None, ""]
+    found = {row.doc_id: (row.labels, row.score >= 0.8) for row in license_scan.notices(frame(spark, texts)).collect()}
+    assert found == dict(enumerate([(label, True) for label in WRAPPED] + [("", False)] * 3))
+
+
 @pytest.fixture(scope="module")
 def token_files(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tokens") / "files")

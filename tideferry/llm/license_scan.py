@@ -12,6 +12,10 @@ vocabulary are gathered, and no document is moved.
 Defined results: null and empty texts have no words, labels or blocks, and
 score 0. Equal rows and rows without an id are scanned like any other; an
 empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
+
+``scan`` looks at lines, as its SQL does, so a notice that wraps is not compared
+whole there. ``notices`` slides windows of words over the whole text, whatever
+its lines.
 """
 
 from __future__ import annotations
@@ -55,6 +59,8 @@ TEMPLATES = (
     ("all-rights-reserved", "Copyright All rights reserved"),
 )
 THRESHOLD_PERCENT = 80
+# Words a window has beyond its template, for names and years inside a notice.
+SLACK_WORDS = 8
 
 
 def _needed(size: int) -> int:
@@ -160,6 +166,63 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _SCHEMA)
 
 
+class _Windows:
+    """Templates met by windows of words of a whole text, a little longer than the template."""
+
+    def __init__(self, templates: Sequence[frozenset[bytes]], lengths: Sequence[int]):
+        self.templates = list(templates)
+        self.widths = [length + max(SLACK_WORDS, length // 4) for length in lengths]
+
+    def met(self, words: list[bytes]) -> Iterator[tuple[int, float]]:
+        """Templates that some window meets, and the most that one window contains of them."""
+        held = set(words)
+        places: dict[bytes, list[int]] | None = None
+        for which, template in enumerate(self.templates):
+            needed = _needed(len(template))
+            if len(template & held) < needed:
+                continue
+            if places is None:
+                places = {}
+                for place, word in enumerate(words):
+                    places.setdefault(word, []).append(place)
+            found = sorted((place, word) for word in template & held for place in places[word])
+            window: Counter[bytes] = Counter()
+            left = best = 0
+            for place, word in found:
+                window[word] += 1
+                while found[left][0] <= place - self.widths[which]:
+                    gone = found[left][1]
+                    window[gone] -= 1
+                    if not window[gone]:
+                        del window[gone]
+                    left += 1
+                best = max(best, len(window))
+            if best >= needed:
+                yield which, best / len(template)
+
+
+def notices(docs: DataFrame) -> DataFrame:
+    """One row per document: labels of base phrases and of the templates that a window of its words meets, and the best containment."""
+    docs = id_and_text(docs)
+    labels = [label for label, _ in TEMPLATES]
+    lists = [item_words(notice.encode()) for _, notice in TEMPLATES]
+    windows = _Windows([frozenset(words) for words in lists], [len(words) for words in lists])
+    phrases = [(phrase.encode(), label) for phrase, label in PHRASES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            named, scores = [], []
+            for text in texts(batch):
+                words = item_words(text)
+                base = {label for phrase, label in phrases if _places(words, phrase)}
+                met = list(windows.met(words))
+                named.append(",".join(sorted(base.union(labels[which] for which, _ in met))))
+                scores.append(max([1.0 if base else 0.0, *(share for _, share in met)]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(named, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "labels", "score"])
+
+    return docs.mapInArrow(run, "doc_id bigint, labels string, score double")
+
+
 def sql(documents: str) -> str:
     """The same scan in DuckDB, without filters."""
     phrases = ", ".join(f"({phrase.split()}, '{label}')" for phrase, label in PHRASES)
