@@ -385,6 +385,48 @@ def test_lm_scoring(spark, monkeypatch, heavy):
         assert row.bits_per_byte == pytest.approx(-score * math.log2(10) / (len(lines[row.doc_id]) - 3))
 
 
+def deeper_scores(lines, learnt, depth):
+    """Scores of all lines by a tree of any depth, one recursion a context and node."""
+    counts, longer = Counter(), defaultdict(set)
+    for line in learnt:
+        for at in range(depth, len(line)):
+            for place in range(8):
+                for k in range(depth + 1):
+                    key = (line[at - k : at], place, line[at] >> (8 - place))
+                    counts[*key, line[at] >> (7 - place) & 1] += 1
+                    if k:
+                        longer[line[at - k + 1 : at], *key[1:]].add(key)
+    weights = {}
+
+    def weight(key):
+        if key not in weights:
+            own = block(counts[*key, 0], counts[*key, 1])
+            weights[key] = own if len(key[0]) == depth else np.logaddexp(own, sum(map(weight, longer[key]))) - math.log(2)
+        return weights[key]
+
+    def share(line, at, place, k):
+        key, bit = (line[at - k : at], place, line[at] >> (8 - place)), line[at] >> (7 - place) & 1
+        own = (counts[*key, bit] + 0.5) / (counts[*key, 0] + counts[*key, 1] + 1)
+        if k == depth:
+            return own
+        trust = math.exp(block(counts[*key, 0], counts[*key, 1]) - math.log(2) - weight(key))
+        return trust * own + (1 - trust) * share(line, at, place, k + 1)
+
+    return [sum(math.log10(share(line, at, place, 0)) for at in range(depth, len(line)) for place in range(8)) for line in lines]
+
+
+@pytest.mark.parametrize("depth, heavy", [(3, 50), (4, 1 << 19), (5, 50), (7, 50)])
+def test_lm_scoring_deeper(spark, monkeypatch, depth, heavy):
+    monkeypatch.setattr(lm_scoring, "HEAVY_GRAMS", heavy)
+    texts = [row.text for row in spark.read.parquet(f"{FOLDER}/documents.parquet").filter("length(text) < 400").collect()][:20] + [None, "", "abcdefgh" * 3]
+    lines = [b"\xfe" * depth + (text or "").encode().lower() + b"\xff" for text in texts]
+    out = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    expected = deeper_scores(lines, [line for line, held in zip(lines, out) if not held], depth)
+    found = {row.doc_id: row.score for row in lm_scoring.scored(frame(spark, texts), depth).collect()}
+    assert [found[i] for i in range(len(texts))] == pytest.approx(expected)
+    assert lm_scoring.scored(frame(spark, []), depth).count() == 0
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")

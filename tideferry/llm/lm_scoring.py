@@ -2,17 +2,20 @@
 
 Texts are UTF-8 with A to Z in lower case, ended by a byte that UTF-8 never
 uses. A byte is coded as eight binary decisions; each decision, a node of the
-byte's binary tree, has its own tree of contexts: the ``DEPTH`` bytes before.
+byte's binary tree, has its own tree of contexts: the ``depth`` bytes before.
 Every context estimates a decision by Krichevsky and Trofimov's rule from its
 training counts and mixes it with what its longer contexts say, by their
 weighted probabilities over the training texts. A score is the log10
 probability of the whole text and its end.
 
-How it is spread: runs of ``DEPTH`` + 1 bytes (grams) and words are counted in
-the tasks and added up by shuffles. All grams with the same two bytes before
-the last hold both deepest levels of that context, at most 65,536 of them, so
-a group is small whatever the corpus. The two upper levels are at most 65,280
-rows and go through the driver. Then every distinct gram has its probability.
+How it is spread: runs of ``depth`` + 1 bytes (grams, at most eight bytes, one
+number) and words are counted in the tasks and added up by shuffles. All grams
+with the same three bytes before the last hold every level below those three,
+and their sums go on by context of three bytes. All of those with the same two
+bytes before the last hold the next two levels. The two upper levels are at
+most 65,280 rows and go through the driver. On the way back, what the upper
+levels say of a context of three bytes meets its grams in the same group. Then
+every distinct gram has its probability.
 Texts look up frequent grams and words in a broadcast table of bounded size
 (``HEAVY_GRAMS``, ``HEAVY_WORDS``); the rest, none of them frequent, is joined.
 
@@ -36,7 +39,10 @@ from pyspark.sql import functions as F
 from tideferry.llm.words import id_and_text, parts, plain_words, texts
 from tideferry.sources.shared import scratch_path
 
+# Bytes of context if none is asked for, of the registered query, and the most that fit a number beside the last byte.
 DEPTH = 3
+QUERY_DEPTH = 5
+MOST_DEPTH = 7
 START, END = 0xFE, 0xFF
 
 # Bounds of what is broadcast: entries, and bytes of a word.
@@ -44,31 +50,32 @@ HEAVY_GRAMS = 1 << 20
 HEAVY_WORDS = 1 << 19
 HEAVY_BYTES = 64
 
-# Contexts of two bytes are dealt to so many groups.
+# Contexts of two bytes are dealt to so many groups, those of three to more if there are more grams than this in each.
 GROUPS = 1024
+GROUP_GRAMS = 1 << 16
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _grams(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _grams(documents: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The grams of all texts, one per byte and one per end, and where each text begins."""
-    pad = bytes([START]) * DEPTH
-    line = np.frombuffer(b"".join(pad + d.lower() + bytes([END]) for d in documents) + b"", dtype=np.uint8).astype(np.uint32)
+    pad = bytes([START]) * depth
+    line = np.frombuffer(b"".join(pad + d.lower() + bytes([END]) for d in documents) + b"", dtype=np.uint8).astype(np.uint64)
     lengths = np.array([len(d) for d in documents], dtype=np.int64) + 1
-    codes = np.zeros(len(line) - DEPTH, dtype=np.uint32)
-    for back in range(DEPTH + 1):
-        codes |= line[DEPTH - back : len(line) - back] << np.uint32(8 * back)
+    codes = np.zeros(len(line) - depth, dtype=np.uint64)
+    for back in range(depth + 1):
+        codes |= line[depth - back : len(line) - back] << np.uint64(8 * back)
     # Places that straddle two texts are left out.
-    begins = np.cumsum(lengths + DEPTH) - lengths - DEPTH
+    begins = np.cumsum(lengths + depth) - lengths - depth
     keep = np.ones(len(codes), dtype=bool)
-    for gap in range(DEPTH):
-        keep[begins[1:] - DEPTH + gap] = False
+    for gap in range(depth):
+        keep[begins[1:] - depth + gap] = False
     return codes[keep], np.cumsum(lengths) - lengths
 
 
-def _counts(docs: DataFrame) -> DataFrame:
+def _counts(docs: DataFrame, depth: int) -> DataFrame:
     """Words (kind ``w``) and grams (kind ``g``) with their counts, in training texts and in all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,14 +93,12 @@ def _counts(docs: DataFrame) -> DataFrame:
             words = list(every)
             columns = {"word": pa.array(words, pa.binary()), "gram": pa.array([0] * len(words), pa.int64()), "trained": pa.array([trained[w] for w in words], pa.int64())}
             yield pa.RecordBatch.from_pydict({"kind": ["w"] * len(words), **columns, "n": pa.array([every[w] for w in words], pa.int64())})
-            grams, begins = _grams(found)
+            grams, begins = _grams(found, depth)
             learn = np.repeat(learnt, np.diff(np.append(begins, len(grams))))
-            distinct, n = np.unique(grams, return_counts=True)
-            some, m = np.unique(grams[learn], return_counts=True)
-            in_training = np.zeros(len(distinct), dtype=np.int64)
-            in_training[np.searchsorted(distinct, some)] = m
-            columns = {"word": pa.array([b""] * len(n), pa.binary()), "gram": pa.array(distinct.astype(np.int64)), "trained": pa.array(in_training)}
-            yield pa.RecordBatch.from_pydict({"kind": ["g"] * len(n), **columns, "n": pa.array(n.astype(np.int64))})
+            for some, times in ((grams[learn], 1), (grams[~learn], 0)):
+                distinct, n = np.unique(some, return_counts=True)
+                columns = {"word": pa.array([b""] * len(n), pa.binary()), "gram": pa.array(distinct.view(np.int64)), "trained": pa.array(n.astype(np.int64) * times)}
+                yield pa.RecordBatch.from_pydict({"kind": pa.array(["g"] * len(n), pa.string()), **columns, "n": pa.array(n.astype(np.int64))})
 
     counted = docs.select("text", "held_out").mapInArrow(count, "kind string, word binary, gram bigint, trained bigint, n bigint")
     return counted.groupBy("kind", "word", "gram").agg(F.sum("trained").alias("trained"), F.sum("n").alias("n"))
@@ -130,40 +135,75 @@ class _Level:
         return own if deeper is None else self.trust[at] * own + (1 - self.trust[at]) * deeper
 
 
-class _Deep:
-    """The two deepest levels for the grams of some two-byte contexts."""
-
-    def __init__(self, grams: np.ndarray, trained: np.ndarray):
-        grams = np.repeat(grams[:, None], 8, axis=1)
-        step = np.arange(8)
-        byte = grams & 255
-        self.node = ((1 << step) | (byte >> (8 - step))).ravel()
-        self.bit = ((byte >> (7 - step)) & 1).ravel()
-        weight = np.repeat(trained, 8).astype(float)
-        longest = (grams >> 8).ravel()
-        keys, self.at3 = np.unique(longest << 8 | self.node, return_inverse=True)
-        counts = [np.bincount(self.at3, weight * (self.bit == b), len(keys)) for b in (0, 1)]
-        self.level3 = _Level(*counts, None)
-        # The key of the context one byte shorter: drop the byte furthest back.
-        self.keys2, up = np.unique(keys & 0xFFFFFF, return_inverse=True)
-        self.at2 = up[self.at3]
-        counts = [np.bincount(up, c, len(self.keys2)) for c in counts]
-        self.level2 = _Level(*counts, np.bincount(up, self.level3.log, len(self.keys2)))
-        self.byte1 = (longest & 255).astype(np.int64)
+def _bits(grams: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The eight decisions of the last byte of every gram: context and node as one key, the bit, and how often it was learnt."""
+    grams = np.repeat(grams.view(np.uint64), 8)
+    step = np.tile(np.arange(8, dtype=np.uint64), len(grams) // 8)
+    byte = grams & np.uint64(255)
+    node = (np.uint64(1) << step) | (byte >> (np.uint64(8) - step))
+    bit = (byte >> (np.uint64(7) - step)) & np.uint64(1)
+    return (grams & ~np.uint64(255)) | node, bit.astype(np.int64), np.repeat(trained, 8).astype(float)
 
 
-def _upper(grams: DataFrame) -> tuple[_Level, _Level]:
-    """The levels of one and of no byte of context, as dense tables by (byte, node) and by node."""
+def _cut(keys: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys with only so many of the nearest bytes, and which of them each key has."""
+    return np.unique(keys & np.uint64((1 << 8 * (length + 1)) - 1), return_inverse=True)
 
-    def summed(rows: pd.DataFrame) -> pd.DataFrame:
-        deep = _Deep(rows["gram"].to_numpy(), rows["trained"].to_numpy())
-        shorter, up = np.unique(deep.keys2 & 0xFFFF, return_inverse=True)
+
+class _Levels:
+    """Levels of some contexts, from the longest, whose counts are given, up to contexts of ``top`` bytes."""
+
+    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None, longest: int, top: int):
+        self.keys, self.level = keys, _Level(zeros, ones, below)
+        # The deepest first, with the place of each of the longest contexts in it.
+        self.levels = [(self.level, np.arange(len(keys)))]
+        for length in range(longest - 1, top - 1, -1):
+            self._shorten(length)
+
+    def _shorten(self, length: int) -> None:
+        # The key of the context one byte shorter: drop the byte furthest back.
+        self.keys, up = _cut(self.keys, length)
+        total = lambda values: np.bincount(up, values, len(self.keys))
+        self.level = _Level(total(self.level.zeros), total(self.level.ones), total(self.level.log))
+        self.levels.append((self.level, up[self.levels[-1][1]]))
+
+    @classmethod
+    def of_grams(cls, grams: np.ndarray, trained: np.ndarray, longest: int, top: int) -> tuple[_Levels, np.ndarray, np.ndarray, np.ndarray]:
+        """The levels, and for every decision of every gram its key, the place of its longest context, and its bit."""
+        every, bit, weight = _bits(grams, trained)
+        keys, at = np.unique(every, return_inverse=True)
+        counts = [np.bincount(at, weight * (bit == b), len(keys)) for b in (0, 1)]
+        return cls(keys, *counts, None, longest, top), every, at, bit
+
+    def sums(self, length: int) -> pd.DataFrame:
+        """Counts and block probabilities for the contexts above, of ``length`` bytes."""
+        shorter, up = _cut(self.keys, length)
         total = lambda values: np.bincount(up, values, len(shorter))
-        return pd.DataFrame({"place": shorter, "zeros": total(deep.level2.zeros), "ones": total(deep.level2.ones), "log": total(deep.level2.log)})
+        return pd.DataFrame({"place": shorter.view(np.int64), "zeros": total(self.level.zeros), "ones": total(self.level.ones), "log": total(self.level.log)})
+
+    def mixed(self, at: np.ndarray, bit: np.ndarray, deeper: np.ndarray | None) -> np.ndarray:
+        for level, place in self.levels:
+            deeper = level.mixed(place[at], bit, deeper)
+        return deeper
+
 
-    grouped = grams.groupBy((F.shiftright("gram", 8) % GROUPS).alias("part"))
-    rows = grouped.applyInPandas(summed, "place bigint, zeros double, ones double, log double")
-    rows = rows.groupBy("place").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log").alias("log")).collect()
+_SUMS = "place bigint, zeros double, ones double, log double"
+
+
+def _by_two(key: str) -> Column:
+    """Groups of keys by the two bytes before the last."""
+    return (F.shiftright(key, 8).bitwiseAND(0xFFFF) % GROUPS).alias("part")
+
+
+def _middle(rows: pd.DataFrame) -> _Levels:
+    """The levels of three and two bytes from the sums of what is below."""
+    rows = rows.sort_values("place")
+    return _Levels(rows["place"].to_numpy().view(np.uint64), *(rows[name].to_numpy() for name in ("zeros", "ones", "log")), 3, 2)
+
+
+def _upper(grouped) -> tuple[_Level, _Level]:
+    """The levels of one and of no byte of context, as dense tables by (byte, node) and by node, from sums by groups."""
+    rows = grouped.groupBy("place").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log").alias("log")).collect()
     tables = np.zeros((3, 1 << 16))
     for row in rows:
         tables[:, row.place] = row.zeros, row.ones, row.log
@@ -173,21 +213,73 @@ def _upper(grams: DataFrame) -> tuple[_Level, _Level]:
     return level1, _Level(by_node(level1.zeros), by_node(level1.ones), by_node(np.where(level1.zeros + level1.ones > 0, level1.log, 0)))
 
 
-def gram_scores(grams: DataFrame) -> DataFrame:
-    """log10 probability of the last byte of every gram, given the bytes before it."""
-    sent = grams.sparkSession.sparkContext.broadcast(_upper(grams))
+def _top(levels: tuple[_Level, _Level], keys: np.ndarray, bit: np.ndarray, deeper: np.ndarray) -> np.ndarray:
+    """What the two upper levels make of the level below them."""
+    found = levels[0].mixed((keys & np.uint64(0xFFFF)).astype(np.int64), bit, deeper)
+    return levels[1].mixed((keys & np.uint64(0xFF)).astype(np.int64), bit, found)
+
+
+def _log10(rows: pd.DataFrame, found: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"gram": rows["gram"].to_numpy(), "n": rows["n"].to_numpy(), "log10": np.log10(found).reshape(-1, 8).sum(axis=1)})
+
+
+_SCORES = "gram bigint, n bigint, log10 double"
+
+
+def _flat_scores(grams: DataFrame) -> DataFrame:
+    """``gram_scores`` for three bytes of context: a group holds both deepest levels."""
+
+    def summed(rows: pd.DataFrame) -> pd.DataFrame:
+        return _Levels.of_grams(rows["gram"].to_numpy(), rows["trained"].to_numpy(), 3, 2)[0].sums(1)
+
+    grouped = grams.groupBy(_by_two("gram"))
+    sent = grams.sparkSession.sparkContext.broadcast(_upper(grouped.applyInPandas(summed, _SUMS)))
 
     def score(rows: pd.DataFrame) -> pd.DataFrame:
-        level1, level0 = sent.value
-        deep = _Deep(rows["gram"].to_numpy(), rows["trained"].to_numpy())
-        found = deep.level3.mixed(deep.at3, deep.bit, None)
-        found = deep.level2.mixed(deep.at2, deep.bit, found)
-        found = level1.mixed(deep.byte1 << 8 | deep.node, deep.bit, found)
-        found = level0.mixed(deep.node, deep.bit, found)
-        return pd.DataFrame({"gram": rows["gram"].to_numpy(), "n": rows["n"].to_numpy(), "log10": np.log10(found).reshape(-1, 8).sum(axis=1)})
+        deep, keys, at, bit = _Levels.of_grams(rows["gram"].to_numpy(), rows["trained"].to_numpy(), 3, 2)
+        return _log10(rows, _top(sent.value, keys, bit, deep.mixed(at, bit, None)))
+
+    return grouped.applyInPandas(score, _SCORES)
+
+
+def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """log10 probability of the last byte of every gram, given the bytes before it."""
+    if depth == 3:
+        return _flat_scores(grams)
+    spark = grams.sparkSession
+    groups = max(GROUPS, grams.count() // GROUP_GRAMS)
+    by_three = lambda key: F.pmod(F.xxhash64(F.shiftright(key, 8).bitwiseAND(0xFFFFFF)), F.lit(groups)).alias("part")
+
+    def summed(rows: pd.DataFrame) -> pd.DataFrame:
+        return _Levels.of_grams(rows["gram"].to_numpy(), rows["trained"].to_numpy(), depth, 4)[0].sums(3)
+
+    # A context of three bytes is in one group, so its sums are whole.
+    path = scratch_path(spark, "lm-contexts")
+    grams.groupBy(by_three("gram")).applyInPandas(summed, _SUMS).write.parquet(path)
+    contexts = spark.read.schema(_SUMS).parquet(path)
+    grouped = contexts.groupBy(_by_two("place"))
+    sent = spark.sparkContext.broadcast(_upper(grouped.applyInPandas(lambda rows: _middle(rows).sums(1), _SUMS)))
+
+    def said(rows: pd.DataFrame) -> pd.DataFrame:
+        """What the upper four levels say of each bit, and the share they leave to what is deeper."""
+        middle, keys = _middle(rows), np.sort(rows["place"].to_numpy()).view(np.uint64)
+        at, whole = np.arange(len(keys)), np.ones(len(keys))
+        own = [_top(sent.value, keys, at * 0 + bit, middle.mixed(at, at * 0 + bit, 0 * whole)) for bit in (0, 1)]
+        rest = _top(sent.value, keys, at * 0, middle.mixed(at, at * 0, whole)) - own[0]
+        return pd.DataFrame({"place": keys.view(np.int64), "zero": own[0], "one": own[1], "rest": rest})
+
+    upper = grouped.applyInPandas(said, "place bigint, zero double, one double, rest double")
+
+    def score(rows: pd.DataFrame, upper: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"gram": [], "n": [], "log10": []}).astype({"gram": "int64", "n": "int64"})
+        deep, keys, at, bit = _Levels.of_grams(rows["gram"].to_numpy(), rows["trained"].to_numpy(), depth, 4)
+        upper = upper.sort_values("place")
+        place = np.searchsorted(upper["place"].to_numpy(), (keys & np.uint64(0xFFFFFFFF)).view(np.int64))
+        zero, one, rest = (upper[name].to_numpy()[place] for name in ("zero", "one", "rest"))
+        return _log10(rows, np.where(bit == 1, one, zero) + rest * deep.mixed(at, bit, None))
 
-    grouped = grams.groupBy((F.shiftright("gram", 8) % GROUPS).alias("part"))
-    return grouped.applyInPandas(score, "gram bigint, n bigint, log10 double")
+    return grams.groupBy(by_three("gram")).cogroup(upper.groupBy(by_three("place"))).applyInPandas(score, _SCORES)
 
 
 def _frequent(counts: DataFrame, most: int) -> Column:
@@ -203,12 +295,14 @@ def _frequent(counts: DataFrame, most: int) -> Column:
     return F.col("n") >= F.lit(least) if least is not None else F.lit(False)
 
 
-def scored(docs: DataFrame) -> DataFrame:
-    """One row per document: token counts, the unigram score, the model's score, and bits per byte."""
+def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """One row per document: token counts, the unigram score, the score of a model of ``depth`` bytes, and bits per byte."""
+    if not 3 <= depth <= MOST_DEPTH:
+        raise ValueError(f"depth must be 3 to {MOST_DEPTH}")
     spark = docs.sparkSession
     docs = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id")))
     path = scratch_path(spark, "lm-counts")
-    _counts(docs).write.partitionBy("kind").parquet(path)
+    _counts(docs, depth).write.partitionBy("kind").parquet(path)
     schema = "word binary, gram bigint, trained bigint, n bigint, kind string"
     counts = spark.read.schema(schema).parquet(path)
 
@@ -217,14 +311,17 @@ def scored(docs: DataFrame) -> DataFrame:
     tokens, distinct = totals.tokens or 0, totals.distinct
     words = words.select("word", "n", "trained", F.log10((F.col("trained") + 1) / F.lit(float(tokens + distinct + 1))).alias("log10"))
     path = scratch_path(spark, "lm-grams")
-    gram_scores(counts.filter("kind = 'g'").select("gram", "trained", "n")).write.parquet(path)
+    gram_scores(counts.filter("kind = 'g'").select("gram", "trained", "n"), depth).write.parquet(path)
     grams = spark.read.schema("gram bigint, n bigint, log10 double").parquet(path)
 
     fits = F.length("word") <= HEAVY_BYTES
     many_words, many_grams = _frequent(words.filter(fits), HEAVY_WORDS) & fits, _frequent(grams, HEAVY_GRAMS)
     heavy_words = {bytes(row.word): (row.log10, row.trained > 0) for row in words.filter(many_words).select("word", "log10", "trained").toLocalIterator()}
-    codes = grams.filter(many_grams).select("gram", "log10").toPandas().sort_values("gram")
-    sent = spark.sparkContext.broadcast((heavy_words, codes["gram"].to_numpy().astype(np.uint32), codes["log10"].to_numpy()))
+    # As Arrow batches: rows of Python objects would take many times the memory.
+    codes = grams.filter(many_grams).select("gram", "log10").toArrow()
+    numbers = codes.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(numbers)
+    sent = spark.sparkContext.broadcast((heavy_words, numbers[order], codes.column("log10").to_numpy()[order]))
 
     schema = """doc_id bigint, digest bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double,
                 rare_words array<struct<word:binary,times:bigint>>, rare_grams array<struct<gram:bigint,times:bigint>>"""
@@ -251,16 +348,17 @@ def scored(docs: DataFrame) -> DataFrame:
                 n_known.append(known)
                 base.append(total)
                 rare_words.append([{"word": w, "times": t} for w, t in rare])
-            grams, begins = _grams(some)
+            grams, begins = _grams(some, depth)
             distinct, of = np.unique(grams, return_inverse=True)
             at = np.minimum(np.searchsorted(codes, distinct), max(len(codes) - 1, 0))
             heavy = codes[at] == distinct if len(codes) else np.zeros(len(distinct), dtype=bool)
             each = np.where(heavy, logs[at], 0.0)[of] if len(codes) else np.zeros(len(of))
-            rare_grams: list[list[dict]] = [[] for _ in some]
             light = np.flatnonzero(~heavy[of])
             rows = np.searchsorted(begins, light, side="right") - 1
-            for (row, gram), times in Counter(zip(rows.tolist(), grams[light].tolist())).items():
-                rare_grams[row].append({"gram": gram, "times": times})
+            pairs, times = np.unique(rows * len(distinct) + of[light], return_counts=True)
+            rows, which = np.divmod(pairs, len(distinct))
+            rare_pairs = pa.StructArray.from_arrays([pa.array(distinct[which].view(np.int64)), pa.array(times.astype(np.int64))], names=["gram", "times"])
+            rare_grams = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(len(some) + 1)).astype(np.int32)), rare_pairs)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(part.column(name) for name in names[:3]),
@@ -270,7 +368,7 @@ def scored(docs: DataFrame) -> DataFrame:
                     pa.array(base, pa.float64()),
                     pa.array(np.add.reduceat(each, begins)),
                     pa.array(rare_words, rare_word),
-                    pa.array(rare_grams, rare_gram),
+                    rare_grams,
                 ],
                 names=names,
             )

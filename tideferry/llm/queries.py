@@ -41,7 +41,7 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_scoring.scored(read_table(spark, folder, "documents"))
+    return lm_scoring.scored(read_table(spark, folder, "documents"), lm_scoring.QUERY_DEPTH)
 
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
