@@ -111,6 +111,31 @@ def test_jaccard(spark, seed):
     assert found == {i: (len(sets[i]), label[i]) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_returns_all_links(spark, seed):
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(200)]
+    # One large group of near copies, whose links a star would not hold, beside the others.
+    copies = [" ".join(base[:at] + [f"x{draw.randrange(10**6)}"] + base[at + 1 :]) for at in (draw.randrange(200) for _ in range(25))]
+    texts = near_copies(seed) + copies + copies[:3]
+    sets = []
+    for text in texts:
+        words = (text or "").lower().split()
+        sets.append(frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 0))) or frozenset([tuple(words)] if words else []))
+    first = {held: i for i, held in reversed(list(enumerate(sets))) if held}
+    linked = {
+        tuple(sorted((first[a], first[b])))
+        for a, b in itertools.combinations(first, 2)
+        if 100 * len(a & b) >= 80 * len(a | b)
+    }
+    assert len(linked) > 200
+    found = [tuple(row) for row in jaccard_join.pairs(frame(spark, texts)).collect()]
+    assert len(found) == len(set(found)) and set(found) == linked
+    n_links = Counter(itertools.chain(*linked))
+    rows = {row.doc_id: (row.n_shingles, row.n_links) for row in jaccard_join.counted(frame(spark, texts)).collect()}
+    assert rows == {i: (len(held), n_links[first[held]] if held else 0) for i, held in enumerate(sets)}
+
+
 def test_jaccard_prefix_keeps_links():
     """Similar sets share as many prefix shingles as the smaller of their own choices."""
     draw = np.random.default_rng(1)

@@ -8,8 +8,10 @@ rare, so that many candidates fall to the stricter count, a short one where
 reading their lists costs more than it saves. The larger set of a pair is read
 to its probing prefix, the smaller to its shorter indexing prefix.
 
-Equal sets are one node. Only connections matter, so lists of nodes that share
-a shingle are not expanded into pairs at once: first every node meets the most
+Equal sets are one node. ``pairs`` and ``counted`` run this join over all nodes
+and return every link; a cluster of n nodes has up to n squared of them. For
+components (``grouped``, ``report``) only connections matter, so there lists of
+nodes that share a shingle are not expanded into pairs at once: first every node meets the most
 central node of its lists, the one with the fewest rarer shingles. What that
 connects is merged, lists inside one component are dropped, and only pairs of
 different components are looked for in the rest, all of them. Before sets are
@@ -188,12 +190,16 @@ def _with_central(postings: DataFrame) -> DataFrame:
 
 
 def _across(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """All candidate pairs of different components, the larger set probing, the smaller indexed."""
+    """All candidate pairs of different components."""
     rows = postings.join(labels.withColumnRenamed("root", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    rows = rows.join(open_.select("shingle"), "shingle", "left_semi")
+    return _candidates(rows.join(open_.select("shingle"), "shingle", "left_semi"), F.col("label_a") != F.col("label_b"))
+
+
+def _candidates(rows: DataFrame, wanted: Column) -> DataFrame:
+    """Pairs with enough common shingles in their prefixes, the larger set probing, the smaller indexed."""
     ahead = F.expr("size_a > size_b OR (size_a = size_b AND node_a > node_b)")
-    pairs = _renamed(rows, "a").join(_renamed(rows.filter("indexed"), "b"), "shingle").filter(ahead & (F.col("label_a") != F.col("label_b")) & _fitting("a", "b"))
+    pairs = _renamed(rows, "a").join(_renamed(rows.filter("indexed"), "b"), "shingle").filter(ahead & wanted & _fitting("a", "b"))
     pairs = pairs.groupBy("node_a", "node_b", "size_a", "size_b").agg(
         F.count(F.lit(1)).alias("common"), F.min("chosen_a").alias("chosen_a"), F.min("chosen_b").alias("chosen_b"), F.min("place_a").alias("place_a"), F.min("place_b").alias("place_b")
     )
@@ -256,6 +262,36 @@ def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     return spark.read.schema("a bigint, b bigint").parquet(path)
 
 
+def _all_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents with their nodes, and all links between nodes, each once."""
+    docs = id_and_text(docs)
+    prefixes = _prefixes(docs)
+    members = prefixes.select("doc_id", "digest", "node", "size")
+    nodes = prefixes.filter("size > 0").groupBy("node").agg(F.min("sketch").alias("sketch"))
+    return members, _linked(_possible(_candidates(_postings(prefixes), F.lit(True)), nodes), docs, members)
+
+
+def pairs(docs: DataFrame) -> DataFrame:
+    """All links between different sets, each once: the smallest ids that hold them (null if none does), the smaller one first.
+
+    Documents with equal sets are linked by that alone and share the links of their set.
+    """
+    members, links = _all_links(docs)
+    ids = members.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("id"))
+    for side in "ab":
+        links = links.join(ids.withColumnsRenamed({"node": side, "id": f"id_{side}"}), side)
+    ahead = F.expr("id_b IS NULL OR id_a < id_b")
+    return links.select(F.when(ahead, F.col("id_a")).otherwise(F.col("id_b")).alias("doc_id"), F.when(ahead, F.col("id_b")).otherwise(F.col("id_a")).alias("other_id"))
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """One row per document: its set size, and the number of other sets that its set is linked with."""
+    members, links = _all_links(docs)
+    per_node = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    n_links = F.when(F.col("size") > 0, F.coalesce("n", F.lit(0))).otherwise(0).cast("bigint")
+    return members.join(per_node, "node", "left").select("doc_id", F.col("size").alias("n_shingles"), n_links.alias("n_links"))
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, digest of its text, n_shingles, component_id, and the component's root, null for empty sets."""
     docs = id_and_text(docs)
