@@ -304,6 +304,30 @@ def test_wrapped_notices(spark):
     assert found == dict(enumerate([(label, True) for label in WRAPPED] + [("", False)] * 3))
 
 
+NAMED = {
+    "Licensed under CC BY 4.0": "cc-by",
+    "Licensed under CC BY-SA 4.0": "cc-by-sa",
+    "Licensed under CC BY NC 4.0": "cc-by-nc",
+    "Licensed under CC BY-NC-ND 4.0": "cc-by-nc-nd",
+    "Licensed under CC BY NC 4.0\nPictures: Licensed under CC BY 4.0": "cc-by,cc-by-nc",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "",
+    "This work is licensed under the GNU General Public License version 3": "gpl",
+    "This library is licensed under the GNU Lesser General Public License": "lgpl",
+    "you can redistribute it and/or modify it under the terms\nof the GNU Affero General Public License": "agpl",
+    "Licensed under the GNU Affero General Public License": "agpl",
+    "Released under the MIT License": "mit",
+    "It was released under the old license": "",
+}
+
+
+def test_notices_keep_their_own_label(spark):
+    found = {row.doc_id: row.labels for row in license_scan.notices(frame(spark, list(NAMED))).collect()}
+    assert found == dict(enumerate(NAMED.values()))
+    # Every template is met by its own words, alone.
+    own = {row.doc_id: row.labels for row in license_scan.notices(frame(spark, [notice for _, notice in license_scan.TEMPLATES])).collect()}
+    assert own == dict(enumerate(label for label, _ in license_scan.TEMPLATES))
+
+
 @pytest.fixture(scope="module")
 def token_files(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tokens") / "files")

@@ -61,6 +61,9 @@ TEMPLATES = (
 THRESHOLD_PERCENT = 80
 # Words a window has beyond its template, for names and years inside a notice.
 SLACK_WORDS = 8
+# Words that name a license. A window names all of its template's, and no variant of it between them or right after.
+NAMING = frozenset(b"gnu general public affero lesser apache mit mozilla cc by nc sa nd creative commons attribution unencumbered reserved".split())
+VARIANTS = frozenset(b"affero lesser nc sa nd noncommercial sharealike noderivatives noderivs".split())
 
 
 def _needed(size: int) -> int:
@@ -171,6 +174,7 @@ class _Windows:
 
     def __init__(self, templates: Sequence[frozenset[bytes]], lengths: Sequence[int]):
         self.templates = list(templates)
+        self.names = [template & NAMING for template in templates]
         self.widths = [length + max(SLACK_WORDS, length // 4) for length in lengths]
 
     def met(self, words: list[bytes]) -> Iterator[tuple[int, float]]:
@@ -179,7 +183,7 @@ class _Windows:
         places: dict[bytes, list[int]] | None = None
         for which, template in enumerate(self.templates):
             needed = _needed(len(template))
-            if len(template & held) < needed:
+            if len(template & held) < needed or not self.names[which] <= held:
                 continue
             if places is None:
                 places = {}
@@ -187,19 +191,36 @@ class _Windows:
                     places.setdefault(word, []).append(place)
             found = sorted((place, word) for word in template & held for place in places[word])
             window: Counter[bytes] = Counter()
+            latest: dict[bytes, int] = {}
             left = best = 0
             for place, word in found:
                 window[word] += 1
+                latest[word] = place
                 while found[left][0] <= place - self.widths[which]:
                     gone = found[left][1]
                     window[gone] -= 1
                     if not window[gone]:
                         del window[gone]
                     left += 1
-                best = max(best, len(window))
-            if best >= needed:
+                if len(window) > best and len(window) >= needed and self._named(words, which, window, latest):
+                    best = len(window)
+            if best:
                 yield which, best / len(template)
 
+    def _named(self, words: list[bytes], which: int, window: Counter[bytes], latest: dict[bytes, int]) -> bool:
+        """Whether a window names the license of its template and no variant of it."""
+        names = self.names[which]
+        if not all(name in window for name in names):
+            return False
+        at = [latest[name] for name in names]
+        return not at or not VARIANTS.intersection(words[min(at) : max(at) + 2]) - names
+
+
+def _names_phrase(words: list[bytes], phrase: bytes) -> bool:
+    """Whether a base phrase stands somewhere without a variant's word right after it."""
+    size = phrase.count(b" ") + 1
+    return any(not VARIANTS.intersection(words[place + size : place + size + 1]) for place in _places(words, phrase))
+
 
 def notices(docs: DataFrame) -> DataFrame:
     """One row per document: labels of base phrases and of the templates that a window of its words meets, and the best containment."""
@@ -214,7 +235,7 @@ def notices(docs: DataFrame) -> DataFrame:
             named, scores = [], []
             for text in texts(batch):
                 words = item_words(text)
-                base = {label for phrase, label in phrases if _places(words, phrase)}
+                base = {label for phrase, label in phrases if _names_phrase(words, phrase)}
                 met = list(windows.met(words))
                 named.append(",".join(sorted(base.union(labels[which] for which, _ in met))))
                 scores.append(max([1.0 if base else 0.0, *(share for _, share in met)]))
