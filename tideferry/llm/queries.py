@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideferry.llm import decontamination, jaccard_join, license_scan, line_dedup, lm_scoring, packing, quality_rules, substring_dedup, token_counts, toxicity
+from tideferry.llm import (
+    decontamination,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    lm_scoring,
+    merkle_manifest,
+    packing,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from tideferry.sources.tables import read_table
 
 
@@ -48,6 +60,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.report(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -59,6 +75,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE = {
@@ -69,4 +86,5 @@ ORACLE = {
     "op6_jaccard_join": jaccard_join.QUERY_SQL,
     "op7_license_scan": license_scan.QUERY_SQL,
     "op8_substring_dedup": substring_dedup.QUERY_SQL,
+    "op11_merkle_manifest": merkle_manifest.QUERY_SQL,
 }
