@@ -13,6 +13,7 @@ from tideferry.llm import (
     merkle_manifest,
     packing,
     quality_rules,
+    residual_packing,
     substring_dedup,
     token_counts,
     toxicity,
@@ -64,6 +65,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.report(read_table(spark, folder, "documents"))
 
 
+def op13_residual_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return residual_packing.of_documents(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -76,6 +81,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_residual_packing": op13_residual_packing,
 }
 
 ORACLE = {
