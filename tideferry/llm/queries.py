@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tideferry.llm import (
+    conversation_repair,
     decontamination,
     jaccard_join,
     license_scan,
@@ -65,6 +66,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.report(read_table(spark, folder, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.report(read_table(spark, folder, "conversations"))
+
+
 def op13_residual_packing(spark: SparkSession, folder: str) -> DataFrame:
     return residual_packing.of_documents(read_table(spark, folder, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_residual_packing": op13_residual_packing,
 }
 
@@ -93,4 +99,5 @@ ORACLE = {
     "op7_license_scan": license_scan.QUERY_SQL,
     "op8_substring_dedup": substring_dedup.QUERY_SQL,
     "op11_merkle_manifest": merkle_manifest.QUERY_SQL,
+    "op12_conversation_repair": conversation_repair.QUERY_SQL,
 }
