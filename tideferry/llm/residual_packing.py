@@ -53,6 +53,9 @@ SLACK = 2
 SHARE = 1 << 16
 FAN_IN = 16
 
+# Pieces of one length and share are numbered in so many slices, as most may have the same length.
+SLICES = 64
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _FILL = "array<struct<length: bigint, first: bigint, each: bigint, offset: bigint>>"
 PLAN = f"node bigint, first_bin bigint, bins bigint, fill bigint, content {_FILL}"
@@ -185,12 +188,18 @@ def packed(rows: DataFrame, most: int = MAX_TOKENS, share: int = SHARE, fan_in:
     alike = spark.read.schema(alike.schema).parquet(path)
     nodes = (alike.agg(F.sum("copies")).first()[0] or 0) // share + 1
 
-    # A piece's rank among those of its share and length. Its copies follow each other.
-    items = alike.select("*", F.pmod(F.xxhash64(*names), F.lit(nodes)).alias("node"))
-    order = Window.partitionBy("node", "length").orderBy(*[name for name in names if name != "length"]).rowsBetween(Window.unboundedPreceding, -1)
+    # A piece's rank among those of its share and length: behind the slices before its own. Copies follow each other.
+    node, slice_ = F.pmod(F.xxhash64(*names), F.lit(nodes)), F.pmod(F.xxhash64(F.lit(1), *names), F.lit(SLICES))
+    items = alike.select("*", node.alias("node"), slice_.alias("slice"))
+    cell = ("node", "length", "slice")
+    sizes = items.groupBy(*cell).agg(F.sum("copies").alias("n"))
+    starts = sizes.withColumn("ahead", F.coalesce(F.sum("n").over(Window.partitionBy("node", "length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    order = Window.partitionBy(*cell).orderBy(*[name for name in names if name != "length"]).rowsBetween(Window.unboundedPreceding, -1)
     items = items.withColumn("begin", F.coalesce(F.sum("copies").over(order), F.lit(0)))
-    ranks = F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("copies") - 1)).alias("rank")
-    histogram = items.groupBy("node", "length").agg(F.sum("copies").alias("n"))
+    items = items.join(starts.select(*cell, "ahead"), list(cell))
+    first = F.col("ahead") + F.col("begin")
+    ranks = F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("rank")
+    histogram = sizes.groupBy("node", "length").agg(F.sum("n").alias("n"))
     zero = F.lit(0).cast("bigint")
     items = items.select(*names, "node", F.col("length").alias("size"), zero.alias("offset"), ranks)
 
