@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideferry.functions.text import bare_statement
+from tideferry.operators.statements import bare_words
 
 CATEGORIES = ("ETL", "REPORTING", "AD_HOC", "MAINTENANCE")
 
@@ -16,7 +17,7 @@ _ETL = (
     r"(?is)^\s*(?:insert|copy|unload|merge|update|delete)\b"
     r"|^\s*create\s+(?:or\s+replace\s+)?(?:temp\s+|temporary\s+)?table\b[^;]*?\bas\s*\(?\s*(?:select|with)\b"
     r"|^\s*select\b[^;]*?\binto\s+\w"
-    r"|^\s*with\b[^;]*?\binsert\s+into\b"
+    r"|^\s*with\b[^;]*?\b(?:insert\s+into|delete\s+from|merge\s+into|update\s+\w)"
 )
 _MAINTENANCE = (
     r"(?i)^\s*(?:vacuum|analyze|create|alter|drop|truncate|grant|revoke|comment|refresh)\b"
@@ -33,9 +34,13 @@ def rule_label(text: Column) -> Column:
 
     Moving data is ETL; definitions, grants and housekeeping are MAINTENANCE;
     summaries and sorted joins are REPORTING; any other look at data is AD_HOC.
-    Comments and brackets before the statement don't count.
+    Brackets before the statement don't count, and neither do words in its
+    comments, strings and quoted names. The bare words are made once.
     """
-    text = bare_statement(text)
+    return F.transform(F.array(bare_statement(bare_words(text))), _label)[0]
+
+
+def _label(text: Column) -> Column:
     return (
         F.when(F.rlike(text, F.lit(_ETL)), F.lit("ETL"))
         .when(F.rlike(text, F.lit(_MAINTENANCE)), F.lit("MAINTENANCE"))

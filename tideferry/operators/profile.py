@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideferry.functions.frames import quoted, union_all
+from tideferry.functions.frames import computed_once, quoted, union_all
 from tideferry.functions.text import bare_statement
 from tideferry.operators.reconcile import COLUMNS_PER_SCAN
+from tideferry.operators.statements import bare_words, tables_of
 
 _COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
 
@@ -60,26 +61,13 @@ def _measured(rows: DataFrame, names: list[str], estimate_distinct: bool) -> Dat
     return rows.agg(*measured).unpivot([], columns, "column_name", "_measures")
 
 
-_TABLE_AFTER = r"(?i)\b(?:from|join|into|vacuum|analyze|table)\s+([a-z_][\w.]*)"
-_JOIN = r"(?i)\bjoin\b"
-
-
-def tables_in(text: Column) -> Column:
-    """Names a statement reads or writes, lower-cased, each once."""
-    return F.array_distinct(
-        F.regexp_extract_all(F.lower(text), F.lit(_TABLE_AFTER), F.lit(1))
-    )
-
-
 def query_profile(queries: DataFrame, column: str = "query_text") -> DataFrame:
     """How often each table occurs in a query log, and with how many joins."""
-    text = F.col(column)
+    found = queries.select(computed_once([tables_of(F.col(column)).alias("found")]))
+    names = F.array_union("found.reads", "found.writes")
     return (
-        queries.select(
-            F.regexp_count(text, F.lit(_JOIN)).alias("joins"), tables_in(text).alias("tables")
-        )
         # The outer form: the plain one infers a filter that finds the names twice.
-        .select("joins", F.explode_outer("tables").alias("table_name"))
+        found.select(F.col("found.joins").alias("joins"), F.explode_outer(names).alias("table_name"))
         .filter(F.col("table_name").isNotNull())
         .groupBy("table_name")
         .agg(
@@ -103,12 +91,14 @@ def complexity_tier(queries: DataFrame, column: str = "query_text") -> DataFrame
     """Translation effort: GREEN as is, YELLOW with replacements, RED rewrite.
 
     Two or more different kinds of replacement in one statement still are
-    YELLOW; ``replacements`` counts them.
+    YELLOW; ``replacements`` counts them. Words in comments, strings and quoted
+    names don't count.
     """
-    text = F.col(column)
-    return queries.withColumn("replacements", F.regexp_count(text, F.lit(MINOR_WORK))).withColumn(
+    words = queries.select("*", computed_once([bare_statement(bare_words(F.col(column))).alias("_words")]))
+    counted = words.withColumn("replacements", F.coalesce(F.regexp_count("_words", F.lit(MINOR_WORK)), F.lit(0)))
+    return counted.withColumn(
         "complexity_level",
-        F.when(F.rlike(bare_statement(text), F.lit(MAJOR_WORK)), F.lit("RED"))
+        F.when(F.rlike("_words", F.lit(MAJOR_WORK)), F.lit("RED"))
         .when(F.col("replacements") > 0, F.lit("YELLOW"))
         .otherwise(F.lit("GREEN")),
-    )
+    ).drop("_words")

@@ -22,7 +22,7 @@ from tideferry.model import (
 from tideferry.plans.seed import seed_configuration
 from tideferry.plans.transfer import Transfer
 from tideferry.plans.views import create_views, drop_views
-from tideferry.queries.stand_ins import query_log
+from tideferry.queries.stand_ins import QUERY_LOG_SQL, query_log
 from tideferry.sources.control import ControlStore
 from tideferry.sources.delimited import Dataset, Field
 from tideferry.sources.shared import scratch_path
@@ -174,10 +174,7 @@ ORACLE = {
     "run_definitions": " UNION ALL ".join(
         f"SELECT '{name}' AS source_table, '{_REWRITTEN.format(name)}' AS translated_ddl" for name in (*LOADED, MISSING)
     ),
-    "run_labels": """
-        SELECT CASE event_type WHEN 'signup' THEN 'ETL' WHEN 'purchase' THEN 'ETL' WHEN 'view' THEN 'REPORTING'
-               WHEN 'click' THEN 'AD_HOC' ELSE 'MAINTENANCE' END AS query_category, 'HIGH' AS confidence, count(*) AS n
-        FROM events GROUP BY ALL""",
+    "run_labels": f"SELECT query_category, 'HIGH' AS confidence, count(*) AS n FROM ({QUERY_LOG_SQL}) GROUP BY ALL",
     "run_state": """
         SELECT 'table' AS kind, 'VALIDATED' AS status, CAST(4 AS BIGINT) AS n
         UNION ALL SELECT 'table', 'TRANSLATED', 1 UNION ALL SELECT 'run', 'COMPLETED', 1""",

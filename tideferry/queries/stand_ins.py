@@ -7,6 +7,7 @@ reports run over data that grows.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,15 +145,100 @@ TRANSLATIONS_SQL = """
     FROM conversations"""
 
 
-# Statement templates of the query log, by event type.
+@dataclass(frozen=True)
+class Statement:
+    """A statement template of the query log, and what is true of its statements."""
+
+    text: str
+    category: str
+    reads: tuple[str, ...] = ()
+    writes: tuple[str, ...] = ()
+    joins: int = 0
+    tier: str = "GREEN"
+    replacements: int = 0
+
+
+_TABLE, _BASKET = "store.{table}", "mart.basket_{user}"
+
+# The query log's statements: two for each event type, for events of even and of odd ids. The second
+# ones hold words and names where they mean nothing, or where a plain search would miss them.
 STATEMENTS = {
-    "signup": "/* nightly */ WITH fresh AS (SELECT o_orderkey FROM store.{table} WHERE o_custkey = {user})\n"
-    "INSERT INTO mart.seen SELECT o_orderkey FROM fresh",
-    "purchase": "SELECT l_partkey, l_quantity INTO mart.basket_{user} FROM store.lineitem JOIN store.{table} ON l_orderkey = o_orderkey",
-    "view": "-- dearest first\n(SELECT c_mktsegment, avg(o_totalprice) AS price FROM store.customer "
-    "JOIN store.{table} ON o_custkey = c_custkey WHERE c_custkey > {user} GROUP BY c_mktsegment ORDER BY price DESC)",
-    "click": "SELECT c_name, ISNULL(c_mktsegment, 'none') FROM store.{table} WHERE c_custkey = {user} AND opened < GETDATE()",
-    "error": "-- after the load\nVACUUM store.{table}",
+    "signup": (
+        Statement(
+            "/* nightly */ WITH fresh AS (SELECT o_orderkey FROM store.{table} WHERE o_custkey = {user})\n"
+            "INSERT INTO mart.seen SELECT o_orderkey FROM fresh",
+            "ETL",
+            (_TABLE,),
+            ("mart.seen",),
+        ),
+        Statement(
+            "SELECT * FROM store.{table} -- from old_{table}, gone\nWHERE note = 'moved into archive' AND o_custkey = {user}",
+            "AD_HOC",
+            (_TABLE,),
+        ),
+    ),
+    "purchase": (
+        Statement(
+            "SELECT l_partkey, l_quantity INTO mart.basket_{user} FROM store.lineitem JOIN store.{table} ON l_orderkey = o_orderkey",
+            "ETL",
+            ("store.lineitem", _TABLE),
+            (_BASKET,),
+            1,
+        ),
+        Statement(
+            "SELECT sum(l_quantity) FROM store.lineitem l, store.{table} AS o, (SELECT 1 AS one) AS x\n"
+            "WHERE l_orderkey = o_orderkey AND extract(year FROM l_shipdate) > {user}",
+            "REPORTING",
+            ("store.lineitem", _TABLE),
+            (),
+            2,
+        ),
+    ),
+    "view": (
+        Statement(
+            "-- dearest first\n(SELECT c_mktsegment, avg(o_totalprice) AS price FROM store.customer "
+            "JOIN store.{table} ON o_custkey = c_custkey WHERE c_custkey > {user} GROUP BY c_mktsegment ORDER BY price DESC)",
+            "REPORTING",
+            ("store.customer", _TABLE),
+            (),
+            1,
+        ),
+        Statement(
+            'SELECT "group by" FROM "Store" . "{table}" WHERE "copy" = \'distkey; sortkey\' /* getdate() */ AND o_custkey = {user}',
+            "AD_HOC",
+            (_TABLE,),
+        ),
+    ),
+    "click": (
+        Statement(
+            "SELECT c_name, ISNULL(c_mktsegment, 'none') FROM store.{table} WHERE c_custkey = {user} AND opened < GETDATE()",
+            "AD_HOC",
+            (_TABLE,),
+            tier="YELLOW",
+            replacements=2,
+        ),
+        Statement(
+            "WITH a AS (SELECT * FROM store.{table}), b (k, n) AS (SELECT o_custkey, count(*) FROM a, store.nation GROUP BY o_custkey)\n"
+            "DELETE FROM mart.seen USING b WHERE k = {user} OR ISNULL(n, 0) = 0",
+            "ETL",
+            (_TABLE, "store.nation"),
+            ("mart.seen",),
+            1,
+            "YELLOW",
+            1,
+        ),
+    ),
+    "error": (
+        Statement("-- after the load\nVACUUM store.{table}", "MAINTENANCE", (), (_TABLE,), tier="RED"),
+        Statement(
+            "UPDATE mart.seen SET note = 'it''s from b, c' FROM store.{table} t, store.customer\n"
+            "WHERE note IN (SELECT n_name FROM listed({user}), store.nation) -- vacuum",
+            "ETL",
+            (_TABLE, "store.customer", "store.nation"),
+            ("mart.seen",),
+            2,
+        ),
+    ),
 }
 
 
@@ -163,26 +249,35 @@ def query_log(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.lit("archive"))
     )
     text = F
-    for kind, template in STATEMENTS.items():
-        text = text.when(
-            F.col("event_type") == kind, fill(template, table=table, user=F.col("user_id"))
-        )
+    for kind, statements in STATEMENTS.items():
+        for odd, statement in enumerate(statements):
+            own = (F.col("event_type") == kind) & (F.pmod("event_id", F.lit(2)) == odd)
+            text = text.when(own, fill(statement.text, table=table, user=F.col("user_id")))
     events = read_table(spark, folder, "events")
     return events.select("event_id", "event_type", "user_id", "value").select(
         F.col("event_id").alias("query_id"), text.alias("query_text")
     )
 
 
+def _list_sql(names: tuple[str, ...]) -> str:
+    return "[" + ", ".join(fill_sql(name, table="tbl", user="user_id") for name in names) + "]::VARCHAR[]"
+
+
 def _query_log_sql() -> str:
+    """The log, with what is true of each statement as further columns."""
     table = "CASE WHEN value < 1.5 THEN 'orders' WHEN value < 6 THEN 'returns' ELSE 'archive' END"
-    cases = " ".join(
-        f"WHEN '{kind}' THEN {fill_sql(template, table='tbl', user='user_id')}"
-        for kind, template in STATEMENTS.items()
-    )
-    return (
-        f"SELECT event_id AS query_id, event_type, CASE event_type {cases} END AS query_text "
-        f"FROM (SELECT *, {table} AS tbl FROM events)"
-    )
+    known = [(f"event_type = '{kind}' AND event_id % 2 = {odd}", statement) for kind, statements in STATEMENTS.items() for odd, statement in enumerate(statements)]
+    columns = {
+        "query_text": lambda s: fill_sql(s.text, table="tbl", user="user_id"),
+        "query_category": lambda s: f"'{s.category}'",
+        "reads": lambda s: _list_sql(s.reads),
+        "writes": lambda s: _list_sql(s.writes),
+        "joins": lambda s: str(s.joins),
+        "complexity_level": lambda s: f"'{s.tier}'",
+        "replacements": lambda s: str(s.replacements),
+    }
+    cases = [f"CASE {' '.join(f'WHEN {when} THEN {value(statement)}' for when, statement in known)} END AS {name}" for name, value in columns.items()]
+    return f"SELECT event_id AS query_id, event_type, {', '.join(cases)} FROM (SELECT *, {table} AS tbl FROM events)"
 
 
 QUERY_LOG_SQL = _query_log_sql()

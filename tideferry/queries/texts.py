@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tideferry.model import TRANSLATION_RULES
 from tideferry.operators import classify, profile, rewrite
+from tideferry.operators.statements import query_tables
 from tideferry.operators.rewrite import CLAUSE_STRIP, DEFAULT_RULES, FUNCTION_MAP, TYPE_MAP, Rule
 from tideferry.plans import reports
 from tideferry.queries.stand_ins import (
@@ -172,6 +173,7 @@ QUERIES = {
         classify.normalise_labels(_answers(spark, folder), "answer")
     ),
     "query_profile": lambda spark, folder: profile.query_profile(query_log(spark, folder)),
+    "query_tables": lambda spark, folder: query_tables(query_log(spark, folder)),
     "complexity_tier": lambda spark, folder: profile.complexity_tier(
         query_log(spark, folder)
     ).select("query_id", "replacements", "complexity_level"),
@@ -244,9 +246,6 @@ def _documents_sql(steps) -> str:
     return f"SELECT doc_id, {_replaced('text', steps)} AS rewritten FROM documents"
 
 
-_CATEGORIES = """CASE event_type WHEN 'signup' THEN 'ETL' WHEN 'purchase' THEN 'ETL'
-    WHEN 'view' THEN 'REPORTING' WHEN 'click' THEN 'AD_HOC' ELSE 'MAINTENANCE' END"""
-_CLASSIFIED = f"(SELECT query_id, query_text, {_CATEGORIES} AS query_category FROM ({QUERY_LOG_SQL}))"
 _ANSWERS = """(SELECT event_id, CASE event_type WHEN 'signup' THEN '  etl. '
         WHEN 'view' THEN 'Reporting or maintenance' WHEN 'click' THEN 'this is AdHoc'
         WHEN 'purchase' THEN 'Maintenance!' || chr(10)
@@ -290,8 +289,6 @@ def _inventory_sql() -> str:
     return " UNION ALL ".join(selects)
 
 
-_TABLES_READ = r"\b(?:from|join|into|vacuum|analyze|table)\s+([a-z_][\w.]*)"
-
 ORACLE = {
     "rewrite_type_map": _documents_sql(_DOCUMENT_TYPES),
     "rewrite_clause_strip": _documents_sql(_DOCUMENT_CLAUSES),
@@ -325,23 +322,20 @@ ORACLE = {
     "query_preview": f"""
         SELECT query_id, query_category, 'HIGH' AS confidence, left(query_text, 100) AS query_preview,
                TIMESTAMP '{_CLASSIFIED_AT}' AS classified_at
-        FROM {_CLASSIFIED}""",
-    "classify_workload": f"SELECT query_id, query_category, 'HIGH' AS confidence FROM {_CLASSIFIED}",
+        FROM ({QUERY_LOG_SQL})""",
+    "classify_workload": f"SELECT query_id, query_category, 'HIGH' AS confidence FROM ({QUERY_LOG_SQL})",
     "label_normalise": f"SELECT event_id, answer, query_category, confidence FROM {_ANSWERS}",
     "category_distribution": f"""
-        SELECT query_category, count(*) AS query_count FROM {_CLASSIFIED} GROUP BY query_category""",
+        SELECT query_category, count(*) AS query_count FROM ({QUERY_LOG_SQL}) GROUP BY query_category""",
     "confidence_distribution": f"SELECT confidence, count(*) AS n FROM {_ANSWERS} GROUP BY confidence",
     "query_profile": f"""
         SELECT table_name, count(*) AS queries, count(*) FILTER (WHERE joins > 0) AS queries_with_join,
                CAST(max(joins) AS INTEGER) AS most_joins
-        FROM (SELECT len(regexp_extract_all(lower(query_text), '\\bjoin\\b')) AS joins,
-                     unnest(list_distinct(regexp_extract_all(lower(query_text), '{_TABLES_READ}', 1))) AS table_name
-              FROM ({QUERY_LOG_SQL}))
+        FROM (SELECT joins, unnest(list_distinct(list_concat(reads, writes))) AS table_name FROM ({QUERY_LOG_SQL}))
         GROUP BY table_name""",
-    "complexity_tier": f"""
-        SELECT query_id, CASE event_type WHEN 'click' THEN 2 ELSE 0 END AS replacements,
-               CASE event_type WHEN 'click' THEN 'YELLOW' WHEN 'error' THEN 'RED' ELSE 'GREEN' END
-               AS complexity_level
-        FROM ({QUERY_LOG_SQL})""",
+    "query_tables": f"""
+        SELECT query_id, unnest(reads) AS table_name, 'READ' AS usage, joins FROM ({QUERY_LOG_SQL})
+        UNION ALL SELECT query_id, unnest(writes), 'WRITE', joins FROM ({QUERY_LOG_SQL})""",
+    "complexity_tier": f"SELECT query_id, replacements, complexity_level FROM ({QUERY_LOG_SQL})",
     "column_inventory": _inventory_sql(),
 }
