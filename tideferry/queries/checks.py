@@ -152,7 +152,31 @@ def _compared_typed(spark: SparkSession, folder: str) -> DataFrame:
     return checksum.compare_sample(orders, target, ["o_orderkey"])
 
 
+def _compared_unconvertible(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose keys are texts, a quarter of them no numbers, moved to a target that lost those."""
+    orders = read_table(spark, folder, "orders")
+    lettered = F.col("o_orderkey") % 4 == 0
+    key = F.col("o_orderkey").cast("string")
+    source = orders.withColumn("o_orderkey", F.when(lettered, F.concat(F.lit("x"), key)).otherwise(key))
+    return checksum.compare_sample(source, orders.filter(~lettered), ["o_orderkey"])
+
+
+def _partly_changed_orders(orders: DataFrame) -> DataFrame:
+    """Orders that lost, changed and gained rows in a few places."""
+    key = F.col("o_orderkey")
+    dearer = F.when(key.between(5000, 5020), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    kept = orders.filter(~key.between(1000, 1100)).withColumn("o_totalprice", dearer)
+    return kept.unionByName(orders.filter(key.between(300, 303))).unionByName(orders.filter(key < 10).withColumn("o_orderkey", -key))
+
+
+def checksum_locate(spark: SparkSession, folder: str) -> DataFrame:
+    orders = read_table(spark, folder, "orders")
+    return checksum.locate(orders, _partly_changed_orders(orders), ["o_orderkey"], few=1000)
+
+
 QUERIES = {
+    "checksum_locate": checksum_locate,
+    "sample_checksum_unconvertible": lambda spark, folder: checksum.sample_checksum("orders", _compared_unconvertible(spark, folder)),
     "row_count_reconcile": row_count_reconcile,
     "row_count_reconcile_config": row_count_reconcile_config,
     "null_rate_reconcile": null_rate_reconcile,
@@ -303,9 +327,30 @@ ORACLE = {
                CASE WHEN n > m THEN 'FAIL' ELSE 'PASS' END AS status, CAST(NULL AS VARCHAR) AS note
         FROM (SELECT count(*) AS n, count(*) FILTER (WHERE status = 'MATCH') AS m FROM {_COMPARED})""",
     "sample_checksum_differences": f"""
-        SELECT o_orderkey, CAST(source_rows AS BIGINT) AS source_rows,
+        SELECT o_orderkey, CAST(NULL AS VARCHAR) AS unconverted, CAST(source_rows AS BIGINT) AS source_rows,
                CAST(target_rows AS BIGINT) AS target_rows, status
         FROM {_COMPARED} WHERE status <> 'MATCH'""",
 }
 
 ORACLE["sample_checksum_typed"] = ORACLE["sample_checksum"]
+
+_SAMPLE_BOUND = f"{round(0.1 * 16**16):016x}"
+ORACLE["sample_checksum_unconvertible"] = f"""
+    SELECT 'CHECKSUM' AS check_type, 'ORDERS' AS table_name, CAST(NULL AS VARCHAR) AS column_name, 'CHECKSUM:ORDERS' AS check_name,
+           CAST(n AS DOUBLE) AS source_value, CAST(m AS DOUBLE) AS target_value, {_round4('coalesce((n - m) / nullif(n, 0) * 100.0, 0.0)')} AS variance_pct,
+           CASE WHEN n > m THEN 'FAIL' ELSE 'PASS' END AS status, CAST(NULL AS VARCHAR) AS note
+    FROM (SELECT count(*) AS n, count(*) FILTER (WHERE NOT lettered) AS m
+          FROM (SELECT o_orderkey % 4 = 0 AS lettered, CASE WHEN o_orderkey % 4 = 0 THEN 'x' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS k FROM orders)
+          WHERE substr(md5(k), 1, 16) < '{_SAMPLE_BOUND}')"""
+ORACLE["checksum_locate"] = """
+    SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, CAST(NULL AS VARCHAR) AS unconverted,
+           coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows,
+           CASE WHEN t.n IS NULL THEN 'MISSING_IN_TARGET' WHEN s.n IS NULL THEN 'EXTRA_IN_TARGET' ELSE 'CHANGED' END AS status
+    FROM (SELECT o_orderkey, count(*) AS n, sum(o_totalprice) AS price FROM orders GROUP BY o_orderkey) s
+    FULL JOIN (SELECT o_orderkey, count(*) AS n, sum(o_totalprice) AS price FROM (
+            SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey BETWEEN 5000 AND 5020 THEN 1 ELSE 0 END AS o_totalprice
+            FROM orders WHERE o_orderkey NOT BETWEEN 1000 AND 1100
+            UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey BETWEEN 300 AND 303
+            UNION ALL SELECT -o_orderkey, o_totalprice FROM orders WHERE o_orderkey < 10)
+          GROUP BY o_orderkey) t ON s.o_orderkey = t.o_orderkey
+    WHERE s.n IS DISTINCT FROM t.n OR s.price <> t.price"""
