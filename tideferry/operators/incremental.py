@@ -26,13 +26,14 @@ def new_rows(
     reaches both scans as a pushed filter and the join is as large as the
     increment. Rows without a change time always take part. Rows that arrive
     later than the overlap need the form without; rows that changed under a
-    key the target holds are not new.
+    key the target holds are not new, they are for ``operators.merge``.
     """
     if changed_at is not None:
-        mark = target.agg(F.max(changed_at)).first()[0]
+        time = F.col(quoted(changed_at))
+        mark = target.agg(F.max(time)).first()[0]
         if mark is not None:
-            recent = F.col(changed_at) >= F.lit(mark - overlap).cast(target.schema[changed_at].dataType)
-            recent = recent | F.col(changed_at).isNull()
+            recent = time >= F.lit(mark - overlap).cast(target.schema[changed_at].dataType)
+            recent = recent | time.isNull()
             source, target = source.filter(recent), target.filter(recent)
     known = target.select(*[F.col(quoted(k)).alias(f"_known{i}") for i, k in enumerate(keys)])
     same = [F.col(quoted(k)).eqNullSafe(F.col(f"_known{i}")) for i, k in enumerate(keys)]

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideferry.operators import incremental, registry as registering, state
+from tideferry.operators import incremental, merge, registry as registering, state
 from tideferry.operators.load import batch_failures, batch_tally
 from tideferry.plans import reports
 from tideferry.queries.stand_ins import (
@@ -20,6 +20,7 @@ from tideferry.queries.stand_ins import (
     step_log,
     translations,
 )
+from tideferry.sources.shared import scratch_path
 from tideferry.sources.tables import read_table
 
 
@@ -109,6 +110,36 @@ def incremental_load_late(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _merged_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders as their source has them now, as the table has them, and as the source had them last time.
+
+    The last digit of a key decides: 0 dearer now, 1 gone, 2 new, 3 and some of 5 changed or lost in
+    the table by itself; a few have no key. Some dearer ones have reached the table already.
+    """
+    orders = read_table(spark, folder, "orders")
+    key, price, digit = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderkey") % 10
+    keyless = F.when(key % 50 != 7, key)
+    source = orders.filter(digit != 1).withColumn("o_totalprice", F.when(digit == 0, price + 1).when(key % 50 == 7, price + 2).otherwise(price))
+    last = orders.filter(digit != 2)
+    late = (digit == 0) & (F.col("o_orderstatus") == "O")
+    table = last.filter((digit != 5) | (F.col("o_orderstatus") != "F")).withColumn("o_totalprice", F.when(digit == 3, price - 1).when(late, price + 1).otherwise(price))
+    return tuple(rows.withColumn("o_orderkey", keyless) for rows in (source, table, last))
+
+
+def incremental_changes(spark: SparkSession, folder: str) -> DataFrame:
+    source, table, last = _merged_sides(spark, folder)
+    return merge.row_changes(source, table, ["o_orderkey"], last)
+
+
+def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of old orders, merged with what their source holds now."""
+    source, _, last = _merged_sides(spark, folder)
+    table = merge.MergedTable(spark, scratch_path(spark, "merged"), ["o_orderkey"], source.schema, 16)
+    table.merge(last)
+    table.merge(source)
+    return table.rows()
+
+
 QUERIES = {
     "inventory_by_schema": lambda spark, folder: registering.inventory_of(
         _inventory(spark, folder), "Building"
@@ -149,8 +180,10 @@ QUERIES = {
     "batch_load_failures": lambda spark, folder: batch_failures(
         _outcomes(spark, folder), ["run_id"]
     ),
+    "incremental_changes": incremental_changes,
     "incremental_load": incremental_load,
     "incremental_load_late": incremental_load_late,
+    "incremental_merge": incremental_merge,
 }
 
 # -- the same in SQL ------------------------------------------------------
@@ -267,6 +300,15 @@ ORACLE = {
     "batch_load_failures": """
         SELECT user_id AS run_id, 't_' || CAST(event_id AS VARCHAR) || ': ' || props AS failure
         FROM events WHERE event_type = 'error'""",
+    "incremental_changes": """
+        SELECT o_orderkey, CASE o_orderkey % 10 WHEN 2 THEN 'INSERTED' WHEN 1 THEN 'DELETED' WHEN 0 THEN 'UPDATED' ELSE 'DRIFTED' END AS change,
+               o_orderkey % 10 <> 0 OR o_orderstatus <> 'O' AS written
+        FROM orders WHERE o_orderkey % 10 IN (0, 1, 2, 3) OR (o_orderkey % 10 = 5 AND o_orderstatus = 'F')
+        UNION ALL SELECT NULL, 'UPDATED', true WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 50 = 7)""",
+    "incremental_merge": """
+        SELECT CASE WHEN o_orderkey % 50 <> 7 THEN o_orderkey END AS o_orderkey, o_custkey, o_orderstatus,
+               o_totalprice + CASE WHEN o_orderkey % 10 = 0 THEN 1 WHEN o_orderkey % 50 = 7 THEN 2 ELSE 0 END AS o_totalprice, o_orderdate, o_orderpriority
+        FROM orders WHERE o_orderkey % 10 <> 1""",
     "incremental_load": _new_orders(
         "o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2000-05-15 00:00:00'",
         "o_orderdate >= (SELECT max(o_orderdate) FROM loaded) - INTERVAL 30 DAY",
