@@ -147,6 +147,14 @@ DEFINITION_STORE = ControlTable(
     defaults={"created_at": _now},
 )
 
+COLUMN_SKETCHES = ControlTable(
+    "column_sketches",
+    "sketch_id STRING, run_id STRING, table_name STRING, column_name STRING, load_id STRING, row_count BIGINT, "
+    "null_count BIGINT, sketch BINARY, measured_at TIMESTAMP_NTZ",
+    key="sketch_id",
+    defaults={"sketch_id": _uuid, "measured_at": _now},
+)
+
 ALL_TABLES = (
     RUNS,
     REGISTRY,
@@ -158,6 +166,7 @@ ALL_TABLES = (
     CLASSIFICATION_LOG,
     SOURCE_INVENTORY,
     DEFINITION_STORE,
+    COLUMN_SKETCHES,
 )
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideferry.functions.frames import union_all
 from tideferry.model import TRANSLATION_RULES
-from tideferry.operators import classify, profile, rewrite
-from tideferry.operators.statements import query_tables
+from tideferry.operators import classify, profile, rewrite, sketches
 from tideferry.operators.rewrite import CLAUSE_STRIP, DEFAULT_RULES, FUNCTION_MAP, TYPE_MAP, Rule
+from tideferry.operators.statements import query_tables
 from tideferry.plans import reports
 from tideferry.queries.stand_ins import (
     ALL,
@@ -19,6 +20,7 @@ from tideferry.queries.stand_ins import (
     fill_sql,
     query_log,
 )
+from tideferry.sources.shared import scratch_path
 from tideferry.sources.tables import read_table, read_tables
 
 # Rules aimed at words of the documents, one kind after the other.
@@ -144,7 +146,34 @@ def classified(spark: SparkSession, folder: str) -> DataFrame:
     return classify.classify(query_log(spark, folder))
 
 
+# Tables whose columns are sketched, and the column that deals their rows to two loads.
+_SKETCHED = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id"}
+
+
+def inventory_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct values by the merged sketches of two loads, held against exact counts."""
+    tables = read_tables(spark, folder, _SKETCHED)
+    path = scratch_path(spark, "sketches")
+    for load in (0, 1):
+        part = {name: rows.filter(F.col(_SKETCHED[name]) % 2 == load) for name, rows in tables.items()}
+        sketches.column_sketches(part, f"load {load}").write.mode("append").parquet(path)
+    estimated = sketches.distinct_inventory(spark.read.parquet(path))
+    exact = union_all(
+        [
+            rows.agg(*[F.count_distinct(c).alias(c) for c in rows.columns])
+            .unpivot([], rows.columns, "column_name", "distinct_values")
+            .withColumn("table_name", F.lit(name.upper()))
+            for name, rows in tables.items()
+        ]
+    )
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_values"))
+    return estimated.join(exact, ["table_name", "column_name"]).select(
+        "table_name", "column_name", "row_count", "null_count", "distinct_values", (off <= 3 * sketches.ERROR * F.col("distinct_values")).alias("within_error")
+    )
+
+
 QUERIES = {
+    "inventory_distinct": inventory_distinct,
     "rewrite_type_map": rewrite_type_map,
     "rewrite_clause_strip": rewrite_clause_strip,
     "rewrite_function_map": rewrite_function_map,
@@ -289,7 +318,20 @@ def _inventory_sql() -> str:
     return " UNION ALL ".join(selects)
 
 
+def _distinct_sql() -> str:
+    selects = []
+    for table in _SKETCHED:
+        for declared in _DECLARED[table].split(", "):
+            name = declared.split(" ")[0]
+            selects.append(
+                f"SELECT '{table.upper()}' AS table_name, '{name}' AS column_name, count(*) AS row_count, count(*) - count({name}) AS null_count, "
+                f"count(DISTINCT {name}) AS distinct_values, true AS within_error FROM {table}"
+            )
+    return " UNION ALL ".join(selects)
+
+
 ORACLE = {
+    "inventory_distinct": _distinct_sql(),
     "rewrite_type_map": _documents_sql(_DOCUMENT_TYPES),
     "rewrite_clause_strip": _documents_sql(_DOCUMENT_CLAUSES),
     "rewrite_function_map": _documents_sql(_DOCUMENT_FUNCTIONS),
