@@ -117,7 +117,7 @@ def test_a_clean_reload_leaves_no_old_rejects(spark, tmp_path):
 def test_unknown_dataset():
     datasets = sample_datasets("/data")
     assert dataset_for(datasets, "SALES").sep == "\t"
-    with pytest.raises(UnknownDataset, match="No file mapping found for table: orders"):
+    with pytest.raises(UnknownDataset, match="the file map has no entry for orders"):
         dataset_for(datasets, "orders")
 
 

@@ -60,7 +60,7 @@ REGISTRY = ControlTable(
     "registry_id STRING, run_id STRING, source_schema STRING, source_table STRING, "
     "target_schema STRING, target_table STRING, row_count_est BIGINT, size_bytes_est BIGINT, "
     "priority BIGINT, status STRING, registered_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, "
-    "change_no BIGINT",
+    "change_no BIGINT, target_path STRING",
     key="registry_id",
     defaults={
         "registry_id": _uuid,
@@ -109,7 +109,7 @@ VALIDATION_CONFIG = ControlTable(
 
 VALIDATION_RESULTS = ControlTable(
     "validation_results",
-    "result_id STRING, run_id STRING, registry_id STRING, check_type STRING, table_name STRING, "
+    "result_id STRING, run_id STRING, registry_id STRING, check_type STRING, source_schema STRING, table_name STRING, "
     "column_name STRING, check_name STRING, source_value DOUBLE, target_value DOUBLE, "
     "variance_pct DOUBLE, status STRING, note STRING, checked_at TIMESTAMP_NTZ",
     key="result_id",

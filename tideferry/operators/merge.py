@@ -18,12 +18,12 @@ import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideferry.functions.frames import quoted
+from tideferry.sources.shared import path_exists
 
 BUCKETS = 64
 _BUCKET = "_bucket"
@@ -116,12 +116,9 @@ class MergedTable:
 
     def _read(self, part: str, schema: T.StructType) -> DataFrame:
         bucketed = T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])
-        try:
+        if path_exists(self.spark, f"{self.path}/{part}"):
             return self.spark.read.schema(bucketed).parquet(f"{self.path}/{part}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], bucketed)
+        return self.spark.createDataFrame([], bucketed)
 
     def rows(self) -> DataFrame:
         return self._read("rows", self.schema).drop(_BUCKET)

@@ -66,17 +66,18 @@ def reconcile_row_counts(
 ) -> DataFrame:
     """One check per table of either side, from two frames (table_name, n).
 
-    Names are compared without regard to case; where schemas share table
-    names, give both sides names with their schema. A table the source does
-    not know counts as 0 there, varies by 0 and is noted; one that never
-    arrived counts as 0 in the target and is noted as well.
+    Names are compared without regard to case. Where both frames have a column
+    ``source_schema``, tables are told apart by it as well, and the checks carry
+    it. A table the source does not know counts as 0 there, varies by 0 and is
+    noted; one that never arrived counts as 0 in the target and is noted as well.
     """
-    target = target_counts.select(F.upper("table_name").alias("table_name"), F.col("n").alias("t"))
-    source = source_counts.groupBy(F.upper("table_name").alias("table_name")).agg(
-        F.min("n").alias("s")
-    )
-    rows = target.join(source, "table_name", "full").select(
-        "table_name",
+    by_schema = "source_schema" in source_counts.columns and "source_schema" in target_counts.columns
+    keys = ["source_schema", "table_name"] if by_schema else ["table_name"]
+    names = [F.upper(key).alias(key) for key in keys]
+    target = target_counts.select(*names, F.col("n").alias("t"))
+    source = source_counts.groupBy(*names).agg(F.min("n").alias("s"))
+    rows = target.join(source, keys, "full").select(
+        *keys,
         F.col("s").isNull().alias("unknown"),
         F.col("t").isNull().alias("absent"),
         F.coalesce("s", F.lit(0)).cast("double").alias("source_value"),
@@ -85,7 +86,7 @@ def reconcile_row_counts(
     variance = variance_percent(F.col("source_value"), F.col("target_value"))
     return rows.select(
         F.lit(ROW_COUNT).alias("check_type"),
-        "table_name",
+        *keys,
         F.lit(None).cast("string").alias("column_name"),
         F.concat(F.lit(f"{ROW_COUNT}:"), "table_name").alias("check_name"),
         "source_value",

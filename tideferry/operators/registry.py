@@ -46,7 +46,7 @@ def register_new(inventory: DataFrame, registry: DataFrame, target_schema: str =
 def pending_work(registry: DataFrame, status: str = "TRANSLATED") -> DataFrame:
     """Tables in a state, in the order they are to be worked on."""
     return registry.filter(F.col("status") == status).orderBy(
-        F.asc_nulls_last("priority"), F.asc_nulls_last("source_table")
+        F.asc_nulls_last("priority"), F.asc_nulls_last("source_table"), F.asc_nulls_last("source_schema")
     )
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideferry.operators.history import keep_history
-from tideferry.operators.load import load_dataset, open_loaded
+from tideferry.operators.load import load_dataset, load_into, open_loaded, rejected_lines
 from tideferry.queries.stand_ins import STEP_LOG_SQL, step_log
+from tideferry.session import settings
 from tideferry.sources.delimited import Dataset, Field, dataset_for
 from tideferry.sources.shared import scratch_path
 from tideferry.sources.tables import read_table
@@ -110,6 +111,33 @@ def delimited_rejects(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def delimited_reject_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The numbers of rejected lines in files that are read in several splits.
+
+    A line carries its own number as its first field, and its file's as the
+    second, so the result can be told from the lines alone.
+    """
+    rows = read_table(spark, folder, "lineitem")
+    root = scratch_path(spark, "numbered")
+    order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    files = rows.repartitionByRange(3, *order).sortWithinPartitions(*order).withColumn("n", F.monotonically_increasing_id())
+    number = (F.col("n") % F.lit(1 << 33) + 1).cast("string")
+    bad = F.col("l_quantity") >= 45
+    line = F.concat_ws("|", F.when(bad, F.concat(F.lit("#"), number)).otherwise(number), F.shiftright("n", 33).cast("string"), F.col("l_orderkey").cast("string"))
+    files.select(line.alias("value")).write.text(f"{root}/text")
+    fields = (Field("number", "bigint", required=True), Field("file", "int", required=True), Field("l_orderkey", "bigint", required=True))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "0"}):
+        load_into(spark, Dataset("numbered", f"{root}/text", fields, "|"), f"{root}/table")
+    rejects = rejected_lines(spark, f"{root}/table")
+    said = F.split_part("line", F.lit("|"), F.lit(1))
+    return rejects.select(
+        F.split_part("line", F.lit("|"), F.lit(3)).cast("bigint").alias("l_orderkey"),
+        "reason",
+        (F.substring(said, 2, 20).cast("bigint") == F.col("line_number")).alias("right_number"),
+        (F.regexp_extract("source_file", r"part-(\d+)", 1).cast("int") == F.split_part("line", F.lit("|"), F.lit(2)).cast("int")).alias("right_file"),
+    )
+
+
 def audit_log_append(spark: SparkSession, folder: str) -> DataFrame:
     """The log appended in two steps, then read back by status."""
     log, path = step_log(spark, folder), scratch_path(spark, "step_log")
@@ -136,6 +164,7 @@ QUERIES = {
     "delimited_load_tab": delimited_load_tab,
     "delimited_skip_bad": delimited_skip_bad,
     "delimited_rejects": delimited_rejects,
+    "delimited_reject_lines": delimited_reject_lines,
     "audit_log_append": audit_log_append,
     "history_reset_keep": history_reset_keep,
 }
@@ -154,6 +183,8 @@ ORACLE = {
                     WHEN 48 THEN 'ARITY' WHEN 47 THEN 'ARITY' WHEN 46 THEN 'LENGTH:l_returnflag'
                     ELSE 'REQUIRED:l_linenumber' END AS reason
         FROM lineitem WHERE l_quantity >= 45""",
+    "delimited_reject_lines": """
+        SELECT l_orderkey, 'TYPE:number' AS reason, true AS right_number, true AS right_file FROM lineitem WHERE l_quantity >= 45""",
     "audit_log_append": f"""
         SELECT status, count(*) AS steps, CAST(sum(rows_processed) AS BIGINT) AS rows
         FROM ({STEP_LOG_SQL}) GROUP BY status""",

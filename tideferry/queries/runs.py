@@ -1,12 +1,13 @@
 """A whole run over the driver tables, as queries over what it left in its store.
 
 Four tables are written as delimited text, loaded and checked; the text of a
-fifth never arrives. The run is made once per session and folder.
+fifth never arrives. One run serves all queries of a session, as long as the
+files of its tables are the same and what it left is still there.
 """
 
 from __future__ import annotations
 
-from functools import cache
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,22 +26,56 @@ from tideferry.plans.views import create_views, drop_views
 from tideferry.queries.stand_ins import QUERY_LOG_SQL, query_log
 from tideferry.sources.control import ControlStore
 from tideferry.sources.delimited import Dataset, Field
-from tideferry.sources.shared import scratch_path
-from tideferry.sources.tables import read_tables
+from tideferry.sources.shared import path_exists, scratch_path
+from tideferry.sources.tables import read_table, read_tables
 
 LOADED = ("customer", "supplier", "nation", "region")
 MISSING = "orders"
 
-_DEFINITION = "CREATE TABLE store.{0} (id INTEGER ENCODE az64, seen TIMESTAMP DEFAULT GETDATE()) DISTSTYLE ALL;"
-_REWRITTEN = "CREATE OR REPLACE TABLE {0} (id INTEGER , seen TIMESTAMP_NTZ DEFAULT CURRENT_TIMESTAMP()) ;"
+# A column's declaration in a source definition by its type, and what rewriting leaves of it.
+_DECLARED = {
+    "int": ("INTEGER ENCODE az64", "INTEGER "),
+    "bigint": ("BIGINT", "BIGINT"),
+    "double": ("FLOAT8 ENCODE raw", "FLOAT8 "),
+    "string": ("VARCHAR(100)", "VARCHAR(100)"),
+    "timestamp_ntz": ("TIMESTAMP DEFAULT GETDATE()", "TIMESTAMP_NTZ DEFAULT CURRENT_TIMESTAMP()"),
+}
+
+
+def _definition(name: str, rows: DataFrame) -> str:
+    columns = ", ".join(f"{f.name} {_DECLARED[f.dataType.simpleString()][0]}" for f in rows.schema.fields)
+    return f"CREATE TABLE store.{name} ({columns}) DISTSTYLE ALL;"
 
 
 def _fields(rows: DataFrame) -> tuple[Field, ...]:
     return tuple(Field(f.name, f.dataType.simpleString()) for f in rows.schema.fields)
 
 
-@cache
-def _run(spark: SparkSession, application: str, folder: str) -> Transfer:
+def _listing(spark: SparkSession, folder: str, names: Sequence[str]) -> tuple:
+    """Files of some tables with their lengths and times, as Spark's file system lists them."""
+    found = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            status = files.next()
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
+_RUNS: dict[tuple, Transfer] = {}
+
+
+def _once(make: Callable[[SparkSession, str], Transfer], spark: SparkSession, folder: str, names: Sequence[str]) -> Transfer:
+    """A run over the files as they are now, made anew when they or what the run wrote have changed."""
+    key = (make.__name__, spark.sparkContext.applicationId, _listing(spark, folder, names))
+    run = _RUNS.get(key)
+    if run is None or not path_exists(spark, run.store.root):
+        run = _RUNS[key] = make(spark, folder)
+    return run
+
+
+def _run(spark: SparkSession, folder: str) -> Transfer:
     root = scratch_path(spark, "run")
     tables = read_tables(spark, folder, (*LOADED, MISSING))
     datasets = {name: Dataset(name, f"{root}/text/{name}", _fields(rows), "|") for name, rows in tables.items()}
@@ -54,7 +89,7 @@ def _run(spark: SparkSession, application: str, folder: str) -> Transfer:
     store.append(SOURCE_INVENTORY, union_all(known).withColumn("source_schema", F.lit("Store")))
     store.append_values(
         DEFINITION_STORE,
-        [{"source_schema": "store", "source_table": name, "original_ddl": _DEFINITION.format(name)} for name in tables],
+        [{"source_schema": "store", "source_table": name, "original_ddl": _definition(name, rows)} for name, rows in tables.items()],
     )
 
     run = Transfer.open(spark, store, "driver tables", datasets, f"{root}/target")
@@ -70,7 +105,62 @@ def _run(spark: SparkSession, application: str, folder: str) -> Transfer:
 
 
 def whole_run(spark: SparkSession, folder: str) -> Transfer:
-    return _run(spark, spark.sparkContext.applicationId, folder)
+    return _once(_run, spark, folder, (*LOADED, MISSING, "events"))
+
+
+# One table name in two schemas: customers of even and of odd nations.
+_SCHEMAS = {"east": 0, "west": 1}
+
+
+def _two_schemas(spark: SparkSession, folder: str) -> Transfer:
+    """A run over ``east.clients`` and ``west.clients``; the estimate of the second is twice its rows."""
+    root = scratch_path(spark, "two-schemas")
+    customer = read_table(spark, folder, "customer")
+    store = ControlStore(spark, f"{root}/control").create()
+    seed_configuration(store)
+    datasets = {}
+    for schema, odd in _SCHEMAS.items():
+        own = customer.filter(F.col("c_nationkey") % 2 == odd)
+        datasets[f"{schema}.clients"] = Dataset("clients", f"{root}/text/{schema}", _fields(own), "|")
+        own.select(F.concat_ws("|", *[F.col(c).cast("string") for c in own.columns]).alias("value")).write.text(f"{root}/text/{schema}")
+        estimate = own.agg((F.count(F.lit(1)) * (1 + odd)).alias("row_count_est"))
+        store.append(SOURCE_INVENTORY, estimate.select("row_count_est", F.lit(schema).alias("source_schema"), F.lit("clients").alias("source_table")))
+        store.append_values(DEFINITION_STORE, [{"source_schema": schema, "source_table": "clients", "original_ddl": _definition("clients", own)}])
+    run = Transfer.open(spark, store, "two schemas", datasets, f"{root}/target")
+    for schema in _SCHEMAS:
+        run.assess(schema)
+    run.translate()
+    run.load_batch()
+    run.validate_row_counts()
+    run.close()
+    return run
+
+
+def run_two_schemas(spark: SparkSession, folder: str) -> DataFrame:
+    """Both targets' rows beside the check of each."""
+    run = _once(_two_schemas, spark, folder, ("customer",))
+    targets = union_all(
+        [
+            run.target("clients", schema).agg(F.count(F.lit(1)).alias("rows"), F.min("c_custkey").alias("least_key")).withColumn("source_schema", F.lit(schema))
+            for schema in _SCHEMAS
+        ]
+    )
+    checks = run.results().select(F.lower("source_schema").alias("source_schema"), "check_name", "source_value", "target_value", "variance_pct", "status")
+    owners = run.registry().select("source_schema", "source_table", F.col("status").alias("table_status"))
+    return targets.join(checks, "source_schema").join(owners, "source_schema")
+
+
+def run_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """The folder each table's registry row points to, and the rows there."""
+    run = whole_run(spark, folder)
+    entries = [(row.source_schema, row.source_table, row.target_path) for row in run.registry().collect()]
+    rows = [
+        run.target(table, schema).agg(F.count(F.lit(1)).alias("rows")).withColumn("source_table", F.lit(table))
+        for schema, table, path in entries
+        if path
+    ]
+    owned = F.col("target_path").contains(F.concat(F.lit("/STORE/"), F.upper("source_table"), F.lit("/load=")))
+    return run.registry().select("source_table", owned.alias("own_folder")).join(union_all(rows), "source_table", "left")
 
 
 def run_registry(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,6 +215,8 @@ QUERIES = {
     "run_definitions": run_definitions,
     "run_labels": run_labels,
     "run_state": run_state,
+    "run_targets": run_targets,
+    "run_two_schemas": run_two_schemas,
 }
 
 # -- the same in SQL ------------------------------------------------------
@@ -158,7 +250,18 @@ def _log_sql() -> str:
 
 _SAMPLED = f"(SELECT count(*) FROM supplier WHERE substr(md5(CAST(s_suppkey AS VARCHAR)), 1, 16) < '{round(0.1 * 16**16):016x}')"
 
+_SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+
 ORACLE = {
+    "run_targets": f"""
+        SELECT source_table, CASE WHEN source_table <> '{MISSING}' THEN true END AS own_folder, CASE WHEN source_table <> '{MISSING}' THEN n END AS rows
+        FROM ({_COUNTS}) AS c""",
+    "run_two_schemas": """
+        SELECT source_schema, 'clients' AS source_table, 'VALIDATED' AS table_status, n AS rows, least_key, 'ROW_COUNT:CLIENTS' AS check_name,
+               CAST(n * (1 + odd) AS DOUBLE) AS source_value, CAST(n AS DOUBLE) AS target_value, odd * 50.0::DOUBLE AS variance_pct,
+               CASE odd WHEN 1 THEN 'FAIL' ELSE 'PASS' END AS status
+        FROM (SELECT CASE c_nationkey % 2 WHEN 0 THEN 'east' ELSE 'west' END AS source_schema, c_nationkey % 2 AS odd, count(*) AS n, min(c_custkey) AS least_key
+              FROM customer GROUP BY ALL)""",
     "run_registry": f"""
         SELECT source_table, CASE source_table WHEN '{MISSING}' THEN 'TRANSLATED' ELSE 'VALIDATED' END AS status,
                n AS row_count_est, true AS has_id, true AS has_time FROM ({_COUNTS}) AS c""",
@@ -171,9 +274,11 @@ ORACLE = {
         FROM unnest(['n_nationkey', 'n_name', 'n_regionkey']) AS t(c)
         UNION ALL SELECT 'supplier', 'CHECKSUM', NULL, 'CHECKSUM:SUPPLIER', {_SAMPLED}, {_SAMPLED}, 0,
                   CASE WHEN {_SAMPLED} = 0 THEN 'NO_SAMPLE' ELSE 'PASS' END""",
-    "run_definitions": " UNION ALL ".join(
-        f"SELECT '{name}' AS source_table, '{_REWRITTEN.format(name)}' AS translated_ddl" for name in (*LOADED, MISSING)
-    ),
+    "run_definitions": f"""
+        SELECT table_name AS source_table, 'CREATE OR REPLACE TABLE ' || table_name || ' (' || string_agg(
+                   column_name || ' ' || CASE data_type {' '.join(f"WHEN '{_SQL_TYPES[kind]}' THEN '{left}'" for kind, (_, left) in _DECLARED.items())} END,
+                   ', ' ORDER BY ordinal_position) || ') ;' AS translated_ddl
+        FROM information_schema.columns WHERE table_name IN ({', '.join(f"'{name}'" for name in (*LOADED, MISSING))}) GROUP BY table_name""",
     "run_labels": f"SELECT query_category, 'HIGH' AS confidence, count(*) AS n FROM ({QUERY_LOG_SQL}) GROUP BY ALL",
     "run_state": """
         SELECT 'table' AS kind, 'VALIDATED' AS status, CAST(4 AS BIGINT) AS n

@@ -10,12 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideferry.model import ALL_TABLES, ControlTable, with_defaults
 from tideferry.operators.state import advance, latest_rows
+from tideferry.sources.shared import path_exists
 
 
 class ControlStore:
@@ -43,12 +43,9 @@ class ControlStore:
         names, reader = table.schema.names, self.spark.read.schema(table.schema)
         if run_id is None:
             return reader.parquet(self._path(table)).select(*names)
-        try:
-            rows = reader.option("basePath", self._path(table)).parquet(self._path(table, run_id))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self._path(table, run_id)):
             return self.spark.createDataFrame([], table.schema)
+        rows = reader.option("basePath", self._path(table)).parquet(self._path(table, run_id))
         return rows.select(*names)
 
     def current(self, table: ControlTable, run_id: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ The format has no quoting and no header, so a line is split at every
 separator. Each field is trimmed, null tokens become null, and the text is
 cast with ``try_cast``; a line that breaks any rule of its dataset goes to the
 rejects with the first reason found. The text reader keeps blank lines and
-lets large files split, so accepted plus rejected is always the line count.
+lets large files split, so good plus bad lines are always the line count.
 """
 
 from __future__ import annotations
@@ -47,17 +47,22 @@ class UnknownDataset(LookupError):
     """No file mapping exists for a table."""
 
 
-def dataset_for(datasets: dict[str, Dataset], table: str) -> Dataset:
-    """Look a table up in a file map whose keys are lower-case names."""
-    try:
-        return datasets[table.lower()]
-    except KeyError:
-        raise UnknownDataset(f"No file mapping found for table: {table}") from None
+def dataset_for(datasets: dict[str, Dataset], table: str, schema: str | None = None) -> Dataset:
+    """Look a table up in a file map whose keys are lower-case names, with their schema or without."""
+    names = ([f"{schema}.{table}"] if schema else []) + [table]
+    for name in names:
+        if name.lower() in datasets:
+            return datasets[name.lower()]
+    raise UnknownDataset(f"the file map has no entry for {' or '.join(names)}")
 
 
 def read_lines(spark: SparkSession, location: str) -> DataFrame:
+    """Lines with their file, where their split of it begins, and an id that ascends within the split."""
     return spark.read.text(location).select(
-        F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_source_file")
+        F.col("value").alias("_line"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_block_start").alias("_split_start"),
+        F.monotonically_increasing_id().alias("_line_id"),
     )
 
 
@@ -137,14 +142,3 @@ def parse_lines(lines: DataFrame, dataset: Dataset) -> DataFrame:
         *lines.columns, *[F.col(quoted(f.name)) for f in fields], reason.alias("_reason")
     )
 
-
-def accepted(parsed: DataFrame, dataset: Dataset) -> DataFrame:
-    good = parsed.filter(F.col("_reason").isNull())
-    return good.select(*[F.col(quoted(f.name)) for f in dataset.fields])
-
-
-def rejected(parsed: DataFrame) -> DataFrame:
-    """Bad lines as read, the file they are from, and the first reason."""
-    names = ("line", "source_file", "reason")
-    bad = parsed.filter(F.col("_reason").isNotNull())
-    return bad.select(*[F.col(f"_{name}").alias(name) for name in names])
