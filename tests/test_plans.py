@@ -24,13 +24,24 @@ def plan(spark, name: str) -> str:
     return plan_of(QUERIES[name](spark, FOLDER))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITTEN))
+# Their windows see one part of a sorted table, or one row per part.
+BY_PART = {"step_pairs", "open_steps"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITTEN - BY_PART))
 def test_no_python_workers_cross_joins_or_windows(spark, name):
     text = plan(spark, name)
     for unwanted in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window", "Coalesce ("):
         assert unwanted not in text, unwanted
 
 
+@pytest.mark.parametrize("name", sorted(BY_PART))
+def test_windows_see_parts_and_not_runs(spark, name):
+    text = plan(spark, name)
+    windows = re.findall(r"windowspecdefinition\((\w+)#", text)
+    assert windows and set(windows) <= {"_part"}
+
+
 def test_row_counts_read_only_filter_columns(spark):
     schemas = re.findall(r"ReadSchema: struct<(.*?)>\n", plan(spark, "row_count_reconcile"))
     assert len(schemas) == 18

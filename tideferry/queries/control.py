@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideferry.operators import incremental, merge, registry as registering, state
+from tideferry.operators import incremental, merge, registry as registering, state, steps
 from tideferry.operators.load import batch_failures, batch_tally
 from tideferry.plans import reports
 from tideferry.queries.stand_ins import (
@@ -140,7 +140,25 @@ def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
     return table.rows()
 
 
+def _paired_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A log of starts and ends: half of the events start one of three steps, the others end one."""
+    kind = F.col("event_type")
+    status = F.when(kind.isin("signup", "view"), "STARTED").when(kind == "error", "FAILED").otherwise("SUCCESS")
+    return read_table(spark, folder, "events").select(
+        F.col("event_id").alias("seq"),
+        # One run has a third of all rows.
+        F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).alias("run_id"),
+        F.when(F.col("value") < 5, "LOAD").otherwise("VALIDATION").alias("phase"),
+        F.concat(F.lit("STEP_"), (F.col("event_id") % 3).cast("string")).alias("step_name"),
+        status.alias("status"),
+        F.when(status != "STARTED", F.floor(F.col("value") * 100).cast("bigint")).alias("rows_processed"),
+        F.col("ts").alias("logged_at"),
+    )
+
+
 QUERIES = {
+    "step_pairs": lambda spark, folder: steps.step_pairs(_paired_log(spark, folder)),
+    "open_steps": lambda spark, folder: steps.open_steps(_paired_log(spark, folder)),
     "inventory_by_schema": lambda spark, folder: registering.inventory_of(
         _inventory(spark, folder), "Building"
     ),
@@ -210,7 +228,23 @@ def _new_orders(lost: str, bound: str) -> str:
         WHERE {bound} AND NOT EXISTS (SELECT 1 FROM loaded l WHERE l.o_orderkey = o.o_orderkey)"""
 
 
+_FOLLOWED = """
+    SELECT *, lead(seq) OVER w AS ended_seq, lead(status) OVER w AS next_status, lead(rows_processed) OVER w AS next_rows, lead(logged_at) OVER w AS ended_at
+    FROM (SELECT event_id AS seq, CASE user_id % 3 WHEN 0 THEN 0 ELSE user_id END AS run_id, CASE WHEN value < 5 THEN 'LOAD' ELSE 'VALIDATION' END AS phase,
+                 'STEP_' || CAST(event_id % 3 AS VARCHAR) AS step_name, ts AS logged_at,
+                 CASE WHEN event_type IN ('signup', 'view') THEN 'STARTED' WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+                 CASE WHEN event_type NOT IN ('signup', 'view') THEN CAST(floor(value * 100) AS BIGINT) END AS rows_processed
+          FROM events) AS log
+    WINDOW w AS (PARTITION BY run_id, phase, step_name ORDER BY seq)"""
+
 ORACLE = {
+    "step_pairs": f"""
+        SELECT run_id, phase, step_name, seq AS started_seq, ended_seq, next_status AS status, next_rows AS rows_processed, logged_at AS started_at, ended_at,
+               CAST(floor(floor((epoch_us(ended_at) - epoch_us(logged_at)) / 1000.0) / 1000.0 + 0.5) AS BIGINT) AS seconds
+        FROM ({_FOLLOWED}) AS f WHERE status = 'STARTED' AND next_status <> 'STARTED'""",
+    "open_steps": f"""
+        SELECT run_id, phase, step_name, seq AS started_seq, logged_at AS started_at
+        FROM ({_FOLLOWED}) AS f WHERE status = 'STARTED' AND coalesce(next_status, 'STARTED') = 'STARTED'""",
     "inventory_by_schema": f"SELECT * FROM {_INVENTORY} WHERE upper(source_schema) = 'BUILDING'",
     "registry_register_new": f"""
         SELECT min(source_schema) AS source_schema, min(source_table) AS source_table,
