@@ -65,69 +65,128 @@ _BEGIN = f"named_struct('due', '{NOTHING}', 'clauses', '{START}', 'before', '',
 _A_READ, _A_NAME = "a read", "a name"
 
 
-def _step(state: Column, token: Column) -> Column:
-    """The state behind one token."""
-    clauses, due, before, verb = state["clauses"], state["due"], state["before"], state["verb"]
-    clause, nothing = F.right(clauses, F.lit(1)), F.array().cast("array<string>")
+def _worded(token: Column) -> Column:
     sign = F.when(token.isin("(", ")", ",", ";"), token)
-    word = F.when(F.rlike(token, F.lit(rf"\A{_PART}")), F.lower(token))
+    return F.struct(sign.alias("sign"), F.when(sign.isNull() & F.rlike(token, F.lit(rf"\A{_PART}")), F.lower(token)).alias("word"))
+
+
+def _classed(token: Column) -> Column:
+    """A token's sign or word, and which kind of word it is. Made once, as a fold makes anew whatever its step asks for."""
+    sign, word = token["sign"], token["word"]
+    kind = (
+        F.when(word.isNull(), "")
+        .when(~word.isin(*_VERBS, *_ENDS, *_BETWEEN, *_BEFORE_BRACKET, *_WORDS), "name")
+        .when(word.isin(*_ENDS), "end")
+        .when(word.isin(*_BETWEEN), "between")
+        .when(word.isin(*_VERBS), "verb")
+        .otherwise("word")
+    )
+    return F.struct(sign.alias("sign"), word.alias("word"), kind.alias("kind"))
+
+
+def _state(state: Column, **changed: Column | str) -> Column:
+    """A state with some fields changed; unless it is said what is due next, nothing is."""
+    fields = ("due", "clauses", "before", "verb", "joins", "defined", "reads", "writes")
+    values = {name: state[name] for name in fields} | {"due": F.lit(NOTHING), "before": F.lit("")} | changed
+    return F.struct(*[(F.lit(values[name]) if isinstance(values[name], str) else values[name]).alias(name) for name in fields])
+
+
+def _within(state: Column, letter: str) -> Column:
+    """The clauses with another one at the innermost bracket."""
+    return F.concat(F.left(state["clauses"], F.length(state["clauses"]) - 1), F.lit(letter))
+
+
+def _behind_name(state: Column, word: Column) -> Column:
     name = F.replace(F.regexp_replace(word, r"\s*+\.\s*+", "."), F.lit('"'), F.lit(""))
+    due = state["due"]
+    read = due.isin(READ, USING) & ~F.array_contains(state["defined"], name)
+
+    def added(names: str, condition: Column) -> Column:
+        return F.when(condition, F.concat(state[names], F.array(name))).otherwise(state[names])
+
+    return F.when(due == NOTHING, _state(state, before=_A_NAME)).otherwise(
+        _state(
+            state,
+            before=F.when(read, _A_READ).otherwise(_A_NAME),
+            defined=added("defined", due == DEFINED),
+            reads=added("reads", read),
+            writes=added("writes", due == WRITE),
+        )
+    )
 
-    outside = clause != CALL  # a word like FROM means nothing between the arguments of a function
-    source = (word == "from") & outside & (before != "distinct") & (verb != "copy")
-    joined = (word == "join") & outside
-    # Also the one of a join in such a statement, but no name stands in its bracket's place.
-    using = (word == "using") & outside & verb.isin("delete", "merge")
-    comma = (sign == ",") & (clause == TABLES)
-    defining = ((word == "with") & ~clause.isin(SELECT, TABLES, CALL)) | ((sign == ",") & (clause == DEFINITIONS))
-    keeping = (verb == "") & word.isin("vacuum", "analyze", "truncate", "copy")
-    changing = (word == "update") & ~before.isin("for", "do", "then")
-    target = outside & (word.isin("into", "table", "view") | keeping | changing | (source & (before == "delete")))
-    named = word.isNotNull() & ~word.isin(*_VERBS, *_ENDS, *_BETWEEN, *_BEFORE_BRACKET, *_WORDS)
-    read = named & due.isin(READ, USING) & ~F.array_contains(state["defined"], name)
-    opening = sign == "("
-    function = opening & (before == _A_READ)  # it was no table
-
-    def within(letter: str) -> Column:
-        return F.concat(F.left(clauses, F.length(clauses) - 1), F.lit(letter))
 
+def _behind_sign(state: Column, sign: Column) -> Column:
+    clauses, before, due = state["clauses"], state["before"], state["due"]
+    clause, reads = F.right(clauses, F.lit(1)), state["reads"]
+    nothing = F.array().cast("array<string>")
+    # A bracket behind a table that was just read makes it a function.
+    others = F.when(before == _A_READ, F.slice(reads, 1, F.greatest(F.size(reads) - 1, F.lit(0)))).otherwise(reads)
+    inner = F.when(due == READ, TABLES).when(before.isin(_A_READ, _A_NAME), CALL).otherwise(START)
+    opened = _state(state, due=F.when(due == READ, READ).otherwise(NOTHING), before="(", clauses=F.concat(clauses, inner), reads=others)
+    closed = _state(state, before=")", clauses=F.when(F.length(clauses) > 1, F.left(clauses, F.length(clauses) - 1)).otherwise(clauses))
+    ended = _state(state, before=";", clauses=START, verb="", defined=nothing)
+    return (
+        F.when(sign == "(", opened)
+        .when(sign == ")", closed)
+        .when(sign == ";", ended)
+        .when(clause == TABLES, _state(state, due=READ, before=",", joins=state["joins"] + 1))
+        .when(clause == DEFINITIONS, _state(state, due=DEFINED, before=","))
+        .otherwise(_state(state, before=","))
+    )
+
+
+def _behind_word(state: Column, word: Column, kind: Column) -> Column:
+    clauses, due, before, verb = state["clauses"], state["due"], state["before"], state["verb"]
+    clause = F.right(clauses, F.lit(1))
+    # Also the USING of a join in such a statement, but no name stands in its bracket's place.
+    using = (word == "using") & verb.isin("delete", "merge")
+    source = (word == "from") & (before != "distinct") & (verb != "copy")
+    target = (
+        word.isin("into", "table", "view")
+        | ((verb == "") & word.isin("vacuum", "analyze", "truncate", "copy"))
+        | ((word == "update") & ~before.isin("for", "do", "then"))
+        | (source & (before == "delete"))
+    )
+    defining = (word == "with") & ~clause.isin(SELECT, TABLES)
     due_next = (
-        F.when(target, WRITE)
+        F.when(kind == "end", NOTHING)
+        .when((kind == "between") | ((word == "delete") & (due == WRITE)), due)
+        .when(target, WRITE)
         .when(using, USING)
-        .when(source | joined | comma, READ)
+        .when(source | (word == "join"), READ)
         .when(defining, DEFINED)
-        .when(word.isin(*_BETWEEN) | (opening & (due == READ)) | ((word == "delete") & (due == WRITE)), due)
         .otherwise(NOTHING)
     )
-    inner = F.when(due == READ, TABLES).when(before.isin(_A_READ, _A_NAME), CALL).otherwise(START)
     clauses_next = (
-        F.when(opening, F.concat(clauses, inner))
-        .when((sign == ")") & (F.length(clauses) > 1), F.left(clauses, F.length(clauses) - 1))
-        .when(sign == ";", START)
-        .when(word == "select", within(SELECT))
-        .when(source | joined | using, within(TABLES))
-        .when((word == "with") & defining, within(DEFINITIONS))
-        .when(word.isin(*_ENDS) & outside, within(OTHER))
+        F.when(kind == "end", _within(state, OTHER))
+        .when(word == "select", _within(state, SELECT))
+        .when(source | (word == "join") | using, _within(state, TABLES))
+        .when(defining, _within(state, DEFINITIONS))
         .otherwise(clauses)
     )
-    before_next = F.when(read, _A_READ).when(named, _A_NAME).otherwise(F.coalesce(word, sign, F.lit("")))
-    is_verb = verb.isin("", "with") & (F.length(clauses) == 1) & word.isin("with", *_VERBS)
-    reads = F.when(function, F.slice(state["reads"], 1, F.greatest(F.size(state["reads"]) - 1, F.lit(0))))
-    return F.struct(
-        due_next.alias("due"),
-        clauses_next.alias("clauses"),
-        before_next.alias("before"),
-        F.when(sign == ";", "").when(is_verb, word).otherwise(verb).alias("verb"),
-        (state["joins"] + F.when(joined | comma, 1).otherwise(0)).alias("joins"),
-        F.when(sign == ";", nothing).when(named & (due == DEFINED), F.concat(state["defined"], F.array(name))).otherwise(state["defined"]).alias("defined"),
-        reads.when(read, F.concat(state["reads"], F.array(name))).otherwise(state["reads"]).alias("reads"),
-        F.when(named & (due == WRITE), F.concat(state["writes"], F.array(name))).otherwise(state["writes"]).alias("writes"),
+    is_verb = ((kind == "verb") | (word == "with")) & verb.isin("", "with") & (F.length(clauses) == 1)
+    verb_next = F.when(is_verb, word).otherwise(verb)
+    joins = F.when(word == "join", state["joins"] + 1).otherwise(state["joins"])
+    outside = _state(state, due=due_next, clauses=clauses_next, before=word, verb=verb_next, joins=joins)
+    # Between the arguments of a function only a query inside means something.
+    inside = _state(state, clauses=F.when(word == "select", _within(state, SELECT)).otherwise(clauses), before=word)
+    return F.when(clause != CALL, outside).otherwise(inside)
+
+
+def _step(state: Column, token: Column) -> Column:
+    """The state behind one token."""
+    kind = token["kind"]
+    return (
+        F.when(kind == "name", _behind_name(state, token["word"]))
+        .when(token["sign"].isNotNull(), _behind_sign(state, token["sign"]))
+        .when(kind == "", _state(state))
+        .otherwise(_behind_word(state, token["word"], kind))
     )
 
 
 def tables_of(text: Column) -> Column:
     """A struct of the tables a statement reads and writes, each once, and its joins."""
-    read = F.aggregate(tokens(text), F.expr(_BEGIN), _step)
+    read = F.aggregate(F.transform(F.transform(tokens(text), _worded), _classed), F.expr(_BEGIN), _step)
     return F.transform(
         F.array(read), lambda found: F.struct(F.array_distinct(found["reads"]).alias("reads"), F.array_distinct(found["writes"]).alias("writes"), found["joins"].alias("joins"))
     )[0]
