@@ -6,6 +6,7 @@ any number of texts is rewritten in a single JVM-side projection over the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -55,6 +56,68 @@ class Rule:
         )
 
 
+def required_text(rule: Rule) -> str | None:
+    """What a text must hold, in any letter case, for the rule's pattern to match; None if nothing can be told.
+
+    The longest run of plain characters that every match has.
+    Brackets, classes, escapes of classes and optional characters end a run;
+    a choice at the top, and what this reading does not know, tell nothing.
+    """
+    runs, run, depth, i, pattern = [], "", 0, 0, rule.source
+
+    def end() -> None:
+        nonlocal run
+        runs.append(run)
+        run = ""
+
+    while i < len(pattern):
+        sign, i = pattern[i], i + 1
+        if sign == "\\":
+            escaped, i = pattern[i : i + 1], i + 1
+            if escaped and not escaped.isalnum() and escaped.isascii():
+                run += escaped if depth == 0 else ""
+                continue
+            if escaped not in set("sSdDwWbB"):
+                return None
+            end()
+        elif sign == "[":
+            # A class may hold brackets of its own only as escapes here.
+            close = re.compile(r"\[\^?\]?(?:\\.|[^\[\]\\])*\]").match(pattern, i - 1)
+            if close is None:
+                return None
+            end()
+            i = close.end()
+        elif sign == "(":
+            if pattern.startswith("?", i) and not pattern.startswith(("?:", "?=", "?!", "?<=", "?<!"), i):
+                return None
+            end()
+            depth += 1
+        elif sign == ")":
+            depth -= 1
+        elif sign in "?*{":
+            if depth == 0:
+                run = run[:-1]
+                end()
+            close = pattern.find("}", i) if sign == "{" else i - 1
+            if close < 0:
+                return None
+            i = close + 1
+            i += pattern.startswith(("?", "+"), i)
+        elif sign == "+":
+            end()
+            i += pattern.startswith(("?", "+"), i)
+        elif sign in ".^$":
+            end()
+        elif sign == "|":
+            if depth == 0:
+                return None
+        elif depth == 0:
+            run += sign
+    end()
+    found = max(runs, key=len).lower()
+    return found if found and found.isascii() and depth == 0 else None
+
+
 # Default rules (fixed values). TOP is a pattern, so that it leaves words that
 # end in it alone.
 DEFAULT_RULES = (
@@ -112,19 +175,33 @@ def deduplicated(config: DataFrame, keys: Sequence[str], rule_id: str) -> DataFr
     )
 
 
+# From so many rules on, a text is first asked for what a pattern requires; for fewer, running all patterns costs no more.
+MANY_RULES = 32
+
+
 def apply_rules(text: Column, rules: Sequence[Rule]) -> Column:
-    """Fold the rules over the text, in the order given; they travel as one array, however many there are."""
+    """Fold the rules over the text, in the order given; they travel as one array, however many there are.
+
+    Literal rules are plain replacements. Where there are many rules, a pattern
+    runs only over a text that holds, as the rules before have left it, the
+    plain part that the pattern requires.
+    """
     if not rules:
         return text
-    steps = F.array(
-        *[
-            F.struct(F.lit(pattern).alias("pattern"), F.lit(target).alias("target"))
-            for pattern, target in (rule.pattern() for rule in rules)
-        ]
-    )
-    return F.aggregate(
-        steps, text, lambda done, step: F.regexp_replace(done, step["pattern"], step["target"])
-    )
+    steps = []
+    for rule in rules:
+        pattern, target = rule.pattern()
+        literal = rule.kind == FUNCTION_MAP and not rule.is_regex
+        required = None if literal or len(rules) < MANY_RULES else required_text(rule)
+        texts = {"literal": rule.source if literal else None, "pattern": pattern, "target": rule.target if literal else target, "required": required}
+        steps.append(F.struct(*[F.lit(value).cast("string").alias(name) for name, value in texts.items()]))
+
+    def applied(done: Column, step: Column) -> Column:
+        replaced = F.regexp_replace(done, step["pattern"], step["target"])
+        absent = step["required"].isNotNull() & ~F.contains(F.lower(done), step["required"])
+        return F.when(step["literal"].isNotNull(), F.replace(done, step["literal"], step["target"])).when(absent, done).otherwise(replaced)
+
+    return F.aggregate(F.array(*steps), text, applied)
 
 
 def apply_kind(text: Column, rules: Iterable[Rule], kind: str) -> Column:
