@@ -250,7 +250,8 @@ class Transfer:
         """Load every translated table in order of priority; one failure stops no other."""
         result = BatchResult()
         with self.step("LOAD", "LOAD_BATCH") as step:
-            work = pending_work(self.registry()).select("source_schema", "source_table").collect()
+            work = pending_work(self.registry()).select("priority", "source_table", "source_schema").collect()
+            work = [(row.source_schema, row.source_table) for row in sorted(work, key=lambda row: (row.priority is None, row.priority or 0, row.source_table, row.source_schema))]
             names = Counter(table.upper() for _, table in work)
             for schema, table in work:
                 try:
@@ -351,7 +352,9 @@ class Transfer:
         return differences(compared)
 
     def close(self) -> None:
+        """Mark the run as completed, and compact what it wrote."""
         run = self.store.current(RUNS, self.run_id)
         self.store.change(
             RUNS, run, self.run_id, status="COMPLETED", completed_at=F.localtimestamp()
         )
+        self.store.compact(self.run_id)
