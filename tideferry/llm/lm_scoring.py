@@ -9,7 +9,7 @@ weighted probabilities over the training texts. A score is the log10
 probability of the whole text and its end.
 
 How it is spread: runs of ``depth`` + 1 bytes (grams, at most eight bytes, one
-number) and words are counted in the tasks and added up by shuffles. All grams
+number) and words, by 64-bit hashes, are counted in the tasks and added up by shuffles. All grams
 with the same three bytes before the last hold every level below those three,
 and their sums go on by context of three bytes. All of those with the same two
 bytes before the last hold the next two levels. The two upper levels are at
@@ -27,7 +27,6 @@ and ``text`` are read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideferry.llm.words import id_and_text, parts, plain_words, texts
+from tideferry.llm.hashing import Powers, mixed, word_hashes
+from tideferry.llm.words import id_and_text, parts, texts
 from tideferry.sources.shared import scratch_path
 
 # Bytes of context if none is asked for, of the registered query, and the most that fit a number beside the last byte.
@@ -45,10 +45,9 @@ QUERY_DEPTH = 5
 MOST_DEPTH = 7
 START, END = 0xFE, 0xFF
 
-# Bounds of what is broadcast: entries, and bytes of a word.
+# Bounds of what is broadcast, in entries.
 HEAVY_GRAMS = 1 << 20
 HEAVY_WORDS = 1 << 19
-HEAVY_BYTES = 64
 
 # Contexts of two bytes are dealt to so many groups, those of three to more if there are more grams than this in each.
 GROUPS = 1024
@@ -75,33 +74,90 @@ def _grams(documents: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return codes[keep], np.cumsum(lengths) - lengths
 
 
+WORD, GRAM = 0, 1
+
+# The end of a text, as a word's hash.
+END_WORD = 0
+
+
+def _words(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts and of one end for each, and where each text begins."""
+    found = word_hashes([document.lower() for document in documents], _POWERS)
+    end = np.array([END_WORD], dtype=np.uint64)
+    lengths = np.array([len(words) for words in found], dtype=np.int64) + 1
+    return np.concatenate([some for words in found for some in (words, end)]), np.cumsum(lengths) - lengths
+
+
+_POWERS = Powers()
+
+
 def _counts(docs: DataFrame, depth: int) -> DataFrame:
-    """Words (kind ``w``) and grams (kind ``g``) with their counts, in training texts and in all."""
+    """Words and grams, as numbers, with their counts in training texts and in all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
             found = texts(part)
-            learnt = [not out for out in part.column("held_out").to_pylist()]
-            every, trained = Counter(), Counter()
-            for text, learn in zip(found, learnt):
-                words = plain_words(text.lower())
-                every.update(words)
-                every[b""] += 1
-                if learn:
-                    trained.update(words)
-                    trained[b""] += 1
-            words = list(every)
-            columns = {"word": pa.array(words, pa.binary()), "gram": pa.array([0] * len(words), pa.int64()), "trained": pa.array([trained[w] for w in words], pa.int64())}
-            yield pa.RecordBatch.from_pydict({"kind": ["w"] * len(words), **columns, "n": pa.array([every[w] for w in words], pa.int64())})
-            grams, begins = _grams(found, depth)
-            learn = np.repeat(learnt, np.diff(np.append(begins, len(grams))))
-            for some, times in ((grams[learn], 1), (grams[~learn], 0)):
-                distinct, n = np.unique(some, return_counts=True)
-                columns = {"word": pa.array([b""] * len(n), pa.binary()), "gram": pa.array(distinct.view(np.int64)), "trained": pa.array(n.astype(np.int64) * times)}
-                yield pa.RecordBatch.from_pydict({"kind": pa.array(["g"] * len(n), pa.string()), **columns, "n": pa.array(n.astype(np.int64))})
-
-    counted = docs.select("text", "held_out").mapInArrow(count, "kind string, word binary, gram bigint, trained bigint, n bigint")
-    return counted.groupBy("kind", "word", "gram").agg(F.sum("trained").alias("trained"), F.sum("n").alias("n"))
+            learnt = np.array([not out for out in part.column("held_out").to_pylist()], dtype=bool)
+            for kind, (codes, begins) in ((WORD, _words(found)), (GRAM, _grams(found, depth))):
+                learn = np.repeat(learnt, np.diff(np.append(begins, len(codes))))
+                for some, times in ((codes[learn], 1), (codes[~learn], 0)):
+                    distinct, n = np.unique(some, return_counts=True)
+                    columns = [np.full(len(n), kind, dtype=np.int32), distinct.view(np.int64), n.astype(np.int64) * times, n.astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["kind", "code", "trained", "n"])
+
+    counted = docs.select("text", "held_out").mapInArrow(count, "kind int, code bigint, trained bigint, n bigint")
+    return counted.groupBy("kind", "code").agg(F.sum("trained").alias("trained"), F.sum("n").alias("n"))
+
+
+class _Table:
+    """Values by code, in open addressing: a code stands in its own slot or soon after. Looked up for many codes at once."""
+
+    EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)  # no gram, as no text holds the byte 0xFF, and no word's hash but one in 2**64
+
+    def __init__(self, codes: np.ndarray, *values: np.ndarray) -> None:
+        size = 1 << max(4, int(2 * len(codes)).bit_length())
+        self.mask, self.steps = np.uint64(size - 1), 0
+        self.codes = np.full(size, self.EMPTY)
+        self.values = [np.zeros(size, dtype=value.dtype) for value in values]
+        left = np.arange(len(codes))
+        while len(left):
+            slot = (mixed(codes[left]) + np.uint64(self.steps)) & self.mask
+            free = self.codes[slot] == self.EMPTY
+            taken, first = np.unique(slot[free], return_index=True)
+            placed = left[free][first]
+            self.codes[taken] = codes[placed]
+            for own, value in zip(self.values, values):
+                own[taken] = value[placed]
+            left = np.setdiff1d(left, placed, assume_unique=True)
+            self.steps += 1
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slots of some codes, and whether they are there."""
+        slots = (mixed(codes) & self.mask).astype(np.int64)
+        held = self.codes[slots]
+        found = held == codes
+        open_ = np.flatnonzero(~found & (held != self.EMPTY))
+        for _ in range(1, self.steps):
+            if not len(open_):
+                break
+            slots[open_] = (slots[open_] + 1) & int(self.mask)
+            held = self.codes[slots[open_]]
+            found[open_] = held == codes[open_]
+            open_ = open_[(held != codes[open_]) & (held != self.EMPTY)]
+        return slots, found
+
+
+def _rare(codes: np.ndarray, begins: np.ndarray, light: np.ndarray) -> pa.ListArray:
+    """For every text, its codes at some places, each with how often it has it."""
+    rows = np.searchsorted(begins, light, side="right") - 1
+    order = np.lexsort((codes[light], rows))
+    rows, some = rows[order], codes[light][order]
+    new = np.ones(len(some), dtype=bool)
+    new[1:] = (some[1:] != some[:-1]) | (rows[1:] != rows[:-1])
+    at = np.flatnonzero(new)
+    times = np.diff(np.append(at, len(some)))
+    pairs = pa.StructArray.from_arrays([pa.array(some[at].view(np.int64)), pa.array(times.astype(np.int64))], names=["code", "times"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[at], np.arange(len(begins) + 1)).astype(np.int32)), pairs)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -303,86 +359,57 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     docs = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id")))
     path = scratch_path(spark, "lm-counts")
     _counts(docs, depth).write.partitionBy("kind").parquet(path)
-    schema = "word binary, gram bigint, trained bigint, n bigint, kind string"
-    counts = spark.read.schema(schema).parquet(path)
+    counts = spark.read.schema("code bigint, trained bigint, n bigint, kind int").parquet(path)
 
-    words = counts.filter("kind = 'w'").select("word", "trained", "n")
+    words = counts.filter(F.col("kind") == WORD).select("code", "trained", "n")
     totals = words.agg(F.sum("trained").alias("tokens"), F.count(F.when(F.col("trained") > 0, 1)).alias("distinct")).first()
     tokens, distinct = totals.tokens or 0, totals.distinct
-    words = words.select("word", "n", "trained", F.log10((F.col("trained") + 1) / F.lit(float(tokens + distinct + 1))).alias("log10"))
+    words = words.select("code", "n", "trained", F.log10((F.col("trained") + 1) / F.lit(float(tokens + distinct + 1))).alias("log10"))
     path = scratch_path(spark, "lm-grams")
-    gram_scores(counts.filter("kind = 'g'").select("gram", "trained", "n"), depth).write.parquet(path)
-    grams = spark.read.schema("gram bigint, n bigint, log10 double").parquet(path)
+    gram_scores(counts.filter(F.col("kind") == GRAM).select(F.col("code").alias("gram"), "trained", "n"), depth).write.parquet(path)
+    grams = spark.read.schema("gram bigint, n bigint, log10 double").parquet(path).withColumnRenamed("gram", "code")
 
-    fits = F.length("word") <= HEAVY_BYTES
-    many_words, many_grams = _frequent(words.filter(fits), HEAVY_WORDS) & fits, _frequent(grams, HEAVY_GRAMS)
-    heavy_words = {bytes(row.word): (row.log10, row.trained > 0) for row in words.filter(many_words).select("word", "log10", "trained").toLocalIterator()}
     # As Arrow batches: rows of Python objects would take many times the memory.
-    codes = grams.filter(many_grams).select("gram", "log10").toArrow()
-    numbers = codes.column("gram").to_numpy().view(np.uint64)
-    order = np.argsort(numbers)
-    sent = spark.sparkContext.broadcast((heavy_words, numbers[order], codes.column("log10").to_numpy()[order]))
+    many_words, many_grams = _frequent(words, HEAVY_WORDS), _frequent(grams, HEAVY_GRAMS)
+    heavy = words.filter(many_words).select("code", "log10", (F.col("trained") > 0).alias("known")).toArrow()
+    known_words = _Table(heavy.column("code").to_numpy().view(np.uint64), heavy.column("log10").to_numpy(), heavy.column("known").to_numpy())
+    heavy = grams.filter(many_grams).select("code", "log10").toArrow()
+    known_grams = _Table(heavy.column("code").to_numpy().view(np.uint64), heavy.column("log10").to_numpy())
+    sent = spark.sparkContext.broadcast((known_words, known_grams))
 
-    schema = """doc_id bigint, digest bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double,
-                rare_words array<struct<word:binary,times:bigint>>, rare_grams array<struct<gram:bigint,times:bigint>>"""
-    names = ["doc_id", "digest", "held_out", "n_bytes", "n_tokens", "n_known", "base", "score", "rare_words", "rare_grams"]
-    rare_word, rare_gram = (pa.list_(pa.struct([(name, kind), ("times", pa.int64())])) for name, kind in (("word", pa.binary()), ("gram", pa.int64())))
+    pairs = "array<struct<code:bigint,times:bigint>>"
+    schema = f"doc_id bigint, digest bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double, rare_words {pairs}, rare_grams {pairs}"
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words, codes, logs = sent.value
+        known_words, known_grams = sent.value
         for part in parts(batches):
             some = texts(part)
-            n_tokens, n_known, base, rare_words = [], [], [], []
-            for text in some:
-                tally = Counter(plain_words(text.lower()))
-                tally[b""] += 1
-                total, known, rare = 0.0, 0, []
-                for word, times in tally.items():
-                    entry = known_words.get(word)
-                    if entry is None:
-                        rare.append((word, times))
-                    else:
-                        total += times * entry[0]
-                        known += times * entry[1]
-                n_tokens.append(sum(tally.values()))
-                n_known.append(known)
-                base.append(total)
-                rare_words.append([{"word": w, "times": t} for w, t in rare])
+            words, begins = _words(some)
+            slots, found = known_words.find(words)
+            base = np.where(found, known_words.values[0][slots], 0.0)
+            known = (found & known_words.values[1][slots]).astype(np.int64)
+            columns = [pa.array([len(t) for t in some], pa.int64()), pa.array(np.diff(np.append(begins, len(words))))]
+            columns += [pa.array(np.add.reduceat(known, begins)), pa.array(np.add.reduceat(base, begins))]
+            rare_words = _rare(words, begins, np.flatnonzero(~found))
             grams, begins = _grams(some, depth)
-            distinct, of = np.unique(grams, return_inverse=True)
-            at = np.minimum(np.searchsorted(codes, distinct), max(len(codes) - 1, 0))
-            heavy = codes[at] == distinct if len(codes) else np.zeros(len(distinct), dtype=bool)
-            each = np.where(heavy, logs[at], 0.0)[of] if len(codes) else np.zeros(len(of))
-            light = np.flatnonzero(~heavy[of])
-            rows = np.searchsorted(begins, light, side="right") - 1
-            pairs, times = np.unique(rows * len(distinct) + of[light], return_counts=True)
-            rows, which = np.divmod(pairs, len(distinct))
-            rare_pairs = pa.StructArray.from_arrays([pa.array(distinct[which].view(np.int64)), pa.array(times.astype(np.int64))], names=["gram", "times"])
-            rare_grams = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(len(some) + 1)).astype(np.int32)), rare_pairs)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(part.column(name) for name in names[:3]),
-                    pa.array([len(t) for t in some], pa.int64()),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(np.add.reduceat(each, begins)),
-                    pa.array(rare_words, rare_word),
-                    rare_grams,
-                ],
-                names=names,
-            )
+            slots, found = known_grams.find(grams)
+            each = np.where(found, known_grams.values[0][slots], 0.0)
+            columns += [pa.array(np.add.reduceat(each, begins)), rare_words, _rare(grams, begins, np.flatnonzero(~found))]
+            yield pa.RecordBatch.from_arrays([*(part.column(name) for name in names[:3]), *columns], names=names)
 
     path = scratch_path(spark, "lm-scores")
     # Equal rows share a digest, so that what is joined for them counts once.
     docs.select("doc_id", F.xxhash64("text").alias("digest"), "held_out", "text").mapInArrow(look_up, schema).write.parquet(path)
     read = spark.read.schema(schema).parquet(path)
 
-    rare = read.select("doc_id", "digest", F.explode("rare_words").alias("rare")).select("doc_id", "digest", "rare.word", "rare.times")
-    rare = rare.groupBy("doc_id", "digest", "word").agg(F.max("times").alias("times")).join(words.filter(~many_words), "word")
+    def joined(rare: str, table: DataFrame) -> DataFrame:
+        rows = read.select("doc_id", "digest", F.explode(rare).alias("rare")).select("doc_id", "digest", "rare.code", "rare.times")
+        return rows.groupBy("doc_id", "digest", "code").agg(F.max("times").alias("times")).join(table, "code")
+
+    rare = joined("rare_words", words.filter(~many_words))
     rare = rare.select("doc_id", "digest", F.when(F.col("trained") > 0, F.col("times")).otherwise(0).alias("known"), (F.col("times") * F.col("log10")).alias("base"), F.lit(0.0).alias("score"))
-    deep = read.select("doc_id", "digest", F.explode("rare_grams").alias("rare")).select("doc_id", "digest", "rare.gram", "rare.times")
-    deep = deep.groupBy("doc_id", "digest", "gram").agg(F.max("times").alias("times")).join(grams.filter(~many_grams), "gram")
+    deep = joined("rare_grams", grams.filter(~many_grams))
     deep = deep.select("doc_id", "digest", F.lit(0).alias("known"), F.lit(0.0).alias("base"), (F.col("times") * F.col("log10")).alias("score"))
     more = rare.unionByName(deep).groupBy("doc_id", "digest").agg(*(F.sum(name).alias("more_" + name) for name in ("known", "base", "score")))
     more = more.withColumnsRenamed({"doc_id": "more_id", "digest": "more_digest"})
