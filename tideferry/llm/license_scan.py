@@ -1,25 +1,31 @@
 """License notices in documents: an exact set-similarity join of text blocks with templates.
 
-A block is a line, a set of words. It meets a template when it contains at
-least ``THRESHOLD`` of the template's distinct words. Template words are
-ordered by how many documents hold them, rarest first. A block can only meet a
-template if it holds one of the template's first words in that order (prefix
-filter), has enough words (length filter), and if enough words of both follow
-the first common one (positional filter); what is left is compared in full.
-The templates are this module's own short list, so only word counts of their
-vocabulary are gathered, and no document is moved.
-
-Defined results: null and empty texts have no words, labels or blocks, and
-score 0. Equal rows and rows without an id are scanned like any other; an
-empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
-
-``scan`` looks at lines, as its SQL does, so a notice that wraps is not compared
-whole there. ``notices`` slides windows of words over the whole text, whatever
-its lines.
+A block is a window of consecutive words, from a word of the template on, a
+little longer than the template, whatever lines it stands on. It meets the
+template when it contains at least ``THRESHOLD_PERCENT`` of the template's
+distinct words, all words that name the license, and no word that makes it
+another one between these names or right behind them.
+
+Template words are ordered by how many documents hold them, rarest first. A
+block can only meet a template if it holds one of the template's first words in
+that order (prefix filter), if enough words are left from its begin on (length
+filter), and if enough of the places in it hold words of the template
+(positional filter); what is left is compared in full. The templates are this
+module's own short list, so only word counts of their vocabulary are gathered,
+and no document is moved.
+
+Defined results: null and empty texts have no words or labels, and score 0.
+Texts of any length are scanned whole. Equal rows and rows without an id are
+scanned like any other; an empty table gives an empty result. Only ``doc_id``
+and ``text`` are read, whatever else the table holds.
+
+Labels of base phrases stay, as ``scan`` reports them beside those of the
+templates; ``notices`` leaves out phrases that go on to name a variant.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -87,39 +93,55 @@ def word_order(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int
     return {word: rank for rank, word in enumerate(ranked)}
 
 
-class _Index:
-    """Templates as ordered sets, and which of them each prefix word can lead to."""
-
-    def __init__(self, templates: Sequence[frozenset[bytes]], order: dict[bytes, int]):
-        self.order = order
-        self.sorted = [sorted(template, key=order.__getitem__) for template in templates]
-        self.sets = list(templates)
+class _Windows:
+    """Templates as ordered sets, which of them each prefix word can lead to, and the windows of a text that meet them."""
+
+    def __init__(self, templates: Sequence[Sequence[bytes]], order: dict[bytes, int]):
+        self.sets = [frozenset(template) for template in templates]
+        self.widths = [len(template) + max(SLACK_WORDS, len(template) // 4) for template in templates]
+        self.needed = [_needed(len(template)) for template in self.sets]
+        self.names = [template & NAMING for template in self.sets]
+        self.leads: list[frozenset[bytes]] = []
         self.by_word: dict[bytes, list[int]] = {}
-        for which, template in enumerate(self.sorted):
-            for word in template[: len(template) - _needed(len(template)) + 1]:
+        for which, template in enumerate(self.sets):
+            first = sorted(template, key=order.__getitem__)[: len(template) - self.needed[which] + 1]
+            self.leads.append(frozenset(first))
+            for word in first:
                 self.by_word.setdefault(word, []).append(which)
         self.prefix = frozenset(self.by_word)
-        self.least = min(_needed(len(template)) for template in templates)
-
-    def met(self, block: list[bytes]) -> Iterator[tuple[int, float]]:
-        """Templates a block meets, and how much of them it contains."""
-        if len(block) < self.least:
-            return
-        leads = self.prefix.intersection(block)
-        if not leads:
-            return
-        words = set(block)
-        known = sorted((word for word in words if word in self.order), key=self.order.__getitem__)
-        for which in sorted({w for lead in leads for w in self.by_word[lead]}):
-            template, needed = self.sorted[which], _needed(len(self.sorted[which]))
-            if len(words) < needed:
+
+    def met(self, words: list[bytes]) -> Iterator[tuple[int, float]]:
+        """Templates that some window meets, and the most that one window contains of them."""
+        held = set(words)
+        led = {which for lead in self.prefix & held for which in self.by_word[lead]}
+        for which in sorted(led):
+            template, needed = self.sets[which], self.needed[which]
+            if len(template & held) < needed or not self.names[which] <= held:
                 continue
-            place, first = next((p, w) for p, w in enumerate(template) if w in words)
-            if min(len(template) - place, len(known) - known.index(first)) < needed:
+            best = max(self._contained(words, which), default=0)
+            if best:
+                yield which, best / len(template)
+
+    def _contained(self, words: list[bytes], which: int) -> Iterator[int]:
+        """For every window that meets a template, how many of its words it holds."""
+        template, needed, width, names = self.sets[which], self.needed[which], self.widths[which], self.names[which]
+        places = [place for place, word in enumerate(words) if word in template]
+        leads = [place for place in places if words[place] in self.leads[which]]
+        for first, place in enumerate(places):
+            lead = bisect_left(leads, place)
+            if lead == len(leads) or len(words) - place < needed:
+                return
+            if leads[lead] >= place + width or bisect_left(places, place + width, first) - first < needed:
                 continue
-            common = len(words & self.sets[which])
-            if common >= needed:
-                yield which, common / len(template)
+            window = words[place : place + width]
+            common = template.intersection(window)
+            if len(common) >= needed and names <= common and self._named(words[place : place + width + 1], names):
+                yield len(common)
+
+    def _named(self, window: list[bytes], names: frozenset[bytes]) -> bool:
+        """Whether no other license is named from the first to the last of the names, or by the word behind."""
+        at = [window.index(name) for name in names]
+        return not at or not VARIANTS.intersection(window[min(at) : max(at) + 2]) - names
 
 
 def _places(words: list[bytes], phrase: bytes) -> list[int]:
@@ -134,34 +156,33 @@ def _places(words: list[bytes], phrase: bytes) -> list[int]:
     return found
 
 
-_SCHEMA = "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double, n_blocks bigint"
+_SCHEMA = "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double, n_templates bigint"
 _KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64())
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per document: base phrases and where they stand, all labels, the best containment, blocks that meet a template."""
+    """One row per document: base phrases and where they stand, all labels, the best containment, and how many templates are met."""
     docs = id_and_text(docs)
     labels = [label for label, _ in TEMPLATES]
-    templates = [frozenset(item_words(notice.encode())) for _, notice in TEMPLATES]
-    index = _Index(templates, word_order(docs, frozenset().union(*templates)))
+    templates = [item_words(notice.encode()) for _, notice in TEMPLATES]
+    windows = _Windows(templates, word_order(docs, frozenset().union(*templates)))
     phrases = [(phrase.encode(), phrase.split()[-1].encode(), label) for phrase, label in PHRASES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             rows = []
             for text in texts(batch):
-                blocks = [item_words(line) for line in text.split(b"\n")]
-                words = [word for block in blocks for word in block]
+                words = item_words(text)
                 base, places, held = set(), [], set(words)
                 for phrase, last, label in phrases:
                     if last in held and (found := _places(words, phrase)):
                         base.add(label)
                         places += found
-                met = [list(index.met(block)) for block in blocks]
-                found = base.union(labels[which] for block in met for which, _ in block)
-                score = max([1.0 if base else 0.0, *(share for block in met for _, share in block)])
+                met = list(windows.met(words))
+                found = base.union(labels[which] for which, _ in met)
+                score = max([1.0 if base else 0.0, *(share for _, share in met)])
                 rows.append(
-                    (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(found)), score, sum(map(bool, met)))
+                    (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(found)), score, len(met))
                 )
             columns = list(zip(*rows)) or [()] * (len(_KINDS) - 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, _KINDS[1:]))], names=[f.split()[0] for f in _SCHEMA.split(", ")])
@@ -169,53 +190,6 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _SCHEMA)
 
 
-class _Windows:
-    """Templates met by windows of words of a whole text, a little longer than the template."""
-
-    def __init__(self, templates: Sequence[frozenset[bytes]], lengths: Sequence[int]):
-        self.templates = list(templates)
-        self.names = [template & NAMING for template in templates]
-        self.widths = [length + max(SLACK_WORDS, length // 4) for length in lengths]
-
-    def met(self, words: list[bytes]) -> Iterator[tuple[int, float]]:
-        """Templates that some window meets, and the most that one window contains of them."""
-        held = set(words)
-        places: dict[bytes, list[int]] | None = None
-        for which, template in enumerate(self.templates):
-            needed = _needed(len(template))
-            if len(template & held) < needed or not self.names[which] <= held:
-                continue
-            if places is None:
-                places = {}
-                for place, word in enumerate(words):
-                    places.setdefault(word, []).append(place)
-            found = sorted((place, word) for word in template & held for place in places[word])
-            window: Counter[bytes] = Counter()
-            latest: dict[bytes, int] = {}
-            left = best = 0
-            for place, word in found:
-                window[word] += 1
-                latest[word] = place
-                while found[left][0] <= place - self.widths[which]:
-                    gone = found[left][1]
-                    window[gone] -= 1
-                    if not window[gone]:
-                        del window[gone]
-                    left += 1
-                if len(window) > best and len(window) >= needed and self._named(words, which, window, latest):
-                    best = len(window)
-            if best:
-                yield which, best / len(template)
-
-    def _named(self, words: list[bytes], which: int, window: Counter[bytes], latest: dict[bytes, int]) -> bool:
-        """Whether a window names the license of its template and no variant of it."""
-        names = self.names[which]
-        if not all(name in window for name in names):
-            return False
-        at = [latest[name] for name in names]
-        return not at or not VARIANTS.intersection(words[min(at) : max(at) + 2]) - names
-
-
 def _names_phrase(words: list[bytes], phrase: bytes) -> bool:
     """Whether a base phrase stands somewhere without a variant's word right after it."""
     size = phrase.count(b" ") + 1
@@ -227,7 +201,7 @@ def notices(docs: DataFrame) -> DataFrame:
     docs = id_and_text(docs)
     labels = [label for label, _ in TEMPLATES]
     lists = [item_words(notice.encode()) for _, notice in TEMPLATES]
-    windows = _Windows([frozenset(words) for words in lists], [len(words) for words in lists])
+    windows = _Windows(lists, word_order(docs, frozenset().union(*lists)))
     phrases = [(phrase.encode(), label) for phrase, label in PHRASES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,28 +219,39 @@ def notices(docs: DataFrame) -> DataFrame:
 
 
 def sql(documents: str) -> str:
-    """The same scan in DuckDB, without filters."""
+    """The same scan in DuckDB, without filters but the ones that the definition has."""
     phrases = ", ".join(f"({phrase.split()}, '{label}')" for phrase, label in PHRASES)
-    templates = ", ".join(f"({sorted({w.decode() for w in item_words(notice.encode())})}, '{label}')" for label, notice in TEMPLATES)
+    rows = []
+    for label, notice in TEMPLATES:
+        words = [word.decode() for word in item_words(notice.encode())]
+        names = sorted(set(words) & {name.decode() for name in NAMING})
+        rows.append(f"({sorted(set(words))}, {names}::VARCHAR[], {len(words) + max(SLACK_WORDS, len(words) // 4)}, '{label}')")
+    variants = sorted(word.decode() for word in VARIANTS)
     return f"""
     WITH phrases(phrase, label) AS (VALUES {phrases}),
-    templates(template, label) AS (VALUES {templates}),
-    read AS (SELECT doc_id, text, {sql_words("text", ITEM_WORD, lower=True)} AS words FROM ({documents}) AS source),
+    templates(template, names, width, label) AS (VALUES {", ".join(rows)}),
+    read AS (SELECT doc_id, {sql_words("text", ITEM_WORD, lower=True)} AS words FROM ({documents}) AS source),
     placed AS (
         SELECT doc_id, i - 1 AS place, label FROM read, phrases, unnest(range(1, len(words) - len(phrase) + 2)) AS t(i)
         WHERE words[i] = phrase[1] AND list_slice(words, i, i + len(phrase) - 1) = phrase),
     based AS (SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels FROM placed GROUP BY doc_id),
-    blocks AS (
-        SELECT doc_id, block, list_distinct({sql_words("line", ITEM_WORD, lower=True)}) AS words
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS block FROM read) AS l),
+    held AS (
+        SELECT * FROM read, templates
+        WHERE 100 * len(list_intersect(words, template)) >= {THRESHOLD_PERCENT} * len(template) AND len(list_intersect(words, names)) = len(names)),
+    windows AS (
+        SELECT doc_id, template, names, label, list_slice(words, i, i + width - 1) AS seen, list_slice(words, i, i + width) AS further
+        FROM held, unnest(range(1, len(words) + 1)) AS t(i) WHERE list_contains(template, words[i])),
     met AS (
-        SELECT doc_id, block, label, len(list_intersect(words, template)) / len(template) AS share FROM blocks, templates
-        WHERE 100 * len(list_intersect(words, template)) >= {THRESHOLD_PERCENT} * len(template)),
-    scored AS (SELECT doc_id, max(share) AS share, count(DISTINCT block) AS n, list(DISTINCT label) AS labels FROM met GROUP BY doc_id)
+        SELECT doc_id, template, label, len(list_intersect(seen, template)) / len(template) AS share
+        FROM (SELECT *, list_transform(names, lambda name: list_position(further, name)) AS places FROM windows) AS w
+        WHERE 100 * len(list_intersect(seen, template)) >= {THRESHOLD_PERCENT} * len(template) AND len(list_intersect(seen, names)) = len(names)
+          AND (len(names) = 0 OR len(list_filter(list_slice(further, list_min(places), list_max(places) + 1),
+                                                 lambda word: list_contains({variants}, word) AND NOT list_contains(names, word))) = 0)),
+    scored AS (SELECT doc_id, max(share) AS share, count(DISTINCT template) AS n, list(DISTINCT label) AS labels FROM met GROUP BY doc_id)
     SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(based.n, 0) AS BIGINT) AS n_base, first_word, last_word,
            array_to_string(list_sort(coalesce(based.labels, [])), ',') AS base_labels,
            array_to_string(list_sort(list_distinct(coalesce(based.labels, []) || coalesce(scored.labels, []))), ',') AS labels,
-           CAST(greatest(CASE WHEN based.n > 0 THEN 1 ELSE 0 END, coalesce(share, 0)) AS DOUBLE) AS score, CAST(coalesce(scored.n, 0) AS BIGINT) AS n_blocks
+           CAST(greatest(CASE WHEN based.n > 0 THEN 1 ELSE 0 END, coalesce(share, 0)) AS DOUBLE) AS score, CAST(coalesce(scored.n, 0) AS BIGINT) AS n_templates
     FROM read LEFT JOIN based USING (doc_id) LEFT JOIN scored USING (doc_id)"""
 
 
