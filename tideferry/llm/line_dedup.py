@@ -3,7 +3,8 @@
 A line is its words. It goes if an equal line, or one that differs by one word
 added, dropped or changed, stands earlier in the corpus: in a document with a
 smaller id, or before it in its own. Lines of fewer than ``NEAR_WORDS`` words
-must be equal. Every step is a column expression, a grouping or a join.
+must be equal: one of their words is more than a fifth of them, which is less
+alike than near copies have to be. Every step is a column expression, a grouping or a join.
 
 Documents are numbered in order, so a line's place is one number, and lines can
 be summed up by hash. Equal lines become one, at their first place. Two lines
@@ -31,7 +32,8 @@ from tideferry.functions.frames import computed_once
 from tideferry.llm.numbering import running
 from tideferry.llm.words import BLANKS, PLAIN_WORD, words_of
 
-NEAR_WORDS = 8
+# One word in so many is a similarity of 0.8.
+NEAR_WORDS = 5
 
 # A place is a document's number and the line's, which has so many bits.
 _LINE_BITS = 28
