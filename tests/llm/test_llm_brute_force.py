@@ -231,7 +231,7 @@ def test_line_dedup(spark, seed):
                 equal += 1
                 continue
             if words:
-                same = len(words) >= 8 and any(len(f) >= 8 and distance_one(f, words) for f in firsts)
+                same = len(words) >= line_dedup.NEAR_WORDS and any(len(f) >= line_dedup.NEAR_WORDS and distance_one(f, words) for f in firsts)
                 firsts.append(words)
                 if same:
                     near += 1
@@ -269,18 +269,38 @@ def test_ablation(spark):
         assert row.n_kept == sum(m & mask == 0 for m in masks)
 
 
+def plain_windows(words, templates):
+    """Every window of every template, compared in full."""
+    best = {}
+    for which, listed in enumerate(templates):
+        template, width = set(listed), len(listed) + max(license_scan.SLACK_WORDS, len(listed) // 4)
+        names = template & license_scan.NAMING
+        for place, word in enumerate(words):
+            window, further = words[place : place + width], words[place : place + width + 1]
+            share = len(template & set(window)) / len(template)
+            if word not in template or 100 * share < 80 or not names <= set(window):
+                continue
+            at = [further.index(name) for name in names]
+            if not at or not (license_scan.VARIANTS - names) & set(further[min(at) : max(at) + 2]):
+                best[which] = max(best.get(which, 0), share)
+    return best
+
+
 def test_license_filters_lose_nothing():
     draw = random.Random(5)
-    templates = [frozenset(license_scan.item_words(notice.encode())) for _, notice in license_scan.TEMPLATES]
-    vocabulary = sorted(set().union(*templates))
+    templates = [license_scan.item_words(notice.encode()) for _, notice in license_scan.TEMPLATES]
+    vocabulary = sorted({word for template in templates for word in template})
+    met = 0
     for _ in range(20):
         order = {word: rank for rank, word in enumerate(draw.sample(vocabulary, len(vocabulary)))}
-        index = license_scan._Index(templates, order)
+        windows = license_scan._Windows(templates, order)
         for _ in range(50):
-            block = draw.sample(sorted(draw.choice(templates)), 3) + draw.sample(vocabulary, 15) + sorted(draw.choice(templates)) + [b"other"] * 3
-            block = [word for word in block if draw.random() < 0.9]
-            expected = {i: len(t & set(block)) / len(t) for i, t in enumerate(templates) if 100 * len(t & set(block)) >= 80 * len(t)}
-            assert dict(index.met(block)) == expected
+            words = [word for _ in range(3) for word in [*draw.choice(templates), *draw.sample(vocabulary, 4), *[b"other"] * draw.randint(0, 9)]]
+            words = [word for word in words if draw.random() < 0.93]
+            expected = plain_windows(words, templates)
+            assert dict(windows.met(words)) == expected
+            met += len(expected)
+    assert met > 500
 
 
 WRAPPED = {
@@ -320,6 +340,14 @@ NAMED = {
 }
 
 
+def test_the_query_finds_wrapped_notices_and_their_own_labels(spark):
+    texts = [f"some code here\n{text}\nand more" for text in WRAPPED.values()]
+    assert {row.doc_id: row.labels for row in license_scan.scan(frame(spark, texts)).collect()} == dict(enumerate(WRAPPED))
+    found = {row.doc_id: set(row.labels.split(",")) - set(row.base_labels.split(",")) for row in license_scan.scan(frame(spark, list(NAMED))).collect()}
+    for i, labels in enumerate(NAMED.values()):
+        assert found[i] <= set(labels.split(",")), list(NAMED)[i]
+
+
 def test_notices_keep_their_own_label(spark):
     found = {row.doc_id: row.labels for row in license_scan.notices(frame(spark, list(NAMED))).collect()}
     assert found == dict(enumerate(NAMED.values()))
@@ -513,3 +541,9 @@ def test_decontamination(spark):
     found = decontamination.report(frame(spark, texts), benchmark).collect()
     assert {row.doc_id: (row.n_words, row.n_hit, row.n_items, row.items_sha256, row.contaminated) for row in found} == expected
     assert any(row[-1] for row in expected.values())
+
+
+def test_short_lines_one_word_apart(spark):
+    texts = ["Copyright 2019 Example Corp All rights reserved", "Copyright 2020 Example Corp All rights reserved", "one two three four", "one two three five", "a b c d e", "a b c d e f"]
+    found = {row.doc_id: row.n_near for row in line_dedup.report(frame(spark, texts)).collect()}
+    assert found == {0: 0, 1: 1, 2: 0, 3: 0, 4: 0, 5: 1}
