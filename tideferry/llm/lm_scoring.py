@@ -79,6 +79,10 @@ WORD, GRAM = 0, 1
 # The end of a text, as a word's hash.
 END_WORD = 0
 
+# Codes looked up at once, and bytes of text whose codes are.
+_AT_ONCE = 1 << 18
+_PART_BYTES = 2 << 20
+
 
 def _words(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts and of one end for each, and where each text begins."""
@@ -115,7 +119,7 @@ class _Table:
     EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)  # no gram, as no text holds the byte 0xFF, and no word's hash but one in 2**64
 
     def __init__(self, codes: np.ndarray, *values: np.ndarray) -> None:
-        size = 1 << max(4, int(2 * len(codes)).bit_length())
+        size = 1 << max(4, (len(codes) + len(codes) // 2).bit_length())
         self.mask, self.steps = np.uint64(size - 1), 0
         self.codes = np.full(size, self.EMPTY)
         self.values = [np.zeros(size, dtype=value.dtype) for value in values]
@@ -132,8 +136,15 @@ class _Table:
             self.steps += 1
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The slots of some codes, and whether they are there."""
-        slots = (mixed(codes) & self.mask).astype(np.int64)
+        """The slots of some codes, and whether they are there; some at a time, so that little is held between."""
+        slots, found = np.empty(len(codes), dtype=np.int32), np.empty(len(codes), dtype=bool)
+        for begin in range(0, len(codes), _AT_ONCE):
+            some = slice(begin, begin + _AT_ONCE)
+            slots[some], found[some] = self._find(codes[some])
+        return slots, found
+
+    def _find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        slots = (mixed(codes) & self.mask).astype(np.int32)
         held = self.codes[slots]
         found = held == codes
         open_ = np.flatnonzero(~found & (held != self.EMPTY))
@@ -383,7 +394,7 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_words, known_grams = sent.value
-        for part in parts(batches):
+        for part in parts(batches, most=_PART_BYTES):
             some = texts(part)
             words, begins = _words(some)
             slots, found = known_words.find(words)
