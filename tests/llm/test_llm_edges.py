@@ -108,8 +108,31 @@ def test_decontamination_in_many_blocks(spark, docs, benchmark, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", 90)
     monkeypatch.setattr(decontamination, "PIECE_WORDS", 12)
     rows = sorted(map(tuple, decontamination.report(docs, benchmark).collect()), key=str)
-    # Pieces may cut the longest match short, but no window is lost.
-    assert [row[:-1] for row in rows] == [row[:-1] for row in whole]
+    assert rows == whole
+
+
+def test_decontamination_of_long_items(spark, monkeypatch):
+    """Matches are as long as in the item, whatever pieces and blocks it is cut into."""
+    item = [f"w{i}" for i in range(6000)]
+    texts = [item, item[100:5500], [*item[:50], "x", *item[50:]], item[4080:4100], item[4087:4097], item[:4096], item[2000:2300] * 2, ["none"]]
+    expected = [6000, 5400, 5950, 20, 10, 4096, 300, 0]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(texts)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([("", " ".join(item)), (None, " ".join(item)), ("", "w1 " * 30)], "item_id string, text string")
+    for piece, block in ((4096, 8 << 20), (300, 2000)):
+        monkeypatch.setattr(decontamination, "PIECE_WORDS", piece)
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+        found = {row.doc_id: (row.longest_match, row.n_items) for row in decontamination.report(docs, benchmark).collect()}
+        # An empty id is an id, none is not.
+        assert found == {i: (longest, int(longest > 0)) for i, longest in enumerate(expected)}
+
+
+def test_decontamination_of_many_equal_items(spark):
+    """Equal items are searched as one range: what a task holds follows documents and items, not their pairs of places."""
+    prompt = " ".join(f"prompt{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, prompt) for i in range(300)], "doc_id bigint, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(f"{i:05}", prompt) for i in range(3000)], "item_id string, text string")
+    found = decontamination.report(docs, benchmark).collect()
+    assert {(row.n_items, row.n_hit, row.longest_match) for row in found} == {(3000, 30, 30)}
 
 
 def test_token_counts(spark, docs, empty):
