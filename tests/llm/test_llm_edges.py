@@ -197,3 +197,15 @@ def test_equal_rows_stay_apart(spark):
     docs = spark.createDataFrame([Row(doc_id=1, text=PROSE)] * 3)
     for report in (quality_rules.judged, line_dedup.report, jaccard_join.report, license_scan.scan, substring_dedup.report, lm_scoring.scored, packing.packed):
         assert report(docs).count() == 3
+
+
+@pytest.mark.parametrize("whole_bytes", [1 << 20, 8])
+def test_token_files_of_odd_sizes(spark, tmp_path, whole_bytes):
+    import numpy as np
+
+    tokens = np.array([5, token_counts.END, 6, 7, 8, token_counts.END, 9], dtype=token_counts.TOKEN).tobytes()
+    (tmp_path / "odd").write_bytes(tokens + b"\x01")
+    (tmp_path / "one").write_bytes(b"\x01")
+    (tmp_path / "none").write_bytes(b"")
+    found = token_counts.counted(spark, str(tmp_path), 2, whole_bytes).collect()
+    assert sorted((row.document, row.first_token, row.n_tokens, row.finished) for row in found) == [(0, 0, 1, True), (1, 2, 3, True), (2, 6, 1, False)]

@@ -10,8 +10,9 @@ Files are read by Spark only. A file of up to ``WHOLE_BYTES`` is one read; a
 larger one is split into records of equal size that divide it evenly.
 
 Defined results: a null or empty text is a document of no tokens. Tokens after
-the last separator of a file are one unfinished document. An empty file, and a
-folder without files, hold no documents. Equal rows are separate documents.
+the last separator of a file are one unfinished document. A byte beyond the
+last whole token is none. An empty file, and a folder without files, hold no
+documents. Equal rows are separate documents.
 ``write_tokens`` reads nothing but the column ``text``.
 """
 
@@ -79,7 +80,7 @@ _KINDS = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
 
 def _scanned(file: str, block: int, content: bytes) -> tuple:
     """A block's size and the places of its separators."""
-    tokens = np.frombuffer(content, dtype=TOKEN)
+    tokens = np.frombuffer(content, dtype=TOKEN, count=len(content) // TOKEN.itemsize)
     return file, block, len(tokens), np.flatnonzero(tokens == END).tolist()
 
 
@@ -96,8 +97,10 @@ def _blocks(spark: SparkSession, path: str, block_tokens: int, whole_bytes: int)
                     row = _scanned(file, block, content.slice(begin, min(step, content.size - begin)))
                     yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _KINDS)], names=[f.split()[0] for f in _BLOCK.split(", ")])
 
-    blocks = files.filter(F.col("length") <= whole_bytes).select("path", "content").mapInArrow(cut, _BLOCK)
-    for large in files.filter(F.col("length") > whole_bytes).select("path", "length").toLocalIterator():
+    # A file with half a token at its end has no even records.
+    whole = (F.col("length") <= whole_bytes) | (F.col("length") % TOKEN.itemsize != 0)
+    blocks = files.filter(whole).select("path", "content").mapInArrow(cut, _BLOCK)
+    for large in files.filter(~whole).select("path", "length").toLocalIterator():
         tokens = large.length // TOKEN.itemsize
         size = next(s for s in range(min(block_tokens, tokens), 0, -1) if tokens % s == 0)
         records = spark.sparkContext.binaryRecords(large.path, size * TOKEN.itemsize).zipWithIndex()
