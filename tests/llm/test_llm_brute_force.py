@@ -10,6 +10,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tideferry.llm import components, decontamination, hashing, jaccard_join, license_scan, line_dedup, lm_scoring, packing, quality_rules, substring_dedup, suffixes, token_counts, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
@@ -547,3 +549,27 @@ def test_short_lines_one_word_apart(spark):
     texts = ["Copyright 2019 Example Corp All rights reserved", "Copyright 2020 Example Corp All rights reserved", "one two three four", "one two three five", "a b c d e", "a b c d e f"]
     found = {row.doc_id: row.n_near for row in line_dedup.report(frame(spark, texts)).collect()}
     assert found == {0: 0, 1: 1, 2: 0, 3: 0, 4: 0, 5: 1}
+
+
+def test_stars_of_a_hot_node_are_split(spark):
+    """A node that most edges lead to doesn't keep them in one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        many = spark.range(200_000)
+        below = many.selectExpr("if(id % 3 > 0, 1000000, 1000000 + id) AS a", "id AS b")
+        above = many.selectExpr("id + 1 AS a", "if(id % 3 > 0, 0, id) AS b")
+        for star, edges in ((components._large_star, above), (components._small_star, below)):
+            found = star(edges).agg(F.count(F.lit(1)), F.max("b"))
+            assert found.collect()[0][0] > 0
+            assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString(), star.__name__
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -2,8 +2,8 @@
 
 Every round is two groupings and joins over the edges, written as a table, so
 that neither lineage nor anything the driver holds grows with the rounds. A
-node with very many neighbours only makes a long join side, which adaptive
-execution may split.
+node with very many neighbours makes a long join side; the join with its
+smallest neighbour has an exchange of its own, so adaptive execution can split it.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideferry.llm.joins import with_index
 from tideferry.sources.shared import scratch_path
 
 
@@ -18,13 +19,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Ties every larger neighbour to the smallest one."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return with_index(both.filter("b > a"), least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Ties a node and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    inner = edges.join(least, "a").filter("b > least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    inner = with_index(edges, least, "a").filter("b > least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return inner.unionByName(least.withColumnRenamed("least", "b"))
 
 

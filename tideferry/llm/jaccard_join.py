@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tideferry.llm.components import components
 from tideferry.llm.hashing import BASE, Powers, mixed, word_hashes
+from tideferry.llm.joins import with_index
 from tideferry.llm.words import PLAIN_WORD, id_and_text, parts, sql_words, texts
 from tideferry.sources.shared import scratch_path
 
@@ -309,7 +310,7 @@ def grouped(docs: DataFrame) -> DataFrame:
 
     rows = members.join(labels, "node", "left").withColumn("root", F.when(F.col("size") > 0, F.coalesce("root", "node")))
     ids = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    rows = rows.join(ids, "root", "left")
+    rows = with_index(rows, ids, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return rows.select("doc_id", "digest", "root", F.col("size").alias("n_shingles"), component.alias("component_id"))
 

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideferry.functions.frames import computed_once
+from tideferry.llm.joins import with_index
 from tideferry.llm.numbering import running
 from tideferry.llm.words import BLANKS, PLAIN_WORD, words_of
 
@@ -143,7 +144,8 @@ def _near(found: DataFrame) -> DataFrame:
     # All have codes; naming them makes this the same plan as above.
     words = found.filter("size(codes) > 0").select("place", "words")
     pairs = pairs.join(words.withColumnRenamed("words", "own"), "place")
-    pairs = pairs.join(words.select(F.col("place").alias("earlier"), F.col("words").alias("other")), "earlier")
+    # One earlier line may have very many later ones.
+    pairs = with_index(pairs, words.select(F.col("place").alias("earlier"), F.col("words").alias("other")), "earlier")
     ahead = "array_position(zip_with({0}, {1}, (x, y) -> x <=> y), false)"
     agreeing = f"({ahead.format('own', 'other')} - 1 + {ahead.format('reverse(own)', 'reverse(other)')} - 1)"
     return pairs.filter(f"{agreeing} >= greatest(size(own), size(other)) - 1").select("place").distinct()
