@@ -555,8 +555,9 @@ def test_stars_of_a_hot_node_are_split(spark):
     """A node that most edges lead to doesn't keep them in one task."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.shuffle.partitions": "32",
     }
     before = {key: spark.conf.get(key) for key in settings}
