@@ -1,3 +1,5 @@
+import pytest
+
 from types import SimpleNamespace
 
 from tideferry.sources.shared import scratch_path, shared_folder
@@ -19,3 +21,20 @@ def test_without_the_setting_the_warehouse_is_shared():
 
 def test_a_session_with_the_setting(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class _Session:
+    """Settings and a master, as far as the shared folder asks for them."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda name, *default: settings.get(name.replace(".", "_"), *default))})
+
+
+def test_a_machines_own_warehouse_is_not_shared_by_a_cluster():
+    own = {"spark_sql_warehouse_dir": "file:/home/me/spark-warehouse"}
+    assert shared_folder(_Session("local[4]", **own)) == "file:/home/me/spark-warehouse/_scratch"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("spark://host:7077", **own))
+    assert shared_folder(_Session("yarn", spark_checkpoint_dir="hdfs://x/y/", **own)) == "hdfs://x/y"
+    assert shared_folder(_Session("yarn", spark_sql_warehouse_dir="s3a://b/w")) == "s3a://b/w/_scratch"

@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse, which is shared as well."""
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
+
+    A warehouse on the machine's own disk is no shared folder: without
+    ``spark.checkpoint.dir`` it serves local sessions only, and raises on a cluster.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and urlsplit(warehouse).scheme in ("", "file"):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {warehouse} is this machine's")
+    return warehouse + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
