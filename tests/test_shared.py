@@ -1,7 +1,7 @@
-import pytest
-
 from types import SimpleNamespace
 
+import pytest
+
 from tideferry.sources.shared import scratch_path, shared_folder
 
 

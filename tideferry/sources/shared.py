@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    if not spark.sparkContext.master.startswith("local") and urlsplit(warehouse).scheme in ("", "file"):
+    if urlsplit(warehouse).scheme in ("", "file") and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse {warehouse} is this machine's")
     return warehouse + "/_scratch"
 
