@@ -43,13 +43,13 @@ TOP = 32
 DIGEST_BYTES = 32
 
 
-def _field(name: str, value: Column) -> Column:
+def _field(value: Column) -> Column:
     value = value.cast("string")
     return F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("-"))
 
 
 def _leaf(text: Column) -> Column:
-    return F.unhex(F.sha2(F.concat(*[_field(name, text if name == "text" else F.col(name)) for name in FIELDS]), 256))
+    return F.unhex(F.sha2(F.concat(*[_field(text if name == "text" else F.col(name)) for name in FIELDS]), 256))
 
 
 def tampered_text() -> Column:
