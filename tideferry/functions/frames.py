@@ -30,3 +30,14 @@ def computed_once(columns: Sequence[Column]) -> Column:
     the output is evaluated once per row.
     """
     return F.inline(F.array(F.struct(*columns)))
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt to all cores, for work that costs far more than moving them.
+
+    A Parquet row group is read by one task, whatever is made of its rows. Only
+    equal rows go together, so no key can fill a task.
+    """
+    spark = rows.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(parts, *[F.col(quoted(name)) for name in rows.columns])

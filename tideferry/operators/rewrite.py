@@ -1,7 +1,7 @@
 """Rewrite text columns by an ordered rule table.
 
-Rules are configuration: rows read once and folded inside one expression, so
-any number of texts is rewritten in a single JVM-side projection over the scan.
+Rules are configuration: rows read once that become one expression, so any
+number of texts is rewritten in a single JVM-side projection over the scan.
 """
 
 from __future__ import annotations
@@ -180,19 +180,26 @@ MANY_RULES = 32
 
 
 def apply_rules(text: Column, rules: Sequence[Rule]) -> Column:
-    """Fold the rules over the text, in the order given; they travel as one array, however many there are.
+    """Apply the rules to the text, in the order given. Literal rules are plain replacements.
 
-    Literal rules are plain replacements. Where there are many rules, a pattern
-    runs only over a text that holds, as the rules before have left it, the
-    plain part that the pattern requires.
+    A few rules are expressions one inside the other, each with a fixed pattern
+    that a task compiles once. Many travel as one array and are folded over the
+    text; a pattern then runs only over a text that holds, as the rules before
+    have left it, the plain part that the pattern requires.
     """
-    if not rules:
+    if len(rules) < MANY_RULES:
+        for rule in rules:
+            if _is_literal(rule):
+                text = F.replace(text, F.lit(rule.source), F.lit(rule.target))
+            else:
+                pattern, target = rule.pattern()
+                text = F.regexp_replace(text, pattern, target)
         return text
     steps = []
     for rule in rules:
         pattern, target = rule.pattern()
-        literal = rule.kind == FUNCTION_MAP and not rule.is_regex
-        required = None if literal or len(rules) < MANY_RULES else required_text(rule)
+        literal = _is_literal(rule)
+        required = None if literal else required_text(rule)
         texts = {"literal": rule.source if literal else None, "pattern": pattern, "target": rule.target if literal else target, "required": required}
         steps.append(F.struct(*[F.lit(value).cast("string").alias(name) for name, value in texts.items()]))
 
@@ -204,6 +211,10 @@ def apply_rules(text: Column, rules: Sequence[Rule]) -> Column:
     return F.aggregate(F.array(*steps), text, applied)
 
 
+def _is_literal(rule: Rule) -> bool:
+    return rule.kind == FUNCTION_MAP and not rule.is_regex
+
+
 def apply_kind(text: Column, rules: Iterable[Rule], kind: str) -> Column:
     return apply_rules(text, [rule for rule in ordered(rules) if rule.kind == kind])
 

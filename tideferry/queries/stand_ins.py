@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideferry.functions.frames import dealt
 from tideferry.sources.tables import read_table
 
 ALL = (
@@ -254,7 +255,7 @@ def query_log(spark: SparkSession, folder: str) -> DataFrame:
             own = (F.col("event_type") == kind) & (F.pmod("event_id", F.lit(2)) == odd)
             text = text.when(own, fill(statement.text, table=table, user=F.col("user_id")))
     events = read_table(spark, folder, "events")
-    return events.select("event_id", "event_type", "user_id", "value").select(
+    return dealt(events.select("event_id", "event_type", "user_id", "value")).select(
         F.col("event_id").alias("query_id"), text.alias("query_text")
     )
 
@@ -312,7 +313,7 @@ def definitions(spark: SparkSession, folder: str) -> DataFrame:
         name=F.col("p_name"),
     )
     part = read_table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    return part.select("p_partkey", text.alias("original_ddl"))
+    return dealt(part).select("p_partkey", text.alias("original_ddl"))
 
 
 DEFINITIONS_SQL = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideferry.functions.frames import union_all
+from tideferry.functions.frames import dealt, union_all
 from tideferry.model import TRANSLATION_RULES
 from tideferry.operators import classify, profile, rewrite, sketches
 from tideferry.operators.rewrite import CLAUSE_STRIP, DEFAULT_RULES, FUNCTION_MAP, TYPE_MAP, Rule
@@ -35,7 +35,7 @@ DOCUMENT_RULES = (
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents").select("doc_id", "text")
+    return dealt(read_table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def rewrite_type_map(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,7 +100,7 @@ _ALREADY = "CREATE OR REPLACE TABLE store.TARGET.part_{key} (id INT);"
 
 
 def rewrite_qualify(spark: SparkSession, folder: str) -> DataFrame:
-    part = read_table(spark, folder, "part")
+    part = dealt(read_table(spark, folder, "part").select("p_partkey", "p_size"))
     key = F.col("p_partkey")
     text = F.when(F.col("p_size") < 25, fill(_QUALIFIED, key=key)).otherwise(fill(_ALREADY, key=key))
     name = F.concat(F.lit("part$"), key.cast("string"))
