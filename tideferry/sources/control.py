@@ -25,7 +25,7 @@ from tideferry.sources.shared import path_exists
 
 
 # Files of a snapshot have about this size.
-SNAPSHOT_BYTES = 128 << 20
+SNAPSHOT_BYTES = 32 << 20
 
 
 class ControlStore:
