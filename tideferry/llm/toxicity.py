@@ -38,7 +38,7 @@ from tideferry.session import settings
 from tideferry.sources.shared import scratch_path
 
 # Documents of a part, and the steps a part's task takes over all passes, at most EPOCHS of them.
-DOCS_PER_PART = 6144
+DOCS_PER_PART = 16384
 STEPS = 2000
 
 BUCKETS = 1 << 18
@@ -178,8 +178,8 @@ class Classifier:
         """Blocks of numbers that add up over parts: weights, and parameters times weights."""
         common = [x.ravel() for x in (*self._common(), *self.past[1:])]
         if self.docs:
-            yield -1, np.concatenate([[1.0], *common]) * self.docs
-        rows = np.concatenate([np.ones((len(self.touched), 1)), self.embedding, self.past[0]], axis=1) * self.touched[:, None]
+            yield -1, (np.concatenate([[1.0], *common]) * self.docs).astype(np.float32)
+        rows = np.concatenate([np.ones((len(self.touched), 1)), self.embedding, self.past[0]], axis=1, dtype=np.float32) * self.touched[:, None].astype(np.float32)
         for begin in range(0, len(rows), ROWS_PER_BLOCK):
             if self.touched[begin : begin + ROWS_PER_BLOCK].any():
                 yield begin // ROWS_PER_BLOCK, rows[begin : begin + ROWS_PER_BLOCK].ravel()
@@ -237,12 +237,14 @@ def _learnable(docs: DataFrame, marks: DataFrame, labelled: int) -> DataFrame:
             columns = [batch.column(name) for name in ("doc_id", "toxic", "lang", "half")]
             yield pa.RecordBatch.from_arrays([*columns, found], names=["doc_id", "toxic", "lang", "half", "words"])
 
-    rows = docs.join(marks, "doc_id").select("doc_id", "toxic", "lang", half, "text").mapInArrow(words, _HASHED)
-    count = -(-labelled // DOCS_PER_PART)
-    rows = rows.withColumn("spread", F.xxhash64("doc_id", "words"))
-    rows = rows.withColumn("part", F.pmod("spread", F.lit(count)).cast("int")).drop("doc_id")
+    # The parts are the join's own, so that texts are moved once, and their words not at all.
+    learnable = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = learnable.join(marks, "doc_id").select("doc_id", "toxic", "lang", half, "text").mapInArrow(words, _HASHED)
+    rows = rows.select(F.spark_partition_id().alias("part"), F.xxhash64("doc_id", "words").alias("spread"), "toxic", "lang", "half", "words")
     path = scratch_path(spark, "learnable")
-    rows.repartition(count, "part").sortWithinPartitions("part", "spread", "toxic").write.partitionBy("part").parquet(path)
+    joined = {"spark.sql.shuffle.partitions": str(-(-labelled // DOCS_PER_PART)), "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with settings(spark, joined):
+        rows.sortWithinPartitions("spread", "toxic").write.parquet(path)
     return spark.read.schema(_LEARNT).parquet(path)
 
 
@@ -302,12 +304,12 @@ def _passed(rows: DataFrame, places: np.ndarray, models: list[Classifier], numbe
 
     def added(table: pa.Table) -> pa.Table:
         ordered = table.sort_by("part")
-        total = np.sum([np.frombuffer(value.as_py()) for value in ordered.column("total")], axis=0)
+        total = np.sum([np.frombuffer(value.as_py(), dtype=np.float32) for value in ordered.column("total")], axis=0, dtype=np.float64).astype(np.float32)
         return pa.table({"kind": ordered.column("kind").slice(0, 1), "block": ordered.column("block").slice(0, 1), "total": pa.array([total.tobytes()], pa.binary())})
 
     made = rows.select("part", "toxic", "half", "words").mapInArrow(steps, "kind int, block int, part int, total binary")
     for row in made.groupBy("kind", "block").applyInArrow(added, "kind int, block int, total binary").collect():
-        models[row.kind].take(row.block, np.frombuffer(row.total))
+        models[row.kind].take(row.block, np.frombuffer(row.total, dtype=np.float32))
     sent.unpersist()
 
 
