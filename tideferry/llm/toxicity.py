@@ -38,7 +38,7 @@ from tideferry.session import settings
 from tideferry.sources.shared import scratch_path
 
 # Documents of a part, and the steps a part's task takes over all passes, at most EPOCHS of them.
-DOCS_PER_PART = 16384
+DOCS_PER_PART = 12288
 STEPS = 2000
 
 BUCKETS = 1 << 18
@@ -237,9 +237,9 @@ def _learnable(docs: DataFrame, marks: DataFrame, labelled: int) -> DataFrame:
             columns = [batch.column(name) for name in ("doc_id", "toxic", "lang", "half")]
             yield pa.RecordBatch.from_arrays([*columns, found], names=["doc_id", "toxic", "lang", "half", "words"])
 
-    # The parts are the join's own, so that texts are moved once, and their words not at all.
+    # The parts are the join's own, so that texts are moved once, and their words not at all. A part's marks are few.
     learnable = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = learnable.join(marks, "doc_id").select("doc_id", "toxic", "lang", half, "text").mapInArrow(words, _HASHED)
+    rows = learnable.join(marks.hint("shuffle_hash"), "doc_id").select("doc_id", "toxic", "lang", half, "text").mapInArrow(words, _HASHED)
     rows = rows.select(F.spark_partition_id().alias("part"), F.xxhash64("doc_id", "words").alias("spread"), "toxic", "lang", "half", "words")
     path = scratch_path(spark, "learnable")
     joined = {"spark.sql.shuffle.partitions": str(-(-labelled // DOCS_PER_PART)), "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
