@@ -31,8 +31,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideferry.llm.components import components
@@ -50,6 +51,11 @@ LONGEST = 4
 SKETCH_BITS = 1024
 PART_BYTES = 2 << 20
 
+# Bits that find the rows of wanted documents: so many for each, in groups as `bitmap_construct_agg` makes them, 8 MB at most.
+BITS_EACH = 64
+GROUP_BITS = 1 << 15
+MOST_GROUPS = 1 << 11
+
 _MULTIPLIER = np.uint64(BASE)
 
 
@@ -154,19 +160,29 @@ def _prefixes(docs: DataFrame) -> DataFrame:
     return spark.read.schema(_PREFIXES).parquet(path)
 
 
-def _postings(prefixes: DataFrame) -> DataFrame:
-    """Nodes by the shingles of their prefixes, as a table: lists that can hold a pair, each node once."""
-    spark = prefixes.sparkSession
-    index = F.expr(f"size - cast(ceil({2 * PERCENT} * size / {100 + PERCENT}) as bigint) + chosen")
-    rows = prefixes.filter("size > 0").select("node", "size", "chosen", index.alias("index"), F.posexplode("prefix").alias("place", "shingle"))
-    rows = rows.select("shingle", "node", "size", "chosen", "place", (F.col("place") < F.col("index")).alias("indexed"))
-    lists = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.when(F.col("indexed"), F.col("size"))).alias("least"))
-    rows = rows.join(lists.filter("low <> high").select("shingle", "least"), "shingle")
+def _lists(prefixes: DataFrame) -> DataFrame:
+    """Nodes by the shingles of their prefixes: lists that can hold a pair, each node once.
+
+    Every shingle of every prefix moves here, once: what is asked of a whole list is
+    asked of a window over it. All that follows from a row itself is computed behind the move.
+    """
+    rows = prefixes.filter("size > 0").select("node", "size", "chosen", F.posexplode("prefix").alias("place", "shingle")).repartition("shingle")
+    indexed = F.expr(f"place < size - cast(ceil({2 * PERCENT} * size / {100 + PERCENT}) as bigint) + chosen")
+    rows = rows.select("shingle", "node", "size", "chosen", "place", indexed.alias("indexed"))
+    whole = Window.partitionBy("shingle")
+    least = F.min(F.when(F.col("indexed"), F.col("size"))).over(whole)
+    rows = rows.select("*", F.min("node").over(whole).alias("low"), F.max("node").over(whole).alias("high"), least.alias("least")).filter("low <> high")
     # The least any smaller partner in the list asks for; the first LONGEST common shingles of a similar pair keep to it.
     floor = _shared("size", f"greatest(least, cast(ceil({PERCENT} * size / 100) as bigint))")
     probing = (F.col("least") <= F.col("size")) & (F.col("size") - F.col("place") + LONGEST - 1 >= floor)
+    return rows.filter(F.col("indexed") | probing).drop("low", "high", "least").distinct()
+
+
+def _postings(prefixes: DataFrame) -> DataFrame:
+    """The lists as a table."""
+    spark = prefixes.sparkSession
     path = scratch_path(spark, "postings")
-    rows.filter(F.col("indexed") | probing).drop("least").distinct().write.parquet(path)
+    _lists(prefixes).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -225,6 +241,21 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.filter((F.col("size_a") + F.col("size_b") - F.col("apart")) / 2 >= _shared("size_a", "size_b"))
 
 
+def _possibly(rows: DataFrame, wanted: DataFrame, keys: list[str], n_wanted: int) -> DataFrame:
+    """All rows whose keys are wanted, and few others, without moving any: a join must follow.
+
+    Every wanted key sets one bit; there are ``BITS_EACH`` for each of them, at most
+    ``MOST_GROUPS`` groups. Beyond that more rows pass in vain, up to all of them.
+    """
+    n_groups = max(1, min(MOST_GROUPS, -(-BITS_EACH * n_wanted // GROUP_BITS)))
+    at = F.pmod(F.xxhash64(*keys), F.lit(n_groups * GROUP_BITS))
+    place = [F.floor(at / GROUP_BITS).alias("_group"), F.pmod(at, F.lit(GROUP_BITS)).alias("_bit")]
+    bits = wanted.select(*place).groupBy("_group").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = "cast(conv(hex(substring(_bits, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    rows = rows.select("*", *place).join(F.broadcast(bits), "_group")
+    return rows.filter(F.expr(f"getbit({byte}, cast(_bit % 8 as int)) = 1")).drop("_group", "_bit", "_bits")
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs that are similar: their sets are made again from one document of each node and compared."""
     spark = docs.sparkSession
@@ -236,30 +267,33 @@ def _linked(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     chosen = members.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("of")).join(wanted, "node")
     chosen = chosen.select("node", F.coalesce("of.doc_id", F.lit(-1)).alias("doc_id"), F.col("of.digest").alias("digest"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = _Shingler()
-        for part in parts(batches, most=PART_BYTES):
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(list(shingles(texts(part))), pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    rows = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), F.xxhash64("text").alias("digest"), "text").join(chosen, ["doc_id", "digest"])
-    path = scratch_path(spark, "sets")
-    rows.select("node", "text").mapInArrow(run, "node bigint, shingles array<bigint>").write.parquet(path)
+    # Texts move, as they are shorter than their shingles, and only those of the pairs.
+    rows = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
+    rows = _possibly(rows, chosen, ["doc_id", "digest"], 2 * pairs.count()).join(chosen, ["doc_id", "digest"])
     # Equal rows give equal sets; one of them is enough.
-    sets = spark.read.schema("node bigint, shingles array<bigint>").parquet(path).dropDuplicates(["node"])
+    held = rows.select("node", "text").dropDuplicates(["node"])
+
+    def longer(batch: pa.RecordBatch) -> pa.Array:
+        one, other = batch.column("text_a"), batch.column("text_b")
+        return pc.if_else(pc.greater(pc.binary_length(one), pc.binary_length(other)), one, other)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        shingles = _Shingler()
+        for part in parts(batches, longer, PART_BYTES):
+            nodes = [part.column(c).to_pylist() for c in "ab"]
+            found = dict(zip(nodes[0] + nodes[1], texts(part, "text_a") + texts(part, "text_b")))
+            sets = dict(zip(found, shingles(list(found.values()))))
             similar = []
-            for one, other in zip(batch.column("set_a"), batch.column("set_b")):
-                one, other = (x.values.to_numpy(zero_copy_only=False) for x in (one, other))
+            for one, other in zip(*nodes):
+                one, other = sets[one], sets[other]
                 common = len(np.intersect1d(one, other, assume_unique=True))
                 similar.append(100 * common >= PERCENT * (len(one) + len(other) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(similar, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
-    pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-    pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+    pairs = pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    pairs = pairs.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     path = scratch_path(spark, "links")
-    pairs.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a bigint, b bigint").write.parquet(path)
+    pairs.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint").write.parquet(path)
     return spark.read.schema("a bigint, b bigint").parquet(path)
 
 
