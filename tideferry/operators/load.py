@@ -8,6 +8,7 @@ newest. A load that fails leaves the table as it was.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -42,12 +43,14 @@ def _read(spark: SparkSession, schema, path: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def load_into(spark: SparkSession, dataset: Dataset, folder: str) -> LoadResult:
+def load_into(spark: SparkSession, dataset: Dataset, folder: str, reading: Mapping[str, str] | None = None) -> LoadResult:
     """Write a dataset's lines to a new folder: good ones as rows, bad ones as they are.
 
     One pass parses, counts and writes both; a task keeps two files open, so
     nothing is sorted to tell them apart. Every row keeps the split and the
     place it is from. Nothing is cached, so a lost executor costs its own tasks.
+    ``reading`` holds session settings for the pass over the text alone: the
+    rows it wrote are counted without them.
     """
     parsed = parse_lines(read_lines(spark, dataset.location), dataset)
     seen = Observation()
@@ -56,7 +59,7 @@ def load_into(spark: SparkSession, dataset: Dataset, folder: str) -> LoadResult:
     )
     is_bad = F.col("_reason").isNotNull()
     rows = counted.withColumns({"bad": is_bad, "_line": F.when(is_bad, F.col("_line"))})
-    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+    with settings(spark, {**(reading or {}), "spark.sql.maxConcurrentOutputFileWriters": "4"}):
         rows.write.partitionBy("bad").parquet(folder)
     lines, bad = seen.get["lines"], seen.get["rejected"]
     good = f"{folder}/{GOOD}"

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tideferry.operators.history import keep_history
 from tideferry.operators.load import load_dataset, load_into, open_loaded, rejected_lines
 from tideferry.queries.stand_ins import STEP_LOG_SQL, step_log
-from tideferry.session import settings
 from tideferry.sources.delimited import Dataset, Field, dataset_for
 from tideferry.sources.shared import scratch_path
 from tideferry.sources.tables import read_table
@@ -126,8 +125,14 @@ def delimited_reject_lines(spark: SparkSession, folder: str) -> DataFrame:
     line = F.concat_ws("|", F.when(bad, F.concat(F.lit("#"), number)).otherwise(number), F.shiftright("n", 33).cast("string"), F.col("l_orderkey").cast("string"))
     files.select(line.alias("value")).write.text(f"{root}/text")
     fields = (Field("number", "bigint", required=True), Field("file", "int", required=True), Field("l_orderkey", "bigint", required=True))
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "0"}):
-        load_into(spark, Dataset("numbered", f"{root}/text", fields, "|"), f"{root}/table")
+    # Splits are 16 KB however long the files are, so a task reads as many of them as it takes to keep the tasks few.
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    reading = {
+        "spark.sql.files.maxPartitionBytes": "16k",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.maxPartitionNum": str(tasks),
+    }
+    load_into(spark, Dataset("numbered", f"{root}/text", fields, "|"), f"{root}/table", reading)
     rejects = rejected_lines(spark, f"{root}/table")
     said = F.split_part("line", F.lit("|"), F.lit(1))
     return rejects.select(
